@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 <
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i, n in enumerate(sizes):
             if i > start and (held + n > most_bytes or i - start >= most_rows):

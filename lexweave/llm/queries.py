@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexweave.llm import byte_bpe, hash_tree, mixing, token_count
+from lexweave.llm import byte_bpe, hash_tree, language, line_crf, mixing, token_count
 from lexweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -30,7 +34,11 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_by_key(table(spark, sf_dir, "documents"), root, hash_tree.grown(root, 16))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op6_mix_sources, op7_shard)}
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_of(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op4_quality, op6_mix_sources, op7_shard, op10_language)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexweave.llm import byte_bpe, hash_tree, language, line_crf, mixing, token_count
+from lexweave.llm import bit_sliced, byte_bpe, hash_tree, language, line_crf, mixing, pq_dedup, token_count
 from lexweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,11 +35,19 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_by_key(table(spark, sf_dir, "documents"), root, hash_tree.grown(root, 16))
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_of(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op4_quality, op6_mix_sources, op7_shard, op10_language)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op4_quality, op6_mix_sources, op7_shard, op8_top_k, op9_near_vectors, op10_language)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import bit_sliced, byte_bpe, hash_tree, language, line_crf, mixing, pq_dedup, token_count
+from lexweave.llm import bit_sliced, byte_bpe, hash_tree, language, line_crf, main_text, mixing, pq_dedup, set_join, token_count
 from lexweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +22,18 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -47,7 +55,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_of(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op4_quality, op6_mix_sources, op7_shard, op8_top_k, op9_near_vectors, op10_language)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_main_text, op4_quality, op5_jaccard_join, op6_mix_sources, op7_shard, op8_top_k, op9_near_vectors, op10_language)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}

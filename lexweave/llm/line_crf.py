@@ -178,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(F.octet_length("text") <= longest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             x, lines, _ = line_features(batch.column("text").cast(pa.binary()).to_pylist())
             cuts = np.cumsum(lines) - lines
             rows = [x[i : i + n].tobytes() for i, n in zip(cuts, lines, strict=True)]
@@ -206,7 +206,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = sent.value
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, 1 << 20):
             texts = [t or b"" for t in batch.column(text_col).cast(pa.binary()).to_pylist()]
             score = chain.score(*line_features(texts)) if chain else np.full(len(texts), 0.5)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*batch.schema.names, "score", "predicted"])

@@ -78,7 +78,7 @@ def describe(docs: DataFrame, kind: str, words: int, often: int, batch_tokens: i
 
         names = ["id", "sig", "n", "sketch", "token", "times"]
         id_type = pa.int64()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             id_type = batch.column("id").type
             sets = shingle_sets([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], words)
             sigs = [signature(s) for s in sets]
@@ -106,7 +106,7 @@ def postings(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
         order = np.argsort(sent.value)
         known = sent.value[order]
         seen: set[int] = set()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             out: list[tuple[np.ndarray, int, int]] = []
             for s in shingle_sets([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], words):
                 sig, n = signature(s), len(s)
@@ -204,7 +204,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = text.schema["id"].dataType.simpleString()
-    both = staged(describe(text, kind, words, often, 8 << 20))
+    both = staged(describe(text, kind, words, often, 2 << 20))
     rows = both.where("sig is not null").select("id", "sig", "n", "sketch")
     counts = both.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
     top = counts.orderBy(F.desc("times"), "token").limit(frequent).toPandas()
@@ -268,7 +268,7 @@ def sets_of(text: DataFrame, wanted: DataFrame, words: int, bits: int = 22) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = sent.value
         seen: set[int] = set()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             sigs, sets = [], []
             for s in shingle_sets([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], words):
                 sig = signature(s)

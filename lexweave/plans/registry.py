@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from lexweave.plans import link_queries, serve_queries, text_queries
+
+QUERIES = text_queries.QUERIES | link_queries.QUERIES | serve_queries.QUERIES
+SQL = text_queries.SQL | link_queries.SQL | serve_queries.SQL

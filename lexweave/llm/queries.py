@@ -57,5 +57,25 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_main_text, op4_quality, op5_jaccard_join, op6_mix_sources, op7_shard, op8_top_k, op9_near_vectors, op10_language)}
 
+#: Components of links (a, b) among all keys, for the two queries below.
+COMPONENTS = """both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT DISTINCT a AS k, a AS root FROM both_ways UNION SELECT e.b, r.root FROM reach r JOIN both_ways e ON e.a = r.k),
+part AS (SELECT k, min(root) AS component FROM reach GROUP BY 1)"""
+
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_jaccard_join": rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 4 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i+3], ' ') END AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_ FROM s x JOIN s y USING (g) WHERE x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both_ >= 85 * (x.n + y.n - both_)),
+{COMPONENTS}
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(p.component, d.doc_id) AS component_id FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN part p ON p.k = d.doc_id""",
+    "op8_top_k": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT query_id, rank, vec_id, score FROM (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_inner_product(a.q, b.q) DESC, b.vec_id)::INT AS rank
+FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) WHERE rank <= 20""",
+    "op9_near_vectors": f"""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_inner_product(a.x, b.x) >= 0.95 * sqrt(list_inner_product(a.x, a.x) * list_inner_product(b.x, b.x))),
+{COMPONENTS}, n AS (SELECT a, count(*) AS n FROM both_ways GROUP BY 1)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, coalesce(p.component, v.vec_id) AS component_id, coalesce(p.component, v.vec_id) = v.vec_id AS kept FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN part p ON p.k = v.vec_id""",
+}

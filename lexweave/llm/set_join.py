@@ -29,6 +29,7 @@ from lexweave.llm import hashing
 from lexweave.llm.common import components, cut, slices, staged
 
 SKETCH_BITS = 1024
+MARK_BITS = 22
 
 
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -159,16 +160,39 @@ def met(rows: DataFrame) -> DataFrame:
     return rows.repartition("token").sortWithinPartitions("token", "sig").mapInArrow(run, "token long, sig long, n int, pos int")
 
 
-def bloom(nodes: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of 2 ** bits positions with a mark for each sig; its size is fixed."""
-    places = nodes.select((F.col("sig").bitwiseXOR(F.shiftright("sig", 29)).bitwiseAND(F.lit((1 << bits) - 1))).alias("p")).distinct()
-    words = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("m"))
-    got = words.toPandas()
-    out = np.zeros(1 << (bits - 6), np.int64)
-    out[got["w"].to_numpy(np.int64)] = got["m"].to_numpy(np.int64)
+def bitmap(places: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of 2 ** MARK_BITS positions with a mark for each place; its size is fixed."""
+    marks = places.groupBy(F.shiftright(column, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({column} % 64 as int))")).alias("m")).toPandas()
+    out = np.zeros(1 << (MARK_BITS - 6), np.int64)
+    out[marks["w"].to_numpy(np.int64)] = marks["m"].to_numpy(np.int64)
     return out
 
 
+def sig_place(sig: Column) -> Column:
+    return sig.bitwiseXOR(F.shiftright(sig, 29)).bitwiseAND(F.lit((1 << MARK_BITS) - 1))
+
+
+def id_place(i: Column) -> Column:
+    return F.crc32(i.cast("string")).bitwiseAND(F.lit((1 << MARK_BITS) - 1))
+
+
+def marked(marks: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (marks[places >> 6] >> (places & 63) & 1).astype(bool)
+
+
+def narrowed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets of the pairs and a few more, so that a join moves no others."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).select(sig_place(F.col("sig")).alias("p"))
+    sent = sets.sparkSession.sparkContext.broadcast(bitmap(ends, "p"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = marked(sent.value, batch.column("p").to_numpy())
+            yield batch.select(["sig", "tokens"]).filter(pa.array(keep))
+
+    return sets.select("sig", "tokens", sig_place(F.col("sig")).alias("p")).mapInArrow(run, "sig long, tokens binary")
+
+
 def allowed(n_a: Column, n_b: Column, most: Column, percent: int) -> Column:
     """Whether sets of these sizes with an intersection of at most `most` may link."""
     return (100 + percent) * most >= percent * (n_a + n_b)
@@ -176,6 +200,7 @@ def allowed(n_a: Column, n_b: Column, most: Column, percent: int) -> Column:
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) those that link, by their exact intersections."""
+    sets = narrowed(sets, pairs)
     a = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("x"))
     b = sets.select(F.col("sig").alias("b"), F.col("tokens").alias("y"))
 
@@ -232,7 +257,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     near = cut(candidates(index, index, ["token", "block"], F.col("a") < F.col("b")))
     long = index.where("blocks > 1")
     wanted = near.select(F.explode(F.array("a", "b")).alias("sig")).union(long.select("sig")).distinct()
-    sets = sets_of(text, wanted, words)
+    sets = sets_of(text, cut(nodes.join(wanted, "sig", "left_semi").select("sig", "rep")), words)
 
     # the few most alike of each set
     ends = near.select(F.col("a").alias("node"), "a", "b", "apart").union(near.select(F.col("b").alias("node"), "a", "b", "apart"))
@@ -251,7 +276,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     largest = shares.groupBy("token").agg(F.max(F.struct("m", "label")).alias("top")).select("token", F.col("top.label").alias("main"))
     outside = long.join(largest, "token").where("label <> main").drop("main")
     across = candidates(outside, long, ["token"], F.col("label_a") != F.col("label_b")).select("a", "b")
-    links = cut(links.union(linked(rest.union(across).distinct(), sets, percent)))
+    rest = cut(rest.union(across).distinct())
+    links = cut(links.union(linked(rest, sets, percent)))
 
     parts = components(links)
     known = nodes.select("sig", "rep").join(parts, nodes.sig == parts.node, "left").select("sig", "rep", F.coalesce("component", "sig").alias("component"))
@@ -261,23 +287,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("id")).alias("component_id"))
 
 
-def sets_of(text: DataFrame, wanted: DataFrame, words: int, bits: int = 22) -> DataFrame:
-    """Rows (sig, tokens) of the wanted sigs and a few more: a bitmap of fixed size tells tasks which to emit."""
-    sent = text.sparkSession.sparkContext.broadcast(bloom(wanted, bits))
+def sets_of(text: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """Rows (sig, tokens) of wanted rows (sig, rep), and a few more.
+
+    Bitmaps of fixed size tell tasks which sets to emit, and by which
+    document's id, so that of thousands of copies one emits the set. Where
+    none has an id, or ids collide, a set may come several times.
+    """
+    marks = text.sparkSession.sparkContext.broadcast((bitmap(wanted.select(sig_place(F.col("sig")).alias("p")), "p"), bitmap(wanted.where("rep is not null").select(id_place(F.col("rep")).alias("p")), "p")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = sent.value
+        by_sig, by_id = marks.value
         seen: set[int] = set()
         for batch in slices(batches, "text", 1 << 20):
+            places = batch.column("p")
+            batch = batch.filter(pa.array(places.is_null().to_numpy(zero_copy_only=False) | marked(by_id, places.fill_null(0).to_numpy())))
             sigs, sets = [], []
             for s in shingle_sets([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], words):
                 sig = signature(s)
-                p = (sig ^ (sig >> 29)) & ((1 << bits) - 1)
-                if len(s) and sig not in seen and int(marks[p >> 6]) >> (p & 63) & 1:
+                if len(s) and sig not in seen and marked(by_sig, np.array([(sig ^ (sig >> 29)) & ((1 << MARK_BITS) - 1)]))[0]:
                     seen.add(sig)
                     sigs.append(sig)
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(sets, pa.binary())], ["sig", "tokens"])
 
-    found = text.mapInArrow(run, "sig long, tokens binary").dropDuplicates(["sig"])
-    return staged(found)
+    return staged(text.select("text", id_place(F.col("id")).alias("p")).mapInArrow(run, "sig long, tokens binary"))

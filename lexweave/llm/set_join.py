@@ -2,17 +2,19 @@
 
 Documents become sets of shingle hashes; equal sets are one node. Frequent
 shingles, found by counts over all documents, go last in the order of tokens,
-so the prefix of a set, which every partner must meet, holds rare ones. Index
-lists (token to sets) are cut into blocks; entries meet where their sizes and
-their positions in the two sets allow the asked overlap, and a bitmap of each
-set bounds the overlap from above before any set is read.
+so the prefix of a set, which every partner must meet, holds rare ones. In the
+index lists (token to sets) entries meet where their sizes, their positions in
+the two sets and the tokens that neither shares with any set allow the asked
+overlap, and a bitmap of each set bounds it from above before any set is read.
+In a long list the block of entries with the fewest tokens of their own meets
+all others first.
 
 Set relations save most of the rest: a set is first compared with the few
 candidates most like it; whoever it links to shares its answer (the
-component), so of two sets with the same answer nothing else is compared.
-Across blocks of a long list only sets outside the list's largest component
-still meet the others. All skips are exact: no link between sets of different
-components is lost.
+component), so of two sets with the same answer nothing else is compared: in a
+long list only sets outside the list's largest component still meet the
+others. All skips are exact: no link between sets of different components is
+lost.
 """
 
 from __future__ import annotations
@@ -237,14 +239,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     nodes = staged(rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     index = staged(met(postings(text, words, percent, late)))
-    lists = index.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    index = cut(index.join(lists, "token").withColumn("block", F.pmod(F.xxhash64("sig", "token"), F.col("blocks")).cast("int")))
+    # tokens of a prefix that no other set has bound what a set can share with any other
+    prefix = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
+    shared = index.groupBy("sig").agg(F.count(F.lit(1)).alias("met"))
+    index = index.join(shared, "sig").withColumn("most", (F.col("n") - prefix + F.col("met")).cast("int")).drop("met")
+    index = index.where(allowed(F.col("n"), F.floor((percent * F.col("n") + 99) / 100), F.col("most"), percent))
+    index = cut(index)
+    lists = index.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
+    index = cut(index.join(lists, "token"))
 
     def candidates(a: DataFrame, b: DataFrame, keys: list[str], more: Column) -> DataFrame:
-        """Pairs that sizes, positions and bitmaps allow, with the distance of their bitmaps."""
-        a = a.select(*keys, F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"), *([F.col("label").alias("label_a")] if "label" in a.columns else []))
-        b = b.select(*keys, F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"), *([F.col("label").alias("label_b")] if "label" in b.columns else []))
+        """Pairs that sizes, positions, unshared tokens and bitmaps allow, with the distance of their bitmaps."""
+        a = a.select(*keys, F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"), F.col("most").alias("most_a"), *([F.col("label").alias("label_a")] if "label" in a.columns else []))
+        b = b.select(*keys, F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"), F.col("most").alias("most_b"), *([F.col("label").alias("label_b")] if "label" in b.columns else []))
         most = F.least("pos_a", "pos_b") + 1 + F.least(F.col("n_a") - F.col("pos_a") - 1, F.col("n_b") - F.col("pos_b") - 1)
+        most = F.least(most, "most_a", "most_b")
         pairs = a.join(b, keys).where(more & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & allowed(F.col("n_a"), F.col("n_b"), most, percent))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         for side in ("a", "b"):
@@ -254,8 +263,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         total = F.col("n_a") + F.col("n_b")
         return pairs.where((100 + percent) * (total - F.col("apart")) >= 2 * percent * total).select("a", "b", (F.col("apart") / total).alias("apart"))
 
-    near = cut(candidates(index, index, ["token", "block"], F.col("a") < F.col("b")))
-    long = index.where("blocks > 1")
+    # short lists whole; in long ones all with a few that have the fewest tokens of their own
+    short, long = index.where(F.col("length") <= block), index.where(F.col("length") > block)
+    own = F.struct((F.col("n") - F.col("most")).alias("own"), "sig", "n", "pos", "most")
+    leaders = long.groupBy("token", F.pmod(F.xxhash64("sig"), F.lit(tries)).alias("part")).agg(F.min(own).alias("l")).select("token", "l.*")
+    near = cut(candidates(short, short, ["token"], F.col("a") < F.col("b")).union(candidates(leaders, long, ["token"], F.col("a") != F.col("b"))).distinct())
     wanted = near.select(F.explode(F.array("a", "b")).alias("sig")).union(long.select("sig")).distinct()
     sets = sets_of(text, cut(nodes.join(wanted, "sig", "left_semi").select("sig", "rep")), words)
 
@@ -271,7 +283,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # the rest, where answers differ
     rest = labelled(labelled(near.select("a", "b").join(first, ["a", "b"], "left_anti"), "a", "label_a"), "b", "label_b").where("label_a <> label_b").select("a", "b")
-    long = cut(labelled(long.select("token", "sig", "n", "pos"), "sig", "label"))
+    long = cut(labelled(long.select("token", "sig", "n", "pos", "most"), "sig", "label"))
     shares = long.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"))
     largest = shares.groupBy("token").agg(F.max(F.struct("m", "label")).alias("top")).select("token", F.col("top.label").alias("main"))
     outside = long.join(largest, "token").where("label <> main").drop("main")

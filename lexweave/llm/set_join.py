@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from lexweave.llm import hashing
 from lexweave.llm.common import components, cut, slices, staged
 
-SKETCH_BITS = 1024
+SKETCH_BITS = 2048
 MARK_BITS = 22
 
 
@@ -200,6 +200,11 @@ def allowed(n_a: Column, n_b: Column, most: Column, percent: int) -> Column:
     return (100 + percent) * most >= percent * (n_a + n_b)
 
 
+def apart_of(a: str, b: str) -> Column:
+    """How many bits two bitmaps differ in: at least so many tokens only one of the sets has."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, x: s + x)
+
+
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) those that link, by their exact intersections."""
     sets = narrowed(sets, pairs)
@@ -248,19 +253,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lists = index.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
     index = cut(index.join(lists, "token"))
 
-    def candidates(a: DataFrame, b: DataFrame, keys: list[str], more: Column) -> DataFrame:
+    def candidates(a: DataFrame, b: DataFrame, keys: list[str], more: Column, bitmaps: bool = False) -> DataFrame:
         """Pairs that sizes, positions, unshared tokens and bitmaps allow, with the distance of their bitmaps."""
-        a = a.select(*keys, F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"), F.col("most").alias("most_a"), *([F.col("label").alias("label_a")] if "label" in a.columns else []))
-        b = b.select(*keys, F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"), F.col("most").alias("most_b"), *([F.col("label").alias("label_b")] if "label" in b.columns else []))
+        a = a.select(*keys, F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"), F.col("most").alias("most_a"), *([F.col("label").alias("label_a")] if "label" in a.columns else []), *([F.col("sketch").alias("early_a")] if bitmaps else []))
+        b = b.select(*keys, F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"), F.col("most").alias("most_b"), *([F.col("label").alias("label_b")] if "label" in b.columns else []), *([F.col("sketch").alias("early_b")] if bitmaps else []))
         most = F.least("pos_a", "pos_b") + 1 + F.least(F.col("n_a") - F.col("pos_a") - 1, F.col("n_b") - F.col("pos_b") - 1)
         most = F.least(most, "most_a", "most_b")
+        total = F.col("n_a") + F.col("n_b")
+        if bitmaps:  # bound within the join, so that it makes few rows
+            more = more & allowed(F.col("n_a"), F.col("n_b"), (total - apart_of("early_a", "early_b")) / 2, percent)
         pairs = a.join(b, keys).where(more & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & allowed(F.col("n_a"), F.col("n_b"), most, percent))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         for side in ("a", "b"):
             pairs = pairs.join(nodes.select(F.col("sig").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
-        apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, x: s + x)
-        pairs = pairs.select("a", "b", "n_a", "n_b", apart.alias("apart"))
-        total = F.col("n_a") + F.col("n_b")
+        pairs = pairs.select("a", "b", "n_a", "n_b", apart_of("sketch_a", "sketch_b").alias("apart"))
         return pairs.where((100 + percent) * (total - F.col("apart")) >= 2 * percent * total).select("a", "b", (F.col("apart") / total).alias("apart"))
 
     # short lists whole; in long ones all with a few that have the fewest tokens of their own
@@ -286,8 +292,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     long = cut(labelled(long.select("token", "sig", "n", "pos", "most"), "sig", "label"))
     shares = long.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"))
     largest = shares.groupBy("token").agg(F.max(F.struct("m", "label")).alias("top")).select("token", F.col("top.label").alias("main"))
+    long = long.join(nodes.select("sig", "sketch"), "sig")
     outside = long.join(largest, "token").where("label <> main").drop("main")
-    across = candidates(outside, long, ["token"], F.col("label_a") != F.col("label_b")).select("a", "b")
+    across = candidates(outside, long, ["token"], F.col("label_a") != F.col("label_b"), bitmaps=True).select("a", "b")
     rest = cut(rest.union(across).distinct())
     links = cut(links.union(linked(rest, sets, percent)))
 

@@ -30,14 +30,15 @@ def stream(n: int, seed: int) -> np.ndarray:
 
 
 BYTES = stream(256, 1)
+BLOCK = 1 << 16
 STRENGTH = stream(8, 2) | np.uint64(1)
 
 
-@lru_cache(2)
-def powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(1)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2 ** 64."""
     odd = int(STRENGTH[0])
-    up, down = (np.full(1 << bits, x, np.uint64) for x in (odd, pow(odd, -1, 1 << 64)))
+    up, down = (np.full(n, x, np.uint64) for x in (odd, pow(odd, -1, 1 << 64)))
     up[0] = down[0] = 1
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
@@ -50,11 +51,18 @@ def words(raw: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray,
     inside[1:-1] = ~SPACES[raw]
     edge = np.diff(inside)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    up, down = powers(max(12, int(len(raw)).bit_length()))
     table = BYTES[LOWER] if lower else BYTES
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(table[raw] * up[: len(raw)], out=total[1:])
-    hashes = (total[end] - total[start]) * down[start]
+    hashes = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):  # a block of words of BLOCK bytes, or one longer word
+        until = max(at + 1, int(np.searchsorted(end, start[at] + BLOCK, "right")))
+        first, size = start[at], int(end[until - 1] - start[at])
+        up, down = powers(BLOCK) if size <= BLOCK else powers.__wrapped__(size)
+        total = np.zeros(size + 1, np.uint64)
+        np.cumsum(table[raw[first : first + size]] * up[:size], out=total[1:])
+        s, e = start[at:until] - first, end[at:until] - first
+        hashes[at:until] = (total[e] - total[s]) * down[s]
+        at = until
     return start, end, mix64(hashes ^ (end - start).astype(np.uint64) * np.uint64(STEP))
 
 

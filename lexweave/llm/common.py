@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -47,8 +48,16 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on between tasks, and keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20, most_rows: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a slice holds about most_bytes of the text column (or one row)."""
+    """Cut batches so that a slice holds about most_bytes of the text column (or one row); then give memory back."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -60,6 +69,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 <
                 start, held = i, 0
             held += int(n)
         yield batch.slice(start)
+    give_back()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -185,6 +185,11 @@ def test_word_hashes():
     assert [text[s:e].decode() for s, e in zip(start, end)] == ["A", "bb", "CCC", "dd", "é"]
     other = hashing.words(np.frombuffer(b"zz a BB ccc DD " + "é".encode(), np.uint8))[2]
     assert (other[1:] == h).all() and len(set(h.tolist())) == 5
+    # blocks: more words than one holds, and a word longer than a block
+    many = b"one two " * hashing.BLOCK + b"x" * (3 * hashing.BLOCK) + b" one"
+    h = hashing.words(np.frombuffer(many, np.uint8))[2]
+    alone = [hashing.words(np.frombuffer(w, np.uint8))[2][0] for w in (b"one", b"two", b"x" * (3 * hashing.BLOCK))]
+    assert (h[:-2].reshape(-1, 2) == alone[:2]).all() and h[-2:].tolist() == [alone[2], alone[0]]
 
 
 def test_components(spark):

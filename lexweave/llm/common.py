@@ -35,14 +35,11 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder; survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def staged(df: DataFrame) -> DataFrame:
-    """Write df as Parquet under the shared folder and read it back."""
+    """Write df as Parquet under the shared folder and read it back: its lineage ends there, so lost executors cost no rework.
+
+    Unlike a checkpoint this runs the last step once, and empty partitions leave no files.
+    """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/lexweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -81,14 +78,14 @@ def components(edges: DataFrame) -> DataFrame:
     so a node with very many edges costs no long task.
     """
     both = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).where("src <> dst")
-    both = cut(both.union(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    labels = cut(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.first("src")).alias("label")))
+    both = staged(both.union(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
+    labels = staged(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.first("src")).alias("label")))
     while True:
         near = both.join(labels, both.dst == labels.node).groupBy("src").agg(F.min("label").alias("near"))
         stepped = labels.join(near, labels.node == near.src).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("node").alias("up"), F.col("label").alias("jump"))
         stepped = stepped.join(up, stepped.label == up.up, "left").select("node", "old", F.least("label", F.coalesce("jump", "label")).alias("label"))
-        stepped = cut(stepped)
+        stepped = staged(stepped)
         if not stepped.where("old <> label").limit(1).count():
             return stepped.select("node", F.col("label").alias("component"))
         labels = stepped.select("node", "label")

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import cut
+from lexweave.llm.common import staged
 
 
 @dataclass(frozen=True)
@@ -82,7 +82,7 @@ def shard_by_key(docs: DataFrame, root: Node, more: Node, id_col: str = "doc_id"
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text).alias("text_crc32"))
     rows = rows.select("*", placed(F.col("id"), root).alias("shard"), placed(F.col("id"), more).alias("grown_shard"), F.pmod(F.xxhash64("id", "text_crc32", F.lit("slot")), F.lit(buckets)).cast("int").alias("bucket"))
-    rows = cut(rows)
+    rows = staged(rows)
     counts = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = counts.select("shard", "bucket", (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("before"))
     inside = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("id", "text_crc32", "size"))

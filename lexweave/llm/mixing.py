@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import WORD, cut
+from lexweave.llm.common import WORD, staged
 
 SCALE = 1 << 20  # rates are whole multiples of 1 / SCALE: their sums are exact, whatever the order
 
@@ -78,8 +78,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     src = F.col(source_col).cast("string")
-    rows = cut(docs.select(F.col(id_col).alias("id"), src.isNull().alias("no_source"), F.coalesce(src, F.lit("")).alias("source"), size.alias("size")))
-    cells = cut(rows.groupBy("no_source", "source", "size").agg(F.count(F.lit(1)).alias("n")))
+    rows = staged(docs.select(F.col(id_col).alias("id"), src.isNull().alias("no_source"), F.coalesce(src, F.lit("")).alias("source"), size.alias("size")))
+    cells = staged(rows.groupBy("no_source", "source", "size").agg(F.count(F.lit(1)).alias("n")))
     sources = targets(cells.groupBy("no_source", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, cap)
 
     def rates(cell: pd.DataFrame) -> pd.DataFrame:
@@ -92,7 +92,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     keys = ["no_source", "source"]
     rated = cells.join(sources, keys).groupBy(*keys).applyInPandas(rates, "no_source boolean, source string, size long, n long, source_size long, target double, rate long, start long")
-    rated = cut(rated)
+    rated = staged(rated)
     keys = [*keys, "size"]
     part = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / group).cast("long")).cast("int")
     dealt = rows.join(rated, keys).withColumn("part", part)

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import components, cut
+from lexweave.llm.common import components, staged
 
 
 @dataclass
@@ -159,7 +159,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     from a block leave only counts and a spanning forest of its links.
     """
     raw = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).groupBy("id").agg(F.min("v").alias("v"))
-    raw = cut(raw)
+    raw = staged(raw)
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     fine = raw.where("id is not null and v is not null").where(~bad).where(F.exists("v", lambda x: x != 0))
     n = fine.count()
@@ -185,7 +185,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 near = q.nearest(x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.int32)
                 yield pd.DataFrame({"id": b["id"], "v": [r.tobytes() for r in x], "probes": list(near)})
 
-    placed = cut(fine.where(F.size("v") == dims).mapInPandas(assign, "id long, v binary, probes array<int>"))
+    placed = staged(fine.where(F.size("v") == dims).mapInPandas(assign, "id long, v binary, probes array<int>"))
     visits = placed.select("id", "v", "probes", F.col("probes")[0].alias("home"), F.explode("probes").alias("list"))
     # a row for each list, of which there are sample / 16 at most
     sized = visits.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block_visitors).cast("int").alias("visitor_blocks"), F.ceil(F.count_if(F.col("home") == F.col("list")) / block).cast("int").alias("member_blocks")).where("member_blocks > 0")
@@ -211,7 +211,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         tied = np.concatenate([np.zeros(len(counts), bool), np.ones(len(edges), bool)])
         return pd.DataFrame({"id": out[:, 0], "n": out[:, 1], "root": [int(r) if t else None for r, t in zip(out[:, 2], tied, strict=True)]})
 
-    found = cut(visitors.unionByName(members).groupBy("list", "i", "j").applyInPandas(unit_of_work, "id long, n long, root long"))
+    found = staged(visitors.unionByName(members).groupBy("list", "i", "j").applyInPandas(unit_of_work, "id long, n long, root long"))
     links = found.where("root is null").groupBy("id").agg(F.sum("n").alias("n_links"))
     parts = components(found.where("root is not null").select(F.col("id").alias("a"), F.col("root").alias("b")))
     out = everything.join(links, everything.node == links.id, "left").drop("id").withColumnRenamed("node", "vec").join(parts, F.col("vec") == F.col("node"), "left")

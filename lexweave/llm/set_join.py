@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexweave.llm import hashing
-from lexweave.llm.common import components, cut, slices, staged
+from lexweave.llm.common import components, slices, staged
 
 SKETCH_BITS = 2048
 MARK_BITS = 22
@@ -249,9 +249,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = index.groupBy("sig").agg(F.count(F.lit(1)).alias("met"))
     index = index.join(shared, "sig").withColumn("most", (F.col("n") - prefix + F.col("met")).cast("int")).drop("met")
     index = index.where(allowed(F.col("n"), F.floor((percent * F.col("n") + 99) / 100), F.col("most"), percent))
-    index = cut(index)
+    index = staged(index)
     lists = index.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
-    index = cut(index.join(lists, "token"))
+    index = staged(index.join(lists, "token"))
 
     def candidates(a: DataFrame, b: DataFrame, keys: list[str], more: Column, bitmaps: bool = False) -> DataFrame:
         """Pairs that sizes, positions, unshared tokens and bitmaps allow, with the distance of their bitmaps."""
@@ -273,14 +273,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     short, long = index.where(F.col("length") <= block), index.where(F.col("length") > block)
     own = F.struct((F.col("n") - F.col("most")).alias("own"), "sig", "n", "pos", "most")
     leaders = long.groupBy("token", F.pmod(F.xxhash64("sig"), F.lit(tries)).alias("part")).agg(F.min(own).alias("l")).select("token", "l.*")
-    near = cut(candidates(short, short, ["token"], F.col("a") < F.col("b")).union(candidates(leaders, long, ["token"], F.col("a") != F.col("b"))).distinct())
+    near = staged(candidates(short, short, ["token"], F.col("a") < F.col("b")).union(candidates(leaders, long, ["token"], F.col("a") != F.col("b"))).distinct())
     wanted = near.select(F.explode(F.array("a", "b")).alias("sig")).union(long.select("sig")).distinct()
-    sets = sets_of(text, cut(nodes.join(wanted, "sig", "left_semi").select("sig", "rep")), words)
+    sets = sets_of(text, staged(nodes.join(wanted, "sig", "left_semi").select("sig", "rep")), words)
 
     # the few most alike of each set
     ends = near.select(F.col("a").alias("node"), "a", "b", "apart").union(near.select(F.col("b").alias("node"), "a", "b", "apart"))
-    first = cut(ends.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("apart", "a", "b"))).where(F.col("nth") <= tries).select("a", "b").distinct())
-    links = cut(linked(first, sets, percent))
+    first = staged(ends.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("apart", "a", "b"))).where(F.col("nth") <= tries).select("a", "b").distinct())
+    links = staged(linked(first, sets, percent))
     label = components(links)
 
     def labelled(df: DataFrame, side: str, out: str) -> DataFrame:
@@ -289,14 +289,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # the rest, where answers differ
     rest = labelled(labelled(near.select("a", "b").join(first, ["a", "b"], "left_anti"), "a", "label_a"), "b", "label_b").where("label_a <> label_b").select("a", "b")
-    long = cut(labelled(long.select("token", "sig", "n", "pos", "most"), "sig", "label"))
+    long = staged(labelled(long.select("token", "sig", "n", "pos", "most"), "sig", "label"))
     shares = long.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"))
     largest = shares.groupBy("token").agg(F.max(F.struct("m", "label")).alias("top")).select("token", F.col("top.label").alias("main"))
     long = long.join(nodes.select("sig", "sketch"), "sig")
     outside = long.join(largest, "token").where("label <> main").drop("main")
     across = candidates(outside, long, ["token"], F.col("label_a") != F.col("label_b"), bitmaps=True).select("a", "b")
-    rest = cut(rest.union(across).distinct())
-    links = cut(links.union(linked(rest, sets, percent)))
+    rest = staged(rest.union(across).distinct())
+    links = staged(links.union(linked(rest, sets, percent)))
 
     parts = components(links)
     known = nodes.select("sig", "rep").join(parts, nodes.sig == parts.node, "left").select("sig", "rep", F.coalesce("component", "sig").alias("component"))

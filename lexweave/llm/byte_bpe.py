@@ -15,7 +15,7 @@ import base64
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +30,38 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+class Recent:
+    """Values of keys in two generations: of the older one stay the keys that are asked for again."""
+
+    def __init__(self, keep: int):
+        self.keep = keep
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def age(self) -> None:
+        if len(self.now) > self.keep:
+            self.before, self.now = self.now, {}
+
+    def unknown(self, keys: Iterable[str]) -> list[str]:
+        """The keys without a value; the values of all others are in `now` from here on."""
+        now, before = self.now, self.before
+        out = []
+        for key in keys:
+            if key not in now:
+                if (value := before.get(key)) is None:
+                    out.append(key)
+                else:
+                    now[key] = value
+        return out
+
+
 class Codec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, keep: int = 600_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, keep: int = 200_000, block: int = 1 << 18):
         import regex
 
         #: White space by its Unicode property, as in the library of the rank files.
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        self.ranks, self.keep = ranks, keep
+        self.ranks, self.keep, self.block = ranks, keep, block
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.token_bytes = np.empty(max(ranks.values()) + 1, object)
         for token, rank in ranks.items():
@@ -44,8 +69,8 @@ class Codec:
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
         self.byte_pairs = np.array([[ranks.get(bytes([i, j]), -1) for j in range(256)] for i in range(256)], np.int64)
         self.joined: dict[int, int] = {}  # of a pair of ids: the id of both together, or -1
-        self.known: dict[str, bytes] = {}  # pieces
-        self.units: dict[str, bytes] = {}  # what lies between two single spaces
+        self.known = Recent(keep)  # pieces
+        self.units = Recent(keep)  # what lies between two single spaces
         self.ragged = re.compile(r" (?=\s|\Z)")
 
     def joins(self, a: int, b: int) -> int:
@@ -133,16 +158,25 @@ class Codec:
     def learn(self, units: list[str], space: str, known: dict[str, bytes]) -> None:
         """Encode units and keep them."""
         cut = [self.pieces(space + u) for u in units]
-        words = [w for w in set().union(*cut) if w not in self.known]
-        self.known.update(zip(words, self.replay([w.encode() for w in words]), strict=True))
-        piece = self.known.__getitem__
+        held: list[bytes] = []
+        ids: list[bytes] = []
+        size = 0
+        words = self.known.unknown(set().union(*cut))
+        for word in map(str.encode, words):  # in blocks, as a replay's lists take many times its bytes
+            if held and size + len(word) > self.block:
+                ids += self.replay(held)
+                held, size = [], 0
+            held.append(word)
+            size += len(word)
+        ids += self.replay(held)
+        self.known.now.update(zip(words, ids, strict=True))
+        piece = self.known.now.__getitem__
         known.update(zip(units, [piece(ws[0]) if len(ws) == 1 else b"".join(map(piece, ws)) for ws in cut], strict=True))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Of each text its ids as little-endian unsigned 32-bit integers."""
-        for memory in (self.units, self.known):
-            if len(memory) > self.keep:
-                memory.clear()
+        self.units.age()
+        self.known.age()
         split = [self.split(t) for t in texts]
         first: dict[str, bytes] = {}
         self.learn(list({us[0] for us in split}), "", first)
@@ -150,9 +184,8 @@ class Codec:
             us[0] = None
         seen = set().union(*split)
         seen.discard(None)
-        units = self.units
-        self.learn([u for u in seen if u not in units], " ", units)
-        get = units.__getitem__
+        self.learn(self.units.unknown(seen), " ", self.units.now)
+        get = self.units.now.__getitem__
         return [first[t if len(us) == 1 else t[: t.index(" ")]] + b"".join(map(get, us[1:])) for t, us in zip(texts, split, strict=True)]
 
     def decode(self, ids: bytes) -> bytes:
@@ -175,12 +208,12 @@ def encode_texts(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "d
 
     A null or empty text has no ids. A row for each input row: repeated rows
     stay repeated, null ids stay null, other columns don't come along. No
-    shuffle; a slice of a few MB of texts is held at a time.
+    shuffle; a slice of about 1 MB of texts is held at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(rank_file, pattern, **options)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             ids = bpe.encode_batch([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.binary())], ["id", "ids", "decoded"])
 
@@ -194,7 +227,7 @@ def encoding_digests(docs: DataFrame, rank_file: str, pattern: str, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(rank_file, pattern, **options)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             ids = bpe.encode_batch([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from lexweave.llm.common import slices
 
 SEGMENT = 512
+STRETCHES = 8
 GAP, OTHER = 0, 1  # classes of anything but letters, and of letters that no labelled text has
 
 
@@ -151,13 +152,28 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 == 2, F.lit(True))
 
 
+def stretches(text: Column, id_col: Column, size: int) -> Column:
+    """The text, or of a longer one stretches of together at most `size` characters: one from each equal part, where its id's hash says."""
+    parts = STRETCHES if size >= 8 * STRETCHES else 1
+    width = (size - parts + 1) // parts
+    n = F.length(text)
+
+    def stretch(i: Column) -> Column:
+        start, end = F.floor(i * n / parts), F.floor((i + 1) * n / parts)
+        at = start + F.pmod(F.xxhash64(id_col, F.lit("stretch"), i), end - start - width + 1)
+        return F.substring(text, (at + 1).cast("int"), F.lit(width))
+
+    return F.when(n <= size, text).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), stretch), "\n"))
+
+
 def labelled_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, texts: int, chars: int, longest: int) -> tuple[dict[str, str], dict[str, int]]:
     """Up to `chars` characters of about `texts` documents of each language that are not held out.
 
     Which documents: those of the smallest hashes of their ids, a share of each
     language that its count sets, so what comes to the driver is bounded:
-    languages x about `texts` texts of at most `longest` characters. Also
-    returns how many documents each language has.
+    languages x about `texts` texts of at most `longest` characters; longer
+    documents come as stretches from all over them. The last one is left out
+    where it doesn't fit. Also returns how many documents each language has.
     """
     known = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang is not null and text is not null").where(~held_out(F.col("id")))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -165,12 +181,15 @@ def labelled_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, t
         return {}, {}
     draw = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 40))
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 40, (texts << 40) // n + 1))])
-    drawn = known.withColumn("draw", draw).where(F.col("draw") < share[F.col("lang")]).select("lang", "draw", F.substring("text", 1, longest).alias("text"))
+    drawn = known.withColumn("draw", draw).where(F.col("draw") < share[F.col("lang")]).select("lang", "draw", stretches(F.col("text"), F.col("id"), min(longest, chars)).alias("text"))
     out: dict[str, list[str]] = {lang: [] for lang in counts}
+    full: set[str] = set()
     for r in sorted(drawn.collect(), key=lambda r: (r["lang"], r["draw"], r["text"])):
-        if sum(map(len, out[r["lang"]])) < chars:
+        if len("\n".join([*out[r["lang"]], r["text"]])) > chars:
+            full.add(r["lang"])
+        if r["lang"] not in full:
             out[r["lang"]].append(r["text"])
-    return {lang: "\n".join(ts)[:chars] for lang, ts in out.items() if any(c.isalpha() for t in ts for c in t)}, counts
+    return {lang: "\n".join(ts) for lang, ts in out.items() if any(c.isalpha() for t in ts for c in t)}, counts
 
 
 def language_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = 80, chars: int = 48_000, longest: int = 4000, keep: bool = False) -> DataFrame:

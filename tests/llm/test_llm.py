@@ -324,6 +324,17 @@ def test_language(spark):
     assert language.language_of(odd.limit(0)).count() == 0
 
 
+def test_language_learns_from_whole_texts(spark):
+    """What follows a foreign preamble is learned from, to the end of the text."""
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = spark.createDataFrame([(i, "qq ww " * 900 + "".join(f" {c}{c}{c}" for c in "abcdefghij" for _ in range(500)), "x") for i in ids], "doc_id long, text string, lang string")
+    texts, counts = language.labelled_texts(docs, "doc_id", "text", "lang", 80, 48_000, 4000)
+    assert counts == {"x": len(ids)} and set("abcdefghijqw") <= set(texts["x"]) and 40_000 < len(texts["x"]) <= 48_000
+    short = docs.select("doc_id", F.expr("concat('start ', repeat('m ', 1990), 'end')").alias("text"), "lang")
+    texts, _ = language.labelled_texts(short, "doc_id", "text", "lang", 80, 10_000, 4000)
+    assert texts["x"].count("start") == texts["x"].count("end") == 2
+
+
 def test_suffix_automaton():
     text = [random.Random(1).randrange(3) for _ in range(60)]
     go = language.suffix_automaton(text)

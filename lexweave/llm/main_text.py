@@ -7,7 +7,10 @@ discounted by the share of its text that is in links. The best element is kept
 with those of its siblings that score well themselves or are plain paragraphs
 and headings. Elements whose role is not text (menus, headers, footers,
 sidebars, notices, adverts, forms, comments, scripts, styles) neither score
-nor come along.
+nor come along. As ids of headings, sections and paragraphs of an article are
+often slugs of its text, those of headings don't count; of the others an id
+with an unwanted word counts where the element holds form fields or is half
+links, and that of a section also if all its words are unwanted.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ TOKEN = re.compile(
     r"|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br".split())
@@ -36,18 +39,20 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: A start tag ends open elements of these names, up to the nearest of the second.
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+FIELDS = frozenset("form input textarea select button".split())
 DROPPED = frozenset("nav footer aside form button dialog menu head".split())
 DROPPED_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar rail footer header masthead toolbar comment comments disqus reply replies respond related recommended share sharing social newsletter subscribe subscription signup login search pagination pager widget complementary contentinfo".split()
 )
+SLUGGED = HEADINGS | {"section", "p"}
 KEPT_NAMES = frozenset("article main content post entry body text story".split())
 
 
 class Element:
-    __slots__ = ("name", "parent", "dropped", "score", "length", "linked")
+    __slots__ = ("name", "parent", "dropped", "doubtful", "fields", "score", "length", "linked")
 
-    def __init__(self, name: str, parent: Element | None, dropped: bool):
-        self.name, self.parent, self.dropped = name, parent, dropped
+    def __init__(self, name: str, parent: Element | None, dropped: bool, doubtful: bool = False):
+        self.name, self.parent, self.dropped, self.doubtful, self.fields = name, parent, dropped, doubtful, False
         self.score = self.length = self.linked = 0.0
 
 
@@ -65,11 +70,42 @@ def unwanted(name: str, attributes: str, stack: list[Element]) -> bool:
     words = words_of(attributes)
     if any(w in KEPT_NAMES for w in words):
         return False
+    if inside and name in SLUGGED:
+        ids = [w for w in words_of(attributes, ("id",)) if w]
+        if name == "section" and ids and all(w in DROPPED_NAMES for w in ids):
+            return True
+        words = words_of(attributes, ("class", "role"))
     return any(w in DROPPED_NAMES and not (inside and w == "header") for w in words)
 
 
-def words_of(attributes: str) -> list[str]:
-    return [w for m in NAMES.finditer(attributes) for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", m[1] or m[2] or m[3] or "").lower())]
+def doubtful(name: str, attributes: str, stack: list[Element]) -> bool:
+    """Whether an element that unwanted() leaves has an id that counts if its structure bears it out."""
+    if name not in ("section", "p") or not any(w in DROPPED_NAMES for w in words_of(attributes, ("id",))):
+        return False
+    return any(e.name in ("article", "main") for e in stack) and not any(w in KEPT_NAMES for w in words_of(attributes))
+
+
+def words_of(attributes: str, of: tuple[str, ...] = ("class", "id", "role")) -> list[str]:
+    return [w for m in NAMES.finditer(attributes) if m[1].lower() in of for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower())]
+
+
+def borne_out(blocks: list[tuple[Element, str, int]]) -> list[tuple[Element, str, int]]:
+    """Blocks less those in doubtful elements that hold form fields or are half links."""
+    held: dict[int, list] = {}
+    above = []
+    for element, text, linked in blocks:
+        own = []
+        up: Element | None = element
+        while up is not None:
+            if up.doubtful:
+                own.append(id(up))
+                sums = held.setdefault(id(up), [up.fields, 0, 0])
+                sums[1] += len(text)
+                sums[2] += linked
+            up = up.parent
+        above.append(own)
+    out = {key for key, (fields, length, linked) in held.items() if fields or 2 * linked >= length}
+    return [b for b, own in zip(blocks, above, strict=True) if not out.intersection(own)] if out else blocks
 
 
 def blocks_of(html: str) -> list[tuple[Element, str, int]]:
@@ -110,6 +146,9 @@ def blocks_of(html: str) -> list[tuple[Element, str, int]]:
         say(html[done : m.start()])
         done = m.end()
         name = m[2]
+        if (name or m[1] or "").lower() in FIELDS:
+            for e in stack:
+                e.fields = True
         if name is None:
             continue
         name = name.lower()
@@ -148,10 +187,11 @@ def blocks_of(html: str) -> list[tuple[Element, str, int]]:
             flush()
         if name in VOID:
             continue
-        stack.append(Element(name, stack[-1], stack[-1].dropped or unwanted(name, m[3], stack)))
+        dropped = stack[-1].dropped or unwanted(name, m[3], stack)
+        stack.append(Element(name, stack[-1], dropped, not dropped and doubtful(name, m[3], stack)))
     say(html[done:])
     flush()
-    return blocks
+    return borne_out(blocks)
 
 
 def main_text(html: str) -> str:

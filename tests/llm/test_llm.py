@@ -98,6 +98,17 @@ def test_main_text(html, text):
     assert (main_text.main_text(html) if html else "") == text
 
 
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        ("<article><h2 id='search'>Search</h2><p>a, b</p><section id='related-work'><h2><a href='#related-work'>Related work</a></h2><p>c, d, e and more of it</p></section><p id='reply-to-x'>f, g</p></article>", "Search\n\na, b\n\nRelated work\n\nc, d, e and more of it\n\nf, g"),
+        ("<article><p>a, b</p><section id='comments'><p>me too</p></section><section id='related-posts'><p><a>x</a></p><p><a>y</a> z</p></section><section id='signup-now'><p>Your mail<input name=m></p></section><p class='notice'>n</p><div id='share-this'>s</div></article>", "a, b"),
+    ],
+)
+def test_main_text_slugs(html, text):
+    assert main_text.main_text(html) == text
+
+
 def test_main_text_rows(spark):
     df = spark.createDataFrame([(1, "u", "<article><p>a", 5), (1, "u", "<article><p>a", 5), (None, None, None, None)], "page_id long, url string, html string, text int")
     got = sorted(main_text.extract(df).collect(), key=str)

@@ -8,13 +8,15 @@ coded member. A member is kept if that distance is at most the radius of the
 cosine plus the member's own coding error, which loses no pair (triangle
 inequality); kept pairs are decided by their exact cosine. Centroids and
 codewords are fitted on a bounded sample, thinned so that a group of copies
-counts once; every row is indexed and every row searches.
+counts once; every row is indexed and every row searches. Each length of
+vectors has its own quantiser; the few of a rare length all meet each other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 
 from lexweave.llm.common import components, staged
 
+FOUND = "id long, n long, root long"
+
 
 @dataclass
 class Quantiser:
@@ -148,34 +152,59 @@ def search(q: Quantiser, home: int, queries: dict[str, np.ndarray], members: dic
     return np.stack([every[counted], links[counted]], 1), np.stack([every[tied], every[label[tied]]], 1)
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, probes: int = 16, per_list: int = 400, sample: int = 8192, block: int = 512, block_visitors: int = 4096) -> DataFrame:
-    """Rows (id, n_links, component_id, kept), one for each id.
+def exact(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
+    """Links counted and spanning edges of a few vectors of one length, as (id, n, root)."""
+    x = np.stack(rows["v"].to_numpy()).astype(float)
+    norm = np.linalg.norm(x, axis=1)
+    every, place = np.unique(rows["id"].to_numpy(), return_inverse=True)
+    close = (x @ x.T >= cosine * np.outer(norm, norm)) & (place[:, None] != place)
+    label = forest(*(place[k] for k in np.nonzero(close)), len(every))
+    tied = np.flatnonzero(label != np.arange(len(every)))
+    links = np.bincount(place, close.sum(1), len(every)).astype(np.int64)
+    root = pd.array([None] * len(every) + every[label[tied]].tolist(), "Int64")
+    return pd.DataFrame({"id": np.concatenate([every, every[tied]]), "n": np.concatenate([links, np.zeros(len(tied), np.int64)]), "root": root})
+
+
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, probes: int = 16, per_list: int = 400, sample: int = 8192, block: int = 512, block_visitors: int = 4096, few: int = 256) -> DataFrame:
+    """Rows (id, n_links, component_id, kept), one for each input row.
 
     Vectors that are null, empty, zero or hold null or non-finite components
-    link with nothing; so do vectors of another length than most of the sample
-    has. Rows that repeat an id count as one, with the smallest of their
-    vectors. A null id gets a row without links and without component. Large
-    lists are cut into blocks of members and of visitors that meet pairwise;
-    from a block leave only counts and a spanning forest of its links.
+    link with nothing; others link with those of their own length, lengths of
+    at most `few` vectors by exact cosines of all pairs. Rows that repeat an id
+    don't link with each other; each has the links of all of them and their
+    one component. A null id gets a row without links and without component.
+    Large lists are cut into blocks of members and of visitors that meet
+    pairwise; from a block leave only counts and a spanning forest of its links.
     """
-    raw = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).groupBy("id").agg(F.min("v").alias("v"))
-    raw = staged(raw)
+    raw = staged(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.monotonically_increasing_id().alias("row")))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     fine = raw.where("id is not null and v is not null").where(~bad).where(F.exists("v", lambda x: x != 0))
-    n = fine.count()
-    share = min(1 << 40, (sample << 40) // max(n, 1) + 1)
-    drawn = [np.array(r["v"]) for r in fine.where(F.pmod(F.xxhash64("id", F.lit("centroids")), F.lit(1 << 40)) < share).orderBy("id").select("v").collect()]
-    if not drawn:
-        drawn = [np.array(r["v"]) for r in fine.orderBy("id").limit(1).select("v").collect()]
-    spark = vectors.sparkSession
     everything = raw.select(F.col("id").alias("node"))
-    if not drawn:
+    sizes = {r["dims"]: r["n"] for r in fine.groupBy(F.size("v").alias("dims")).agg(F.count(F.lit(1)).alias("n")).orderBy("dims").collect()}
+    if not sizes:
         return everything.select(F.col("node").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("node").alias("component_id"), F.col("node").isNotNull().alias("kept"))
-    sizes = [len(v) for v in drawn]
-    dims = max(set(sizes), key=lambda d: (sizes.count(d), d))
-    unit = np.stack([v for v in drawn if len(v) == dims])
+    many = [dims for dims, n in sizes.items() if n > few]
+    parts = [_searched(fine.where(F.size("v") == dims), sizes[dims], cosine, probes, per_list, sample, block, block_visitors) for dims in many]
+    if len(many) < len(sizes):
+        rare = fine.where(~F.size("v").isin(many)).groupBy(F.size("v").alias("dims"))
+        parts.append(rare.applyInPandas(lambda rows: exact(rows, cosine), FOUND))
+    found = staged(reduce(DataFrame.unionByName, parts))
+    links = found.where("root is null").groupBy("id").agg(F.sum("n").alias("n_links"))
+    tied = components(found.where("root is not null").select(F.col("id").alias("a"), F.col("root").alias("b")))
+    out = everything.join(links, everything.node == links.id, "left").drop("id").withColumnRenamed("node", "vec").join(tied, F.col("vec") == F.col("node"), "left")
+    component = F.coalesce("component", "vec")
+    return out.select(F.col("vec").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec") == component, F.lit(False)).alias("kept"))
+
+
+def _searched(fine: DataFrame, n: int, cosine: float, probes: int, per_list: int, sample: int, block: int, block_visitors: int) -> DataFrame:
+    """Rows (id, n, root) of the links of n vectors of one length: counts, where root is null, and spanning edges."""
+    share = min(1 << 40, (sample << 40) // n + 1)
+    drawn = [np.array(r["v"]) for r in fine.where(F.pmod(F.xxhash64("id", "v", F.lit("centroids")), F.lit(1 << 40)) < share).select("id", "v").distinct().orderBy("id", "v").select("v").collect()]
+    if not drawn:
+        drawn = [np.array(r["v"]) for r in fine.orderBy("id", "v").limit(1).select("v").collect()]
+    unit = np.stack(drawn)
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-    sent = spark.sparkContext.broadcast(fit(unit, min(max(1, n // per_list), max(1, sample // 16)), probes, cosine))
+    sent = fine.sparkSession.sparkContext.broadcast(fit(unit, min(max(1, n // per_list), max(1, sample // 16)), probes, cosine))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         q = sent.value
@@ -183,14 +212,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             if len(b):
                 x = np.stack(b["v"].to_numpy()).astype(float)
                 near = q.nearest(x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.int32)
-                yield pd.DataFrame({"id": b["id"], "v": [r.tobytes() for r in x], "probes": list(near)})
+                yield pd.DataFrame({"id": b["id"], "row": b["row"], "v": [r.tobytes() for r in x], "probes": list(near)})
 
-    placed = staged(fine.where(F.size("v") == dims).mapInPandas(assign, "id long, v binary, probes array<int>"))
-    visits = placed.select("id", "v", "probes", F.col("probes")[0].alias("home"), F.explode("probes").alias("list"))
+    placed = staged(fine.mapInPandas(assign, "id long, row long, v binary, probes array<int>"))
+    visits = placed.select("id", "row", "v", "probes", F.col("probes")[0].alias("home"), F.explode("probes").alias("list"))
     # a row for each list, of which there are sample / 16 at most
     sized = visits.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block_visitors).cast("int").alias("visitor_blocks"), F.ceil(F.count_if(F.col("home") == F.col("list")) / block).cast("int").alias("member_blocks")).where("member_blocks > 0")
     visits = visits.join(F.broadcast(sized), "list")
-    spread = lambda name, other, mine: (F.pmod(F.xxhash64("id", F.lit(name)), F.col(mine)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+    spread = lambda name, other, mine: (F.pmod(F.xxhash64("id", "row", F.lit(name)), F.col(mine)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
     mine, theirs = spread("visitor", "member_blocks", "visitor_blocks")
     visitors = visits.select("list", mine.alias("i"), theirs.alias("j"), F.lit(True).alias("visits"), "id", "v", "probes")
     mine, theirs = spread("member", "visitor_blocks", "member_blocks")
@@ -211,9 +240,4 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         tied = np.concatenate([np.zeros(len(counts), bool), np.ones(len(edges), bool)])
         return pd.DataFrame({"id": out[:, 0], "n": out[:, 1], "root": [int(r) if t else None for r, t in zip(out[:, 2], tied, strict=True)]})
 
-    found = staged(visitors.unionByName(members).groupBy("list", "i", "j").applyInPandas(unit_of_work, "id long, n long, root long"))
-    links = found.where("root is null").groupBy("id").agg(F.sum("n").alias("n_links"))
-    parts = components(found.where("root is not null").select(F.col("id").alias("a"), F.col("root").alias("b")))
-    out = everything.join(links, everything.node == links.id, "left").drop("id").withColumnRenamed("node", "vec").join(parts, F.col("vec") == F.col("node"), "left")
-    component = F.coalesce("component", "vec")
-    return out.select(F.col("vec").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec") == component, F.lit(False)).alias("kept"))
+    return visitors.unionByName(members).groupBy("list", "i", "j").applyInPandas(unit_of_work, FOUND)

@@ -325,6 +325,28 @@ def test_near_duplicates(spark):
     assert pq_dedup.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_near_duplicates_of_every_length_and_row(spark):
+    """Rows of common and of rare lengths and of repeated ids, against all pairs."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for dims, n in ((16, 400), (12, 300), (5, 40), (1, 1)):
+        x = rng.normal(size=(n, dims))
+        x[n // 2 :] = x[: n - n // 2] * 2
+        rows += [(len(rows) + k, v) for k, v in enumerate(x.astype(np.float32).astype(float).tolist())]
+    rows += [(0, rows[3][1]), (0, rows[450][1]), (1, rows[1][1]), (720, rows[705][1]), (10**6, rows[701][1])]
+    unit = [np.array(v) / np.linalg.norm(v) for _, v in rows]
+    n, label = {i: 0 for i, _ in rows}, {i: i for i, _ in rows}
+    pairs = [(a[0], b[0]) for a, x in zip(rows, unit) for b, y in zip(rows, unit) if a[0] != b[0] and len(x) == len(y) and x @ y >= 0.95]
+    for a, _ in pairs:
+        n[a] += 1
+    for _ in range(9):
+        for a, b in pairs:
+            label[a] = min(label[a], label[b])
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], VECTORS)
+    got = sorted(tuple(r) for r in pq_dedup.near_duplicates(df, per_list=60, block=40, block_visitors=150).collect())
+    assert got == sorted((i, n[i], label[i], label[i] == i) for i, _ in rows)
+
+
 def test_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.language_of(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()

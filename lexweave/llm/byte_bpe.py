@@ -15,14 +15,17 @@ import base64
 import hashlib
 import heapq
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import slices
+from lexweave.llm.common import Recent, slices
+
+
+SLICE = 2 << 20  # bytes of text that are encoded at a time
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -30,73 +33,50 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-class Recent:
-    """Values of keys in two generations: of the older one stay the keys that are asked for again."""
-
-    def __init__(self, keep: int):
-        self.keep = keep
-        self.now: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+class Tables:
+    """What the ranks say of tokens and of pairs of them; fixed, so a worker keeps one."""
 
-    def age(self) -> None:
-        if len(self.now) > self.keep:
-            self.before, self.now = self.now, {}
-
-    def unknown(self, keys: Iterable[str]) -> list[str]:
-        """The keys without a value; the values of all others are in `now` from here on."""
-        now, before = self.now, self.before
-        out = []
-        for key in keys:
-            if key not in now:
-                if (value := before.get(key)) is None:
-                    out.append(key)
-                else:
-                    now[key] = value
-        return out
+    def __init__(self, ranks: dict[bytes, int]):
+        self.token_bytes = np.empty(max(ranks.values()) + 1, object)
+        for token, rank in ranks.items():
+            self.token_bytes[rank] = token
+        self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        self.byte_pairs = np.array([[ranks.get(bytes([i, j]), -1) for j in range(256)] for i in range(256)], np.int64)
+        #: a << 32 | b: the id of both tokens together, for all pairs that make one
+        self.joined = {a << 32 | b: rank for token, rank in ranks.items() for cut in range(1, len(token)) if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None}
 
 
 class Codec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, keep: int = 200_000, block: int = 1 << 18):
+    """Encoder and decoder; what it remembers of pieces and units is bounded by bytes."""
+
+    def __init__(self, tables: Tables, pattern: str, keep_bytes: int = 40 << 20, block: int = 1 << 18):
         import regex
 
         #: White space by its Unicode property, as in the library of the rank files.
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        self.ranks, self.keep, self.block = ranks, keep, block
-        self.tokens = {rank: token for token, rank in ranks.items()}
-        self.token_bytes = np.empty(max(ranks.values()) + 1, object)
-        for token, rank in ranks.items():
-            self.token_bytes[rank] = token
-        self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
-        self.byte_pairs = np.array([[ranks.get(bytes([i, j]), -1) for j in range(256)] for i in range(256)], np.int64)
-        self.joined: dict[int, int] = {}  # of a pair of ids: the id of both together, or -1
-        self.known = Recent(keep)  # pieces
-        self.units = Recent(keep)  # what lies between two single spaces
+        self.tables, self.block = tables, block
+        self.known = Recent(keep_bytes)  # pieces
+        self.units = Recent(keep_bytes)  # what lies between two single spaces
         self.ragged = re.compile(r" (?=\s|\Z)")
 
-    def joins(self, a: int, b: int) -> int:
-        """The id of both tokens together, or -1; kept for next time."""
-        if len(self.joined) > 8 * self.keep:
-            self.joined.clear()
-        got = self.joined[a << 32 | b] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
-        return got
-
     def replay(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word as little-endian 32-bit integers, all words at once."""
         raw = np.frombuffer(b"\n".join(words) + b"\n", np.uint8)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes + 1) - 1  # where each word's end mark stands
-        flat = self.byte_ids[raw]
+        flat = self.tables.byte_ids[raw]
         flat[ends] = -1
-        ranks = np.where((flat[:-1] >= 0) & (flat[1:] >= 0), self.byte_pairs[raw[:-1], raw[1:]], -1)
+        ranks = np.full(len(flat), -1)  # of the pair that starts at each position
+        ranks[:-1] = np.where((flat[:-1] >= 0) & (flat[1:] >= 0), self.tables.byte_pairs[raw[:-1], raw[1:]], -1)
         places = np.argsort(ranks, kind="stable")
         places = places[np.searchsorted(ranks[places], 0) :]
         cuts = np.flatnonzero(np.diff(ranks[places], prepend=-1))
         index = {int(ranks[g[0]]): g.tolist() for g in np.split(places, cuts[1:])} if len(places) else {}
-        tok, n = flat.tolist(), len(flat)
+        tok, pair, n = flat.tolist(), ranks.tolist(), len(flat)
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = list(index)
         heapq.heapify(heap)
-        push, pop, known, joins = heapq.heappush, heapq.heappop, self.joined.get, self.joins
+        push, pop, joined = heapq.heappush, heapq.heappop, self.tables.joined.get
         while heap:
             rank = pop(heap)
             places = index.pop(rank, None)
@@ -104,21 +84,17 @@ class Codec:
                 continue
             places.sort()
             for k, p in enumerate(places):
-                a, q = tok[p], nxt[p]
-                if a < 0 or (b := tok[q]) < 0:
-                    continue
-                if (r := known(a << 32 | b)) is None:
-                    r = joins(a, b)
-                if r != rank:
+                if pair[p] != rank:
                     continue
+                q = nxt[p]
                 tok[p], tok[q] = rank, -2
+                pair[q] = -1
                 after = nxt[p] = nxt[q]
                 before = prv[p]
                 prv[after] = p
                 lower = False
                 if before >= 0 and (a := tok[before]) >= 0:
-                    if (r := known(a << 32 | rank)) is None:
-                        r = joins(a, rank)
+                    r = pair[before] = joined(a << 32 | rank, -1)
                     if r >= 0:
                         if r in index:
                             index[r].append(before)
@@ -127,8 +103,7 @@ class Codec:
                             push(heap, r)
                         lower = r <= rank
                 if (b := tok[after]) >= 0:
-                    if (r := known(rank << 32 | b)) is None:
-                        r = joins(rank, b)
+                    r = pair[p] = joined(rank << 32 | b, -1)
                     if r >= 0:
                         if r in index:
                             index[r].append(p)
@@ -136,6 +111,8 @@ class Codec:
                             index[r] = [p]
                             push(heap, r)
                         lower = lower or r <= rank
+                else:
+                    pair[p] = -1
                 if lower:  # it takes over; the rest of this rank's positions wait
                     index.setdefault(rank, []).extend(places[k + 1 :])
                     push(heap, rank)
@@ -155,8 +132,8 @@ class Codec:
         """
         return [text] if self.ragged.search(text) else text.split(" ")
 
-    def learn(self, units: list[str], space: str, known: dict[str, bytes]) -> None:
-        """Encode units and keep them."""
+    def learn(self, units: list[str], space: str) -> list[bytes]:
+        """Ids of units, with the space before them."""
         cut = [self.pieces(space + u) for u in units]
         held: list[bytes] = []
         ids: list[bytes] = []
@@ -169,38 +146,35 @@ class Codec:
             held.append(word)
             size += len(word)
         ids += self.replay(held)
-        self.known.now.update(zip(words, ids, strict=True))
+        self.known.keep(words, ids)
         piece = self.known.now.__getitem__
-        known.update(zip(units, [piece(ws[0]) if len(ws) == 1 else b"".join(map(piece, ws)) for ws in cut], strict=True))
+        return [piece(ws[0]) if len(ws) == 1 else b"".join(map(piece, ws)) for ws in cut]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Of each text its ids as little-endian unsigned 32-bit integers."""
         self.units.age()
         self.known.age()
         split = [self.split(t) for t in texts]
-        first: dict[str, bytes] = {}
-        self.learn(list({us[0] for us in split}), "", first)
-        for us in split:
-            us[0] = None
-        seen = set().union(*split)
-        seen.discard(None)
-        self.learn(self.units.unknown(seen), " ", self.units.now)
+        first = [us.pop(0) for us in split]
+        heads = self.learn(first, "")
+        new = self.units.unknown(set().union(*split))
+        self.units.keep(new, self.learn(new, " "))
         get = self.units.now.__getitem__
-        return [first[t if len(us) == 1 else t[: t.index(" ")]] + b"".join(map(get, us[1:])) for t, us in zip(texts, split, strict=True)]
+        return [head + b"".join(map(get, us)) for head, us in zip(heads, split, strict=True)]
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(self.token_bytes[np.frombuffer(ids, "<u4")].tolist())
+        return b"".join(self.tables.token_bytes[np.frombuffer(ids, "<u4")].tolist())
 
 
-_codecs: dict[tuple, Codec] = {}
+_tables: dict[str, Tables] = {}
 
 
 def codec(rank_file: str, pattern: str, **options: int) -> Codec:
-    """One codec for each worker and set of parameters."""
-    key = (rank_file, pattern, *sorted(options.items()))
-    if key not in _codecs:
-        _codecs[key] = Codec(load_ranks(rank_file), pattern, **options)
-    return _codecs[key]
+    """A new codec; a worker keeps the tables of one rank file, while pieces are remembered for a task only."""
+    if rank_file not in _tables:
+        _tables.clear()
+        _tables[rank_file] = Tables(load_ranks(rank_file))
+    return Codec(_tables[rank_file], pattern, **options)
 
 
 def encode_texts(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
@@ -208,12 +182,12 @@ def encode_texts(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "d
 
     A null or empty text has no ids. A row for each input row: repeated rows
     stay repeated, null ids stay null, other columns don't come along. No
-    shuffle; a slice of about 1 MB of texts is held at a time.
+    shuffle; a slice of a few MB of texts is held at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(rank_file, pattern, **options)
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", SLICE):
             ids = bpe.encode_batch([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.binary())], ["id", "ids", "decoded"])
 
@@ -227,7 +201,7 @@ def encoding_digests(docs: DataFrame, rank_file: str, pattern: str, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(rank_file, pattern, **options)
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", SLICE):
             ids = bpe.encode_batch([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [

@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 
 #: Words are runs of anything but space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
+ENTRY = 210  # bytes that a remembered key and value take besides their own
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame, text_col: str) -> DataFrame:
+    """Rows (row, text): the whole row as a struct, whatever its columns are called, and its text beside it."""
+    return docs.select(F.struct("*").alias("row"), docs[text_col].cast("string").alias("text"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; a temporary one only in local mode."""
     sc = spark.sparkContext
@@ -89,3 +95,27 @@ def components(edges: DataFrame) -> DataFrame:
         if not stepped.where("old <> label").limit(1).count():
             return stepped.select("node", F.col("label").alias("component"))
         labels = stepped.select("node", "label")
+
+
+class Recent:
+    """Values of keys in two generations of about `most_bytes` each: of the older one stay the keys that are asked for again."""
+
+    def __init__(self, most_bytes: int):
+        self.most_bytes, self.held = most_bytes, 0
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def age(self) -> None:
+        if self.held > self.most_bytes:
+            self.before, self.now, self.held = self.now, {}, 0
+
+    def keep(self, keys: Collection[str], values: Collection[bytes]) -> None:
+        self.now.update(zip(keys, values, strict=True))
+        self.held += ENTRY * len(keys) + sum(map(len, keys)) + sum(map(len, values))
+
+    def unknown(self, keys: set[str]) -> list[str]:
+        """The keys without a value; the values of all others are in `now` from here on."""
+        new = keys.difference(self.now)
+        again = list(new.intersection(self.before))
+        self.keep(again, list(map(self.before.__getitem__, again)))
+        return list(new.difference(again))

@@ -2,26 +2,32 @@
 
 A suffix automaton of labelled text of each language accepts exactly the
 substrings of that text. Another text is parsed against it greedily into its
-longest matches; the fewer phrases, weighed by the logarithm of the labelled
-text's length, the closer the language. The automata run as flat transition
-tables, in step over many segments at once; phrases end at the segments' ends.
+longest matches, a symbol without any being a phrase of its own; the fewer
+phrases, weighed by the logarithm of the labelled text's length, the closer the
+language. The transitions of all automata stand in one hash table of their
+number's size. Texts are parsed in step, long ones in segments at a time: a
+segment is first parsed as if a phrase began with it, then again from the state
+that the one before it ends in, up to a place where a phrase begins in both
+parses; from there on they agree, so the phrases are those of the whole text.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructType
 
-from lexweave.llm.common import slices
+from lexweave.llm.common import packed, slices
 
 SEGMENT = 512
 STRETCHES = 8
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 GAP, OTHER = 0, 1  # classes of anything but letters, and of letters that no labelled text has
 
 
@@ -57,24 +63,71 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class Parser:
-    """Phrases of texts under the labelled texts of each language."""
+    """Phrases of texts under the labelled texts of each language. Made once, sent to the workers."""
 
     def __init__(self, labelled: dict[str, str], documents: dict[str, int]):
         self.langs = sorted(labelled)
-        #: Bits that naming a language costs, by its share of the labelled documents.
-        self.naming = np.array([-math.log2(documents[x] / sum(documents.values())) for x in self.langs])
+        self.documents = np.array([documents[x] for x in self.langs])
         lowered = {k: v.lower() for k, v in labelled.items()}
         letters = sorted({c for t in lowered.values() for c in t if c.isalpha()})
-        self.classes = np.zeros(0x110000, np.uint16)
-        self.letters = len(letters) + 2
-        every = np.frombuffer("".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])).encode("utf-32-le"), "<u4")
-        self.classes[every[[chr(c).isalpha() for c in every.tolist()]]] = OTHER
-        self.classes[[ord(c) for c in letters]] = np.arange(2, self.letters)
-        self.tables, self.weights = [], []
-        for lang in self.langs:
+        self.letters, self.codes = len(letters) + 2, np.array([ord(c) for c in letters], np.int64)
+        weights, keys, values, base = [], [], [], 0
+        self.start = np.full((len(self.langs), self.letters), -1, np.int64)  # states after the first symbol of a phrase; -1 has no transitions
+        for k, lang in enumerate(self.langs):
             symbols = self.symbols(lowered[lang])
-            self.tables.append(self.flat(suffix_automaton(symbols.tolist())))
-            self.weights.append(math.log2(max(2, len(symbols))))
+            go = suffix_automaton(symbols.tolist())
+            state = np.repeat(np.arange(len(go)), [len(g) for g in go])
+            symbol = np.fromiter((c for g in go for c in g), np.int64, len(state))
+            to = np.fromiter((q for g in go for q in g.values()), np.int64, len(state)) + base
+            keys.append((state + base) * self.letters + symbol)
+            values.append(to)
+            self.start[k, symbol[state == 0]] = to[state == 0]
+            base += len(go)
+            weights.append(math.log2(max(2, len(symbols))))
+        self.weights = np.array(weights)
+        self.store(np.concatenate(keys), np.concatenate(values))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k != "_classes"}
+
+    @property
+    def classes(self) -> np.ndarray:
+        """The class of each code point."""
+        if not hasattr(self, "_classes"):
+            self._classes = np.where(is_letter(), OTHER, GAP).astype(np.uint16)
+            self._classes[self.codes] = np.arange(2, self.letters)
+        return self._classes
+
+    def store(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """A hash table with linear probing, a quarter full at most."""
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift, mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        place = self.places(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            place[left] = np.where(self.keys[place[left]] >= 0, (place[left] + 1) & mask, place[left])
+            free = left[self.keys[place[left]] < 0]
+            _, first = np.unique(place[free], return_index=True)
+            put = free[first]
+            self.keys[place[put]], self.values[place[put]] = keys[put], values[put]
+            left = np.setdiff1d(left, put, assume_unique=True)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * FACTOR) >> self.shift).astype(np.int64)
+
+    def advance(self, lang: np.ndarray, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and whether a phrase begins with the symbol."""
+        key = state * self.letters + symbol
+        place = self.places(key)
+        found = self.keys[place]
+        left = np.flatnonzero((found != key) & (found >= 0))
+        while len(left):
+            place[left] = (place[left] + 1) & (len(self.keys) - 1)
+            found[left] = self.keys[place[left]]
+            left = left[(found[left] != key[left]) & (found[left] >= 0)]
+        begins = (found != key) | (state < 0)
+        return np.where(begins, self.start[lang, symbol], self.values[place]), begins
 
     def symbols(self, lowered: str) -> np.ndarray:
         """Classes of characters, runs of anything but letters as one gap."""
@@ -83,68 +136,82 @@ class Parser:
         keep[1:] |= found[:-1] != GAP
         return found[keep]
 
-    def flat(self, go: list[dict[int, int]]) -> np.ndarray:
-        """state * letters + class -> 2 * (next state * letters) + whether a phrase ended before this symbol."""
-        start = np.zeros(self.letters, np.int64)
-        for c, q in go[0].items():
-            start[c] = q
-        rows = np.repeat((start * self.letters * 2 + 1)[None], len(go), 0)
-        state = np.repeat(np.arange(len(go)), [len(g) for g in go])
-        rows[state, np.fromiter((c for g in go for c in g), np.int64, len(state))] = np.fromiter((q for g in go for q in g.values()), np.int64, len(state)) * self.letters * 2
-        return rows.ravel().astype(np.int32)
-
-    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def phrases(self, texts: list[str], segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of each text and language; symbols of each text (0: it has no letter)."""
         found = [self.symbols(t.lower()) for t in texts]
-        sizes = np.array([len(s) if (s != GAP).any() else 0 for s in found])
-        parts = -(-sizes // SEGMENT)
+        sizes = np.array([len(s) if (s != GAP).any() else 0 for s in found], np.int64)
+        base = np.cumsum([0, *map(len, found)])[:-1]
+        stream = np.concatenate(found).astype(np.int32) if found else np.zeros(0, np.int32)
+        parts = -(-sizes // segment)
         owner = np.repeat(np.arange(len(texts)), parts)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
-        base = np.cumsum([0, *map(len, found)])[:-1]
-        start, size = base[owner] + nth * SEGMENT, np.minimum(SEGMENT, sizes[owner] - nth * SEGMENT)
+        start, size = base[owner] + nth * segment, np.minimum(segment, sizes[owner] - nth * segment)
+        langs, many = len(self.langs), len(owner)
+        begins = np.zeros((langs, len(stream)), bool)
+        # each segment on its own; a row of work is a language and a segment, longest segments first
         order = np.argsort(-size, kind="stable")
-        owner, start, size = owner[order], start[order], size[order]
-        active = len(size) - np.searchsorted(size[::-1], np.arange(SEGMENT), "right")
-        stream = np.concatenate(found).astype(np.int32) if found else np.zeros(0, np.int32)
-        states = [np.zeros(len(size), np.int32) for _ in self.langs]
-        ended = [np.ones(len(size), np.int32) for _ in self.langs]
+        active = many - np.searchsorted(size[order][::-1], np.arange(segment), "right")
+        state = np.full((langs, many), -1, np.int64)
+        every = np.arange(langs)[:, None]
         for t, n in enumerate(active.tolist()):
             if not n:
                 break
-            symbol = stream[start[:n] + t]
-            for table, at, count in zip(self.tables, states, ended, strict=True):
-                to = table[at[:n] + symbol]
-                count[:n] += to & 1
-                np.right_shift(to, 1, out=at[:n])
-        out = np.zeros((len(texts), len(self.langs)), np.int64)
-        for k, count in enumerate(ended):
-            out[:, k] = np.bincount(owner, count, len(texts)).astype(np.int64)
+            here = order[:n]
+            at = start[here] + t
+            to, new = self.advance(np.broadcast_to(every, (langs, n)).ravel(), state[:, here].ravel(), np.tile(stream[at], langs))
+            state[:, here] = to.reshape(langs, n)
+            begins[:, at] = new.reshape(langs, n)
+        # then from where the segment before ends, until both parses begin a phrase at the same place
+        lang, seg = (x.ravel() for x in np.meshgrid(np.arange(langs), np.flatnonzero(nth), indexing="ij"))
+        while len(seg):
+            row, now = np.arange(len(seg)), state[lang, seg - 1]
+            after = state[lang, seg]
+            t = 0
+            while len(row):
+                at = start[seg[row]] + t
+                to, new = self.advance(lang[row], now[row], stream[at])
+                met = new & begins[lang[row], at]
+                begins[lang[row], at] = new
+                now[row] = to
+                t += 1
+                ended = ~met & (t == size[seg[row]])
+                after[row[ended]] = to[ended]
+                row = row[~met & ~ended]
+            changed = after != state[lang, seg]
+            state[lang, seg] = after
+            again = changed & (seg + 1 < many)
+            again[again] = nth[seg[again] + 1] > 0
+            lang, seg = lang[again], seg[again] + 1
+        out = np.zeros((len(texts), langs), np.int64)
+        some = np.flatnonzero(sizes)
+        if len(some):
+            cut = np.stack([base[some], base[some] + sizes[some]], 1).ravel()
+            for k in range(langs):
+                out[some, k] = np.add.reduceat(np.append(begins[k], False), cut, dtype=np.int64)[::2]
         return out, sizes
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score: by what share of the runner-up's bits the winner's are fewer.
 
-        A phrase costs the bits of a place in the labelled text; naming the
-        language, which settles ties of very short texts, those of its share.
+        A phrase costs the bits of a place in the labelled text. Of languages
+        within half a phrase of the least, which need equally many, the one
+        with the most labelled documents wins, then the first by code point.
         """
         phrases, sizes = self.phrases(texts)
-        cost = phrases * np.array(self.weights) + self.naming
-        best = cost.argmin(1) if len(texts) else np.zeros(0, int)
-        ranked = np.sort(cost, 1)
-        score = 1 - ranked[:, 0] / np.maximum(ranked[:, 1], 1e-9) if len(self.langs) > 1 else np.ones(len(texts))
+        cost = phrases * self.weights
+        level = cost <= cost.min(1, keepdims=True) + self.weights / 2
+        best = np.where(level, self.documents, -1).argmax(1) if len(texts) else np.zeros(0, int)
+        own = np.take_along_axis(cost, best[:, None], 1)[:, 0]
+        others = cost.copy()
+        np.put_along_axis(others, best[:, None], np.inf, 1)
+        score = 1 - own / np.maximum(others.min(1), 1e-9) if len(self.langs) > 1 else np.ones(len(texts))
         return [self.langs[b] if n else "und" for b, n in zip(best, sizes, strict=True)], np.where(sizes > 0, np.clip(score, 0, 1), 0.0)
 
 
-_parsers: dict[str, Parser] = {}
-
-
-def parser(labelled: dict[str, str], documents: dict[str, int]) -> Parser:
-    """One parser for each worker and labelled texts."""
-    key = hashlib.sha256(repr((sorted(labelled.items()), sorted(documents.items()))).encode()).hexdigest()
-    if key not in _parsers:
-        _parsers.clear()
-        _parsers[key] = Parser(labelled, documents)
-    return _parsers[key]
+@lru_cache(1)
+def is_letter() -> np.ndarray:
+    """Of each code point whether it is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
 def held_out(id_col: Column) -> Column:
@@ -169,19 +236,21 @@ def stretches(text: Column, id_col: Column, size: int) -> Column:
 def labelled_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, texts: int, chars: int, longest: int) -> tuple[dict[str, str], dict[str, int]]:
     """Up to `chars` characters of about `texts` documents of each language that are not held out.
 
-    Which documents: those of the smallest hashes of their ids, a share of each
-    language that its count sets, so what comes to the driver is bounded:
-    languages x about `texts` texts of at most `longest` characters; longer
-    documents come as stretches from all over them. The last one is left out
-    where it doesn't fit. Also returns how many documents each language has.
+    Which documents: those of the smallest hashes of their ids and texts, so
+    what comes to the driver is bounded: languages x `texts` texts of at most
+    `longest` characters; longer documents come as stretches from all over
+    them, a text that several rows of an id repeat comes once. The last one is
+    left out where it doesn't fit. Also returns how many documents each
+    language has.
     """
     known = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang is not null and text is not null").where(~held_out(F.col("id")))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return {}, {}
-    draw = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 40))
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 40, (texts << 40) // n + 1))])
-    drawn = known.withColumn("draw", draw).where(F.col("draw") < share[F.col("lang")]).select("lang", "draw", stretches(F.col("text"), F.col("id"), min(longest, chars)).alias("text"))
+    draw = F.pmod(F.xxhash64("id", "text", F.lit("language")), F.lit(1 << 40))
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 40, (2 * texts << 40) // n + 1))])
+    drawn = known.withColumn("draw", draw).where(F.col("draw") < share[F.col("lang")]).select("lang", "draw", stretches(F.col("text"), F.col("id"), min(longest, chars)).alias("text")).distinct()
+    drawn = drawn.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))).where(F.col("nth") <= texts)
     out: dict[str, list[str]] = {lang: [] for lang in counts}
     full: set[str] = set()
     for r in sorted(drawn.collect(), key=lambda r: (r["lang"], r["draw"], r["text"])):
@@ -193,24 +262,25 @@ def labelled_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, t
 
 
 def language_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = 80, chars: int = 48_000, longest: int = 4000, keep: bool = False) -> DataFrame:
-    """Rows (id, held_out, lang_pred, score), one for each input row; with keep, after the input's columns.
+    """Rows (id, held_out, lang_pred, score), one for each input row; with keep: (row, lang_pred, score), row being the input's.
 
     Learned from a bounded sample (texts, chars, longest) of the documents
     whose crc32(id) mod 4 is not 2. lang_pred is `und` with score 0 for a null
     text, one without a letter, and wherever nothing could be learned. Ties go
-    to the first language by code point. Repeated rows stay repeated. No shuffle.
+    to the commoner language. Repeated rows stay repeated. An empty table gives
+    no rows. No shuffle of the texts.
     """
-    sample = labelled_texts(docs, id_col, text_col, lang_col, texts, chars, longest)
-    sent = docs.sparkSession.sparkContext.broadcast(sample)
+    labelled, counts = labelled_texts(docs, id_col, text_col, lang_col, texts, chars, longest)
+    # a few MB: transitions of at most 2 x chars states a language
+    sent = docs.sparkSession.sparkContext.broadcast(Parser(labelled, counts) if labelled else None)
+    rows = packed(docs, text_col) if keep else docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = parser(*sent.value) if sent.value[0] else None
-        for batch in slices(batches, text_col, 4 << 20, 1 << 16):
-            texts = [t or "" for t in batch.column(text_col).cast(pa.string()).to_pylist()]
+        known = sent.value
+        for batch in slices(batches, "text", 2 << 20, 1 << 16):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
             langs, scores = known.predict(texts) if known else (["und"] * len(texts), np.zeros(len(texts)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
 
-    rows = docs if keep else docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias(text_col))
-    rows = rows.drop("lang_pred", "score") if keep else rows
-    out = rows.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema)}, lang_pred string, score double")
-    return out if keep else out.select(id_col, "held_out", "lang_pred", "score")
+    out = rows.mapInArrow(run, StructType([*rows.schema, *StructType().add("lang_pred", StringType()).add("score", DoubleType())]))
+    return out.drop("text") if keep else out.select(id_col, "held_out", "lang_pred", "score")

@@ -17,9 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from lexweave.llm import hashing
-from lexweave.llm.common import slices
+from lexweave.llm.common import packed, slices
 
 CLASSES = 8  # lower-case and other letters, upper case, digits, full stops and commas, '!' and '?', '|', other signs, white space
 _CLASS = np.full(256, 6, np.uint8)
@@ -161,56 +162,63 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int, longest: int) -> Chain | None:
-    """A chain learned from about `sample` labelled documents of at most `longest` bytes that are not held out.
+def windows(lines: int, most: int, parts: int = 4) -> list[tuple[int, int]]:
+    """First line and number of lines of the stretches that a text is learned by: all of it, or `parts` from all over it."""
+    if lines <= most:
+        return [(0, lines)]
+    width = max(1, most // parts)
+    return [(k * (lines - width) // max(1, parts - 1), width) for k in range(parts)]
 
-    The sample are the documents of the smallest hashes of their ids, so what
-    comes to the driver is bounded: features of their lines. A document with
-    several labels counts with the smallest. None if not both labels occur.
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int, lines: int) -> Chain | None:
+    """A chain learned from `sample` labelled documents that are not held out, by at most `lines` lines of each.
+
+    The sample are the documents of the smallest hashes of their ids; of a
+    longer text four stretches from all over it are chains of their own. So
+    what comes to the driver is bounded: features of at most 4 * sample
+    different stretches, whatever repeats an id. A document with several labels counts
+    with the smallest. None if not both labels occur.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)").where(~held_out(F.col("id")))
-    known = known.groupBy("id").agg(F.min("label").alias("label"))
-    total = known.count()
-    if not total:
-        return None
-    share = min(1 << 40, (sample << 40) // total + 1)
-    drawn = known.where(F.pmod(F.xxhash64("id", F.lit("quality")), F.lit(1 << 40)) < share)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(F.octet_length("text") <= longest)
+    drawn = known.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id", F.lit("quality")), "id").limit(sample)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            x, lines, _ = line_features(batch.column("text").cast(pa.binary()).to_pylist())
-            cuts = np.cumsum(lines) - lines
-            rows = [x[i : i + n].tobytes() for i, n in zip(cuts, lines, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(rows, pa.binary())], ["id", "label", "x"])
+            x, found, _ = line_features(batch.column("text").fill_null("").cast(pa.binary()).to_pylist())
+            base = np.cumsum(found) - found
+            cut = [(k, at + first, n) for k, (at, m) in enumerate(zip(base.tolist(), found.tolist(), strict=True)) for first, n in windows(m, lines)]
+            rows = pa.array([k for k, _, _ in cut], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(rows), batch.column("label").take(rows), pa.array([x[at : at + n].tobytes() for _, at, n in cut], pa.binary())], ["id", "label", "x"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    # drawn has about `sample` rows of an id and a label
-    got = texts.join(F.broadcast(drawn), "id").select("id", "label", "text").mapInArrow(run, f"id {kind}, label int, x binary").toPandas()
+    # drawn has at most `sample` rows of an id and a label
+    chains = texts.join(F.broadcast(drawn), "id").select("id", "label", "text").mapInArrow(run, f"id {kind}, label int, x binary")
+    got = chains.distinct().orderBy(F.xxhash64("id", "x"), "id", "x").limit(4 * sample).toPandas()
     if got["label"].nunique() < 2:
         return None
-    got = got.sort_values(["id", "x"])
     parts = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in got["x"]]
     return train(np.concatenate(parts), np.array([len(p) for p in parts]), got["label"].to_numpy())
 
 
-def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.3, sample: int = 3000, longest: int = 65536, keep: bool = False) -> DataFrame:
-    """Rows (id, held_out, score, predicted), one for each input row; with keep, after the input's columns.
+def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.3, sample: int = 3000, lines: int = 256, keep: bool = False) -> DataFrame:
+    """Rows (id, held_out, score, predicted), one for each input row; with keep: (row, score, predicted), row being the input's.
 
     Learned from a bounded sample of the labelled documents whose crc32(id)
     mod 5 is not 0. Null and empty texts are one empty line and get that
     line's probability. Without labels of both kinds every score is 0.5.
-    Repeated rows stay repeated. No shuffle over the texts.
+    Repeated rows stay repeated. An empty table gives no rows. No shuffle over
+    the texts.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col, sample, longest))
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col, sample, lines))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = sent.value
-        for batch in slices(batches, text_col, 1 << 20):
-            texts = [t or b"" for t in batch.column(text_col).cast(pa.binary()).to_pylist()]
+        for batch in slices(batches, "text", 1 << 20):
+            texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             score = chain.score(*line_features(texts)) if chain else np.full(len(texts), 0.5)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*batch.schema.names, "score", "predicted"])
 
-    rows = docs.drop("score", "predicted") if keep else docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias(text_col))
-    out = rows.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema)}, score double, predicted int")
-    return out if keep else out.select(id_col, "held_out", "score", "predicted")
+    rows = packed(docs, text_col) if keep else docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    out = rows.mapInArrow(run, StructType([*rows.schema, *StructType().add("score", DoubleType()).add("predicted", IntegerType())]))
+    return out.drop("text") if keep else out.select(id_col, "held_out", "score", "predicted")

@@ -1,16 +1,20 @@
 """Main text of web pages by scoring the tree of elements (operator 3).
 
 Every block of text (paragraph, heading, list item, ...) earns points for
-being there, for its length and for its commas, and passes them up to its
-ancestors, less the farther they are. An element's score is what it received,
-discounted by the share of its text that is in links. The best element is kept
-with those of its siblings that score well themselves or are plain paragraphs
-and headings. Elements whose role is not text (menus, headers, footers,
-sidebars, notices, adverts, forms, comments, scripts, styles) neither score
-nor come along. As ids of headings, sections and paragraphs of an article are
-often slugs of its text, those of headings don't count; of the others an id
-with an unwanted word counts where the element holds form fields or is half
-links, and that of a section also if all its words are unwanted.
+being there, for its length and for its commas, less the share of it that is in
+links. Its container receives the points, each further ancestor half of what
+the one below received. An element's score is discounted by the share of its
+text that is in links and counts more if it is called article or main. From the
+best element the choice climbs while an ancestor adds text of the same article.
+The chosen one is kept with those of its siblings that score well themselves or
+are plain paragraphs and headings. Elements whose role is not text (menus,
+headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles)
+neither score nor come along. Words that a heading, paragraph or section of an
+article may well be about count there only if its structure bears them out.
+
+Both passes, over the page and over the tree, take linear time: a quoted value
+starts only after `=`, an unclosed tag ends at the next `<`, and what is open
+is looked up, not searched.
 """
 
 from __future__ import annotations
@@ -25,228 +29,291 @@ from pyspark.sql import functions as F
 
 from lexweave.llm.common import slices
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(script|style|noscript|template|textarea|title|iframe|svg|math|select|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
-NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+NAME = re.compile(r"[a-zA-Z][^\s/<>]*")
+ATTRIBUTE = re.compile(r"[^\s/<>=][^\s/<>=]*")
+GAP = re.compile(r"[\s/]*")
+EQUALS = re.compile(r"\s*=\s*")
+BARE = re.compile(r"[^\s<>]*")
+WORDS = re.compile(r"[a-z]+")
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+
+RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br".split())
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption caption".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+GROUPS = frozenset("article section div ul ol table dl header".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: A start tag ends open elements of these names, up to the nearest of the second.
-IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+IMPLIED = {"li": (("li",), ("ul", "ol", "menu")), "dd": (("dd", "dt"), ("dl",)), "dt": (("dd", "dt"), ("dl",)), "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",))}
 FIELDS = frozenset("form input textarea select button".split())
-DROPPED = frozenset("nav footer aside form button dialog menu head".split())
-DROPPED_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar rail footer header masthead toolbar comment comments disqus reply replies respond related recommended share sharing social newsletter subscribe subscription signup login search pagination pager widget complementary contentinfo".split()
-)
-SLUGGED = HEADINGS | {"section", "p"}
-KEPT_NAMES = frozenset("article main content post entry body text story".split())
+DROPPED = frozenset("nav footer aside form button dialog menu head noscript template svg math select object".split())
+#: Words of class, id or role whose element isn't text, wherever it stands ...
+PLAIN_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup disqus breadcrumb breadcrumbs pagination pager subscribe newsletter comment comments".split())
+#: ... and those that a heading, paragraph or section may be about or that may name a part of its layout.
+LOOSE_WORDS = frozenset("banner alert modal overlay nav navbar navigation menu sidebar rail footer header masthead toolbar reply replies respond related recommended share sharing social subscription signup login search widget complementary contentinfo".split())
+#: "with-sidebar" says something of a layout, not what the element is.
+MODIFIERS = frozenset("has with no without not is".split())
+LAYOUT = frozenset("sidebar rail nav navbar navigation menu header footer banner masthead toolbar widget".split())
+ABOUT = HEADINGS | {"section", "p"}
+SINGLE = frozenset("allowfullscreen async autofocus autoplay checked controls default defer disabled formnovalidate hidden inert ismap itemscope loop multiple muted nomodule novalidate open playsinline readonly required reversed selected".split())
+KNOWN = INLINE | VOID | RAW | TEXT_BLOCKS | GROUPS | CLOSES_P | FIELDS | DROPPED | {"html", "body", "tr", "tbody", "thead", "tfoot", "option", "audio", "video", "canvas", "picture", "map", "colgroup", "optgroup", "legend", "meter", "output", "progress", "summary", "hgroup", "slot", "search"}
 
 
 class Element:
-    __slots__ = ("name", "parent", "dropped", "doubtful", "fields", "score", "length", "linked")
+    __slots__ = ("name", "parent", "block", "unwanted", "doubtful", "layout", "holds_main", "fields", "dropped", "points", "received", "length", "linked", "articles", "kept")
+
+    def __init__(self, name: str, parent: Element | None, unwanted: bool = False, doubtful: bool = False, layout: bool = False):
+        self.name, self.parent, self.unwanted, self.doubtful, self.layout = name, parent, unwanted, doubtful, layout
+        self.block: Element = parent.block if parent is not None and name in INLINE else self
+        self.holds_main = self.fields = self.dropped = self.kept = False
+        self.points = self.received = 0.0
+        self.length = self.linked = self.articles = 0
+
+    @property
+    def value(self) -> float:
+        bonus = {"article": 2.5, "main": 1.5}.get(self.name, 1.0)
+        return self.received * (1 - self.linked / max(self.length, 1)) * bonus
 
-    def __init__(self, name: str, parent: Element | None, dropped: bool, doubtful: bool = False):
-        self.name, self.parent, self.dropped, self.doubtful, self.fields = name, parent, dropped, doubtful, False
-        self.score = self.length = self.linked = 0.0
 
+def tags(html: str) -> Iterator[tuple[int, int, str, bool, dict[str, str]]]:
+    """Start, end, name, whether it closes and attributes of every tag; comments and raw contents come under the name ''."""
+    last = {'"': html.rfind('"'), "'": html.rfind("'")}
+    unended: set[str] = set()  # raw elements that don't end from here on
+    lowered = html.lower() if html.isascii() else re.sub(r"[A-Z]+", lambda m: m[0].lower(), html)  # offsets stay
+    at = html.find("<")
+    while at >= 0:
+        c = html[at + 1 : at + 2]
+        if c in ("!", "?"):
+            if html.startswith("<!--", at):
+                end = at + 5 if html.startswith("<!-->", at) else html.find("-->", at + 4) + 3
+                end = end if end > at + 4 else len(html)
+            else:
+                end = (html.find("]]>", at) + 3) if html.startswith("<![CDATA[", at) else html.find(">", at) + 1
+                end = end if end > at + 2 else len(html)
+            yield at, end, "", False, {}
+            at = html.find("<", end)
+            continue
+        closes = c == "/"
+        m = NAME.match(html, at + 1 + closes)
+        if not m:
+            at = html.find("<", at + 1)
+            continue
+        name, attributes, at_end = m[0].lower(), {}, m.end()
+        bare: list[str] = []
+        while True:
+            at_end = GAP.match(html, at_end).end()
+            if at_end >= len(html) or html[at_end] in "<>":
+                break
+            m = ATTRIBUTE.match(html, at_end)
+            if not m:  # a lone =
+                at_end += 1
+                continue
+            key, at_end = m[0].lower(), m.end()
+            if e := EQUALS.match(html, at_end):
+                at_end = e.end()
+                quote = html[at_end : at_end + 1]
+                if quote in last and quote and last[quote] > at_end:
+                    close = html.find(quote, at_end + 1)
+                    value, at_end = html[at_end + 1 : close], close + 1
+                else:
+                    m = BARE.match(html, at_end)
+                    value, at_end = m[0], m.end()
+                attributes.setdefault(key, value)
+            else:
+                bare.append(key)
+                attributes.setdefault(key, "")
+        # "if a <b and c > d": words, not a tag
+        if not closes and len(bare) == len(attributes) and at and html[at - 1].isspace() and (len(name) == 1 or name not in KNOWN) and any(k not in SINGLE and k.isalpha() for k in bare):
+            at = html.find("<", at + 1)
+            continue
+        end = at_end + 1 if html[at_end : at_end + 1] == ">" else at_end
+        yield at, end, name, closes, attributes
+        if not closes and name in RAW and name not in unended:
+            stop = lowered.find(f"</{name}", end)
+            if stop < 0:
+                unended.add(name)
+                if name in ("script", "style"):
+                    stop = len(html)
+            if stop >= 0:
+                yield end, stop, "", False, {}
+                end = stop
+        at = html.find("<", end)
 
-def unwanted(name: str, attributes: str, stack: list[Element]) -> bool:
-    """Whether an element's name or the words in its class, id or role say that it isn't text."""
-    if name in ("html", "body", "article", "main"):
-        return name == "article" and any(w in DROPPED_NAMES for w in words_of(attributes)) and not any(w in KEPT_NAMES for w in words_of(attributes))
-    inside = any(e.name in ("article", "main") for e in stack)
+
+def words_of(attributes: dict[str, str], of: tuple[str, ...] = ("class", "id", "role")) -> list[list[str]]:
+    """The words of each name that an element has there."""
+    found = [WORDS.findall(CAMEL.sub(" ", name).lower()) for key in of if attributes.get(key) for name in attributes[key].split()]
+    return [ws for ws in found if ws and not MODIFIERS.intersection(ws)]
+
+
+def judged(name: str, attributes: dict[str, str], inside: bool) -> tuple[bool, bool, bool]:
+    """Whether an element isn't text by its name or attributes; whether that is so only if its structure bears it out; whether only by words of layout."""
+    if name in ("html", "body", "main"):
+        return False, False, False
     if name in DROPPED or (name == "header" and not inside):
-        return True
-    if not attributes or attributes.isspace():
-        return False
-    if HIDDEN.search(attributes):
-        return True
-    words = words_of(attributes)
-    if any(w in KEPT_NAMES for w in words):
-        return False
-    if inside and name in SLUGGED:
-        ids = [w for w in words_of(attributes, ("id",)) if w]
-        if name == "section" and ids and all(w in DROPPED_NAMES for w in ids):
-            return True
-        words = words_of(attributes, ("class", "role"))
-    return any(w in DROPPED_NAMES and not (inside and w == "header") for w in words)
-
-
-def doubtful(name: str, attributes: str, stack: list[Element]) -> bool:
-    """Whether an element that unwanted() leaves has an id that counts if its structure bears it out."""
-    if name not in ("section", "p") or not any(w in DROPPED_NAMES for w in words_of(attributes, ("id",))):
-        return False
-    return any(e.name in ("article", "main") for e in stack) and not any(w in KEPT_NAMES for w in words_of(attributes))
-
-
-def words_of(attributes: str, of: tuple[str, ...] = ("class", "id", "role")) -> list[str]:
-    return [w for m in NAMES.finditer(attributes) if m[1].lower() in of for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower())]
-
-
-def borne_out(blocks: list[tuple[Element, str, int]]) -> list[tuple[Element, str, int]]:
-    """Blocks less those in doubtful elements that hold form fields or are half links."""
-    held: dict[int, list] = {}
-    above = []
-    for element, text, linked in blocks:
-        own = []
-        up: Element | None = element
-        while up is not None:
-            if up.doubtful:
-                own.append(id(up))
-                sums = held.setdefault(id(up), [up.fields, 0, 0])
-                sums[1] += len(text)
-                sums[2] += linked
-            up = up.parent
-        above.append(own)
-    out = {key for key, (fields, length, linked) in held.items() if fields or 2 * linked >= length}
-    return [b for b, own in zip(blocks, above, strict=True) if not out.intersection(own)] if out else blocks
-
-
-def blocks_of(html: str) -> list[tuple[Element, str, int]]:
-    """Blocks of text in page order: element, text, and how much of it is in links."""
-    root = Element("html", None, False)
-    stack = [root]
+        return True, False, False
+    if not attributes:
+        return False, False, False
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true" or INVISIBLE.search(attributes.get("style", "")):
+        return True, False, False
+    if inside and name in ABOUT:
+        named = [w for ws in words_of(attributes, ("class", "role")) for w in ws]
+        if PLAIN_WORDS.intersection(named):
+            return True, False, False
+        ids = [w for ws in words_of(attributes, ("id",)) for w in ws]
+        if name in HEADINGS:
+            return False, False, False
+        if name == "section" and ids and all(w in PLAIN_WORDS or w in LOOSE_WORDS for w in ids):
+            return True, False, False
+        return False, any(w in PLAIN_WORDS or w in LOOSE_WORDS for w in named + ids), False
+    found = {w for ws in words_of(attributes) for w in ws if w in PLAIN_WORDS or w in LOOSE_WORDS}
+    if inside:
+        found.discard("header")
+    return bool(found), False, bool(found) and found <= LAYOUT
+
+
+def blocks_of(html: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
+    """All elements, and blocks of text in page order: element, text, and how much of it is in links."""
+    root = Element("html", None)
+    elements, stack = [root], [root]
+    where: dict[str, list[int]] = {}  # of each name, where it is open in the stack
     blocks: list[tuple[Element, str, int]] = []
     held: list[str] = []
     in_links = 0
 
+    def top(*names: str) -> int:
+        return max((where[n][-1] for n in names if where.get(n)), default=0)
+
     def flush() -> None:
         nonlocal in_links
         if held:
             text = " ".join("".join(held).split())
             held.clear()
             if text:
-                at = len(stack) - 1
-                while at and stack[at].name in INLINE:
-                    at -= 1
-                if not stack[-1].dropped:
-                    blocks.append((stack[at], text, min(in_links, len(text))))
+                blocks.append((stack[-1].block, text, min(in_links, len(text))))
         in_links = 0
 
     def say(text: str) -> None:
         nonlocal in_links
-        if text and not stack[-1].dropped:
+        if text:
             held.append(unescape(text) if "&" in text else text)
-            if any(e.name == "a" for e in stack[-4:]):
+            if 0 < len(stack) - top("a") <= 4 and where.get("a"):
                 in_links += len(" ".join(held[-1].split()))
 
     def close(at: int) -> None:
         if any(e.name not in INLINE for e in stack[at:]):
             flush()
+        for e in stack[at:]:
+            where[e.name].pop()
         del stack[at:]
 
     done = 0
-    for m in TOKEN.finditer(html):
-        say(html[done : m.start()])
-        done = m.end()
-        name = m[2]
-        if (name or m[1] or "").lower() in FIELDS:
-            for e in stack:
-                e.fields = True
-        if name is None:
+    for start, end, name, closes, attributes in tags(html):
+        say(html[done:start])
+        done = end
+        if not name:
             continue
-        name = name.lower()
-        if html[m.start() + 1] == "/":
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].name == name:
-                    close(at)
-                    break
+        if closes:
+            if at := top(name):
+                close(at)
             continue
+        if name in FIELDS:
+            stack[-1].fields = True
         if name == "br":
             say(" ")
             continue
-        if name in INLINE and name in VOID:
+        if name in VOID and name in INLINE:
             continue
         if name in ("html", "body"):
-            stack[-1].dropped or flush()
-            if name == "body" and any(e.name == "head" for e in stack):
-                close(next(i for i, e in enumerate(stack) if e.name == "head"))
+            flush()
+            if name == "body" and (at := top("head")):
+                close(at)
             continue
-        if name in CLOSES_P:
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].name == "p":
-                    close(at)
-                    break
+        if name in CLOSES_P and (at := top("p")):
+            close(at)
         if name in IMPLIED:
             ends, until = IMPLIED[name]
-            low = len(stack)
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].name in until:
-                    break
-                if stack[at].name in ends:
-                    low = at
-            if low < len(stack):
-                close(low)
+            if (at := top(*ends)) > top(*until):
+                close(at)
         if name not in INLINE:
             flush()
-        if name in VOID:
+        if name in VOID or name in RAW:
             continue
-        dropped = stack[-1].dropped or unwanted(name, m[3], stack)
-        stack.append(Element(name, stack[-1], dropped, not dropped and doubtful(name, m[3], stack)))
+        unwanted, doubtful, layout = judged(name, attributes, bool(top("article", "main")))
+        element = Element(name, stack[-1], unwanted, doubtful, layout)
+        elements.append(element)
+        where.setdefault(name, []).append(len(stack))
+        stack.append(element)
+        if name in ("article", "main") and not unwanted:
+            up = element.parent
+            while up is not None and not up.holds_main:
+                up.holds_main, up = True, up.parent
     say(html[done:])
     flush()
-    return borne_out(blocks)
+    return elements, blocks
 
 
-def main_text(html: str) -> str:
-    """The main text of a page; blocks joined by a blank line."""
-    blocks = blocks_of(html)
-    if not blocks:
-        return ""
-    best: Element | None = None
-    received: dict[int, Element] = {}
+def weighed(elements: list[Element], blocks: list[tuple[Element, str, int]]) -> list[tuple[Element, str, int]]:
+    """The blocks that may be text; sums of all elements over them. Children come after their parents in elements."""
+    for e in reversed(elements[1:]):
+        e.parent.fields = e.parent.fields or e.fields
+    for element, text, linked in blocks:
+        element.length += len(text)
+        element.linked += linked
+    for e in reversed(elements[1:]):
+        e.parent.length += e.length
+        e.parent.linked += e.linked
+    for e in elements:
+        out = (e.unwanted and not (e.layout and e.holds_main)) or (e.doubtful and (e.fields or 2 * e.linked >= e.length))
+        e.dropped = out or (e.parent is not None and e.parent.dropped)
+    for e in elements:
+        e.length = e.linked = 0
+    blocks = [b for b in blocks if not b[0].dropped]
     for element, text, linked in blocks:
+        element.length += len(text)
+        element.linked += linked
         points = (1 + min(text.count(","), 10) + min(len(text) / 100, 3)) * (1 - linked / len(text))
-        up = element.parent if element.name in TEXT_BLOCKS and element.parent else element
-        share = 1.0
-        while up is not None:
-            up.score += points / share
-            received[id(up)] = up
-            share = 2.0 if share == 1 else share + 1.5
-            up = up.parent
-        up = element
-        while up is not None:
-            up.length += len(text)
-            up.linked += linked
-            up = up.parent
-    value = lambda e: e.score * (1 - e.linked / max(e.length, 1)) * (2.0 if e.name in ("article", "main") else 1.0)
-    best = max(received.values(), key=value)
-    # an article's sections belong together
-    up: Element | None = best
-    while up is not None:
-        if up.name in ("article", "main"):
-            best = up
+        up = element.parent if element.name in TEXT_BLOCKS and element.parent is not None else element
+        up.points += points
+    for e in reversed(elements):
+        e.received += e.points
+        if e.parent is not None:
+            e.parent.length += e.length
+            e.parent.linked += e.linked
+            e.parent.articles += 1 if e.name == "article" and e.length and not e.dropped else e.articles
+            e.parent.received += e.received / 2
+    return blocks
+
+
+def climbed(best: Element) -> Element:
+    """The ancestor whose text belongs to the same article: the article or main around it, unless that holds several articles, or one that adds nothing."""
+    chosen, up = best, best.parent
+    while up is not None and up.parent is not None:
+        if (up.name in ("article", "main") and up.articles <= 1 and 2 * up.linked < max(up.length, 1)) or up.length == chosen.length:
+            chosen = up
             if up.name == "article":
                 break
         up = up.parent
-    floor = 0.2 * value(best)
-    kept = {id(best)}
-    tops: dict[int, list] = {}
-    for element, text, linked in blocks:
-        top = element
-        while top.parent is not None and top.parent is not best.parent:
-            top = top.parent
-        if top is not best and top.parent is best.parent and top.parent is not None:
-            tops.setdefault(id(top), [top, 0, 0])[1] += len(text)
-            tops[id(top)][2] += linked
-    for key, (top, length, linked) in tops.items():
-        light = linked < 0.25 * length
-        if light and (top.name in TEXT_BLOCKS or (top.name in ("article", "section", "div", "ul", "ol", "table", "dl", "header") and (value(top) >= floor or top.name == "header"))):
-            kept.add(key)
-    out = []
-    for element, text, _ in blocks:
-        up = element
-        while up is not None and id(up) not in kept:
-            up = up.parent
-        if up is not None:
-            out.append(text)
-    return "\n\n".join(out)
+    return chosen
+
+
+def main_text(html: str) -> str:
+    """The main text of a page; blocks joined by a blank line."""
+    elements, blocks = blocks_of(html)
+    blocks = weighed(elements, blocks)
+    if not blocks:
+        return ""
+    best = climbed(max((e for e in elements if e.received), key=lambda e: e.value, default=blocks[0][0]))
+    floor = 0.2 * best.value
+    best.kept = True
+    for e in elements:
+        if e.parent is best.parent is not None and e is not best and not e.dropped and 4 * e.linked < e.length and not (best.name == e.name == "article"):
+            e.kept = e.name in TEXT_BLOCKS or e.name == "header" or (e.name in GROUPS and e.value >= floor)
+    for e in elements:
+        e.kept = e.kept or (e.parent is not None and e.parent.kept)
+    return "\n\n".join(text for element, text, _ in blocks if element.kept)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -254,7 +321,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     The whole page is read. A null or empty page, and one without text, has
     the empty string and 0. Repeated rows stay repeated; other columns don't
-    come along. No shuffle.
+    come along. An empty table gives no rows. No shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from lexweave.llm.common import slices
+from lexweave.llm.common import Recent, slices
 
 SPACE = "▁"
 
@@ -33,12 +33,12 @@ SPACE = "▁"
 class Encoder:
     """Ids and byte offsets of texts; chunk, overlap and memory are parameters."""
 
-    def __init__(self, model_file: str, chunk: int = 8192, overlap: int = 256, keep: int = 300_000):
+    def __init__(self, model_file: str, chunk: int = 8192, overlap: int = 256, keep_bytes: int = 40 << 20):
         import sentencepiece
 
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        self.chunk, self.overlap, self.keep = chunk, overlap, keep
-        self.known: dict[str, bytes] = {}
+        self.chunk, self.overlap = chunk, overlap
+        self.known = Recent(keep_bytes)
         pieces = [sp.id_to_piece(i) for i in range(len(sp))]
         plain = [not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i)) for i in range(len(sp))]
         self.pairs = {p[j : j + 2] for p, ok in zip(pieces, plain, strict=True) if ok for j in range(len(p) - 1)}
@@ -47,6 +47,8 @@ class Encoder:
         probe = "ﬁ ①  x"
         as_is = sp.decode(sp.encode(probe)) == probe and sp.encode("a b") == sp.encode("a") + sp.encode("b")
         self.cut_at_spaces = as_is and not any(p[0] != SPACE and p[1] == SPACE for p in self.pairs)
+        #: Whether the model takes the sign for a space in a text as a space, so that offsets can count spaces instead.
+        self.sign_is_space = all(sp.encode(x) == sp.encode(x.replace(SPACE, " ")) for x in (f"{SPACE}a", f"a{SPACE}b{SPACE} c {SPACE}", SPACE, f"{SPACE}{SPACE}"))
         self.byte_fallback = all(sp.is_byte(i) for i in sp.encode("\U000f1234")[1:])
 
     def parts(self, text: str) -> list[str]:
@@ -61,16 +63,15 @@ class Encoder:
             return b""
         if not self.cut_at_spaces or SPACE in text:
             return np.array(self.sp.encode(text), "<i4").tobytes()
-        return b"".join(map(self.known.__getitem__, self.learn([self.parts(text)])[0]))
+        parts = self.parts(text)
+        self.learn([parts])
+        return b"".join(map(self.known.now.__getitem__, parts))
 
-    def learn(self, texts: list[list[str]]) -> list[list[str]]:
-        """Encode parts not seen yet, all at once."""
-        if len(self.known) > self.keep:
-            self.known.clear()
-        if new := [p for p in set().union(*texts) if p not in self.known]:
-            for part, ids in zip(new, self.sp.encode(new, num_threads=1), strict=True):
-                self.known[part] = np.array(ids if part else self.lone, "<i4").tobytes()
-        return texts
+    def learn(self, texts: list[list[str]]) -> None:
+        """Encode parts that aren't remembered, all at once."""
+        self.known.age()
+        if new := self.known.unknown(set().union(*texts)):
+            self.known.keep(new, [np.array(ids if part else self.lone, "<i4").tobytes() for part, ids in zip(new, self.sp.encode(new, num_threads=1), strict=True)])
 
     @property
     def lone(self) -> list[int]:
@@ -87,11 +88,16 @@ class Encoder:
         pair = raw[start : at + 4].decode(errors="ignore")[:2].replace(" ", SPACE)
         return pair not in self.pairs
 
+    def spaced(self, text: str) -> str:
+        """The text with spaces for the signs that the model takes as such; it has the same ids."""
+        return text.replace(SPACE, " ") if self.sign_is_space else text
+
     def count(self, text: str) -> int:
         return len(self.encode(text)) // 4
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text; longer than a chunk: from overlapping chunks."""
+        text = self.spaced(text)
         if len(text) <= self.chunk or not self.cut_at_spaces or SPACE in text or not self.byte_fallback:
             return self.encode_part(text)
         raw = text.encode()
@@ -144,17 +150,6 @@ class Encoder:
         return None
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
-def encoder(model_file: str, **options: int) -> Encoder:
-    """One encoder for each worker and set of parameters."""
-    key = (model_file, *sorted(options.items()))
-    if key not in _encoders:
-        _encoders[key] = Encoder(model_file, **options)
-    return _encoders[key]
-
-
 def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096, **options: int) -> DataFrame:
     """Bytes, tokens and over_limit of every whole text; a row for each input row.
 
@@ -164,9 +159,9 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(model_file, **options)
+        enc = Encoder(model_file, **options)  # parts are remembered for a task only
         for batch in slices(batches, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            texts = [enc.spaced(t or "") for t in batch.column("text").to_pylist()]
             if enc.cut_at_spaces:
                 enc.learn([enc.parts(t) for t in texts if t and len(t) <= enc.chunk and SPACE not in t])
             counts = pa.array([enc.count(t) for t in texts], pa.int64())

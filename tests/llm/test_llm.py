@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import pickle
 import random
+import time
 import zlib
 
 import numpy as np
@@ -34,7 +36,7 @@ def test_token_counts(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
     texts = odd_texts()
     df = docs_of(spark, list(enumerate(texts)) + [(0, ""), (None, "a b")])
-    for options in ({}, {"chunk": 40, "overlap": 4}):
+    for options in ({}, {"chunk": 40, "overlap": 4}, {"chunk": 40, "overlap": 4, "keep_bytes": 500}):
         got = token_count.token_counts(df, P.path("piece_bpe_32k.model"), **options).collect()
         assert len(got) == len(texts) + 2
         for r in got:
@@ -58,6 +60,9 @@ def test_byte_bpe(spark):
         t = (texts[r["doc_id"]] if r["doc_id"] is not None else "a b") or ""
         ids = np.array(enc.encode_ordinary(t), "<u4").tobytes()
         assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(t.encode()).hexdigest()), t[:50]
+    assert byte_bpe.encoding_digests(df.limit(0), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).count() == 0
+    small = byte_bpe.encoding_digests(df.repartition(2), P.path("byte_bpe_50k.tiktoken"), P.PATTERN, keep_bytes=2000, block=300).collect()
+    assert sorted(map(str, small)) == sorted(map(str, got))  # whatever is remembered
     whole = {r["doc_id"]: r for r in byte_bpe.encode_texts(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).where("doc_id is not null").collect()}
     assert all(bytes(r["decoded"]) == (texts[i] or "").encode() for i, r in whole.items())
 
@@ -65,7 +70,7 @@ def test_byte_bpe(spark):
 def test_lower_rank_takes_over():
     """A pair that arises with a lower rank than the merge at hand is joined first, as word by word."""
     ranks = {bytes([i]): i for i in range(256)} | {b"aba": 300, b"ab": 310, b"bb": 305}
-    codec = byte_bpe.Codec(ranks, P.PATTERN)
+    codec = byte_bpe.Codec(byte_bpe.Tables(ranks), P.PATTERN)
 
     def plain(word):
         parts = [bytes([b]) for b in word]
@@ -109,10 +114,64 @@ def test_main_text_slugs(html, text):
     assert main_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        ("<article><p>a, b</p><div class='post-comments'><p>me, too</p></div><div class='main-nav'>x</div><div class='sponsored-content'>y</div><div class='cookie-notice-text'>z</div><section class='reply-list text comments'><p>q</p></section><p>c</p></article>", "a, b\n\nc"),
+        ("<p data-x=it's>one kept</p><p>two kept</p><p>it's end</p>", "one kept\n\ntwo kept\n\nit's end"),
+        ("<p>if a <b and c > d then", "if a <b and c > d then"),
+        ("<p>if a < b and <i>c</i> >= d", "if a < b and c >= d"),
+        ("<article><p>a, b</p><p class='related'>On related work, in words.</p></article>", "a, b\n\nOn related work, in words."),
+        ("<main><article><h1>H</h1><p>long, long, long text of it</p></article><article><p>teaser, and more</p></article></main>", "H\n\nlong, long, long text of it"),
+        ("<body class='with-sidebar'><div class='has-sidebar'><div class='wrap sidebar-right'><main><p>a, b, c</p></main></div><div class='sidebar'><p>d, e, f, g, h</p></div></div>", "a, b, c"),
+        ("<div id=page><div class=x><h1>T</h1></div><div class=y><p>a, b, c, d, e, f</p><p>g, h</p></div></div>", "a, b, c, d, e, f\n\ng, h"),
+        ("<article><p>a<a href='x>b</a></p><p>c", "ab\n\nc"),
+        ("<article><textarea>no</textarea><p>yes<table><tr><td>1<td>2<tr><td>3</table></article><script>p", "yes\n\n1\n\n2\n\n3"),
+    ],
+)
+def test_main_text_broken_or_misleading(html, text):
+    assert main_text.main_text(html) == text
+
+
+@pytest.mark.parametrize("bit", ["<a x ", "<b x='", "<div>x", "<li><ul><div>y", "</i>", "<script", "<!-", "<textarea>", "<p><b>t", "<a href=\"", "<td>z", "&amp;<"])
+def test_main_text_takes_linear_time(bit):
+    def spent(n):
+        start = time.process_time()
+        main_text.main_text("<article><p>" + bit * n)
+        return time.process_time() - start
+
+    assert spent((1 << 20) // len(bit)) < 15 * max(spent((1 << 17) // len(bit)), 0.1)
+
+
+def test_main_text_by_plain_scores():
+    """Sums over the tree against a scorer that walks up from every block."""
+    rng = random.Random(8)
+
+    def tree(depth):
+        name = rng.choice(["div", "section", "p", "ul", "article"] if depth else ["p", "h2"])
+        if name in ("p", "h2"):
+            return f"<{name}>{rng.choice(['one, two', 'x', 'a, b, c, ' * 20, '<a>link</a> t'])}</{name}>"
+        return f"<{name}>" + "".join(tree(depth - 1) for _ in range(rng.randrange(4))) + f"</{name}>"
+
+    for _ in range(200):
+        elements, blocks = main_text.blocks_of(tree(4) + tree(4))
+        want = {}
+        for element, text, linked in blocks:
+            points = (1 + min(text.count(","), 10) + min(len(text) / 100, 3)) * (1 - linked / len(text))
+            up, share = (element.parent if element.name in main_text.TEXT_BLOCKS else element), 1.0
+            while up is not None:
+                want[id(up)] = want.get(id(up), 0) + points * share
+                up, share = up.parent, share / 2
+        main_text.weighed(elements, blocks)
+        assert all(math.isclose(e.received, want.get(id(e), 0), abs_tol=1e-9) for e in elements)
+        assert elements[0].length == sum(len(t) for _, t, _ in blocks)
+
+
 def test_main_text_rows(spark):
     df = spark.createDataFrame([(1, "u", "<article><p>a", 5), (1, "u", "<article><p>a", 5), (None, None, None, None)], "page_id long, url string, html string, text int")
     got = sorted(main_text.extract(df).collect(), key=str)
     assert [tuple(r) for r in got] == [(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0)]
+    assert main_text.extract(df.limit(0)).count() == 0
 
 
 def test_quality(spark):
@@ -125,8 +184,9 @@ def test_quality(spark):
     assert all(h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, h in held.items())
     odd = docs_of(spark, [(1, None), (1, ""), (None, "a\nb"), (5, "\n" * 3000)])
     assert line_crf.quality(odd, labels.limit(0)).select("score").distinct().collect()[0][0] == 0.5
-    kept = line_crf.quality(odd, labels, keep=True)
-    assert kept.columns[: len(odd.columns) - 1] == [c for c in odd.columns if c != "score"] and kept.count() == 4
+    assert line_crf.quality(odd.limit(0), labels).count() == 0 and line_crf.quality(odd.limit(0), labels.limit(0)).count() == 0
+    kept = line_crf.quality(odd.withColumn("a`b", F.lit(1)), labels, keep=True)
+    assert kept.columns == ["row", "score", "predicted"] and kept.select("row.*").columns == [*odd.columns, "a`b"] and kept.count() == 4
 
 
 def test_chain_marginals_by_enumeration():
@@ -355,6 +415,20 @@ def test_language(spark):
     got = {r["doc_id"]: r for r in language.language_of(odd).where("doc_id < 0 or doc_id is null").collect()}
     assert [got[i]["lang_pred"] for i in (-1, -2, -3)] == ["und"] * 3 and got[None]["held_out"] and got[None]["lang_pred"] != "und"
     assert language.language_of(odd.limit(0)).count() == 0
+    clashing = docs_of(spark, [(1, "the", "en"), (1, "the", "en"), (2, None, None)]).withColumn("lang_pred", F.lit(9)).withColumn("a`b c", F.lit(1))
+    kept = language.language_of(clashing, keep=True)
+    assert kept.columns == ["row", "lang_pred", "score"] and kept.select("row.*").columns == clashing.columns and kept.count() == 3
+
+
+def test_learning_is_bounded(spark):
+    """Rows that repeat an id or a text, and very long labelled texts, add nothing beyond the parameters."""
+    a, b, c = [i for i in range(99) if zlib.crc32(str(i).encode()) % 20 in (1, 3, 7, 9, 11, 13, 17, 19)][:3]
+    docs = docs_of(spark, [(a, f"text {i % 3}\n" + "line of it\n" * 3000, "en") for i in range(40)] + [(b, "other\nlines", "fr"), (c, "?!?! %% 12", "fr")])
+    labels = spark.createDataFrame([(a, 1, 0), (b, 1, 0), (b, 0, 0), (c, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    chain = line_crf.fit(docs, labels, "doc_id", "text", "quality", 5, 64)
+    assert chain is not None and line_crf.windows(6002, 64) == [(0, 16), (1995, 16), (3990, 16), (5986, 16)] and line_crf.windows(64, 64) == [(0, 64)]
+    texts, counts = language.labelled_texts(docs, "doc_id", "text", "lang", 5, 48_000, 4000)
+    assert counts["en"] == 40 and texts["en"].count("text ") <= 5 and len(texts["en"]) < 3 * 4100
 
 
 def test_language_learns_from_whole_texts(spark):
@@ -386,29 +460,49 @@ def test_suffix_automaton():
     assert all(accepts(s) == (s in inside) for s in tried)
 
 
+def plain_phrases(symbols, known):
+    """Greedy longest matches of symbols in known, over the whole text."""
+    inside = {tuple(known[i:j]) for i in range(len(known)) for j in range(i + 1, len(known) + 1)}
+    at = n = 0
+    while at < len(symbols):
+        size = 1
+        while at + size < len(symbols) and tuple(symbols[at : at + size + 1]) in inside:
+            size += 1
+        at, n = at + size, n + 1
+    return n
+
+
 def test_cross_parsing_by_plain_phrases():
-    labelled = {"x": "abc abd abcd. bca", "y": "ddca cab. dcab"}
-    parser = language.Parser(labelled, {"x": 1, "y": 1})
-    texts = ["abcabd", "d", "zz a", "cab dcab", "", "123", "abcabd " * 300]
-    counts, sizes = parser.phrases(texts)
-    for t, row, n in zip(texts, counts, sizes):
+    labelled = {"x": "abc abd abcd. bca" + "cab" * 9, "y": "ddca cab. dcab"}
+    parser = pickle.loads(pickle.dumps(language.Parser(labelled, {"x": 1, "y": 3})))
+    rng = random.Random(7)
+    texts = ["abcabd", "d", "zz a", "cab dcab", "", "123", "abcabd " * 300, "zz", "cab" * 40, labelled["x"], *["".join(rng.choices("abcd .z", k=rng.randrange(400))) for _ in range(60)]]
+    known = {lang: parser.symbols(t.lower()).tolist() for lang, t in labelled.items()}
+    want = []
+    for t in texts:
         symbols = parser.symbols(t.lower()).tolist()
-        for lang, got in zip(parser.langs, row):
-            if not n:
-                assert got == 0
-                continue
-            known = parser.symbols(labelled[lang].lower()).tolist()
-            inside = {tuple(known[i:j]) for i in range(len(known)) for j in range(i + 1, len(known) + 1)}
-            want = 0
-            for k in range(0, len(symbols), language.SEGMENT):
-                held, want = (), want + 1
-                for c in symbols[k : k + language.SEGMENT]:
-                    if (*held, c) in inside:
-                        held = (*held, c)
-                    else:
-                        want += 1
-                        held = (c,) if (c,) in inside else ()
-            assert got == want
+        want.append([plain_phrases(symbols, known[lang]) if any(symbols) else 0 for lang in parser.langs])
+    for segment in (1, 7, 64, 512):  # seams leave no trace
+        counts, sizes = parser.phrases(texts, segment)
+        assert counts.tolist() == want
+    langs, scores = parser.predict(texts)
+    bits = [math.log2(len(known[x])) for x in parser.langs]
+    for (x, y), lang, score, n in zip(want, langs, scores, sizes):
+        cost = [x * bits[0], y * bits[1]]
+        if not n:
+            assert (lang, score) == ("und", 0)
+        elif abs(cost[0] - cost[1]) > max(bits) / 2:
+            assert lang == parser.langs[cost.index(min(cost))] and math.isclose(score, 1 - min(cost) / max(cost))
+        elif cost[1] - min(cost) <= bits[1] / 2:
+            assert lang == "y"
+
+
+def test_language_of_many_letters():
+    """Transitions take memory by their number, not by states times letters."""
+    rng = random.Random(3)
+    parser = language.Parser({"han": "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(8000)), "en": "the cat sat on the mat " * 50}, {"han": 1, "en": 1})
+    assert parser.keys.nbytes + parser.values.nbytes < 4 << 20
+    assert parser.predict(["the mat", "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(50))])[0] == ["en", "han"]
 
 
 def test_pipeline(spark):

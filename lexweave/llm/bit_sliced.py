@@ -109,20 +109,25 @@ class Block:
         return self.ids[rows], scores
 
 
-def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, scale: float = 64.0, block_rows: int = 32768, block_queries: int = 256) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, scale: float = 64.0, block_rows: int = 8192, block_queries: int = 8192, together: int = 16) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): the k best inner products of each query with all other rows.
 
     Vectors that are null or hold null or non-finite components, and rows
     without an id, take no part; shorter vectors count as filled up with
     zeros. Ties go to the smaller id. Rows of the query's own id are not its
     candidates. A repeated id counts as often as it occurs; as a query, once.
-    Blocks of rows meet blocks of queries, each pair a unit of work of bounded
-    size; only k rows a query leave a unit.
+    An empty table gives no rows. Groups of `together` blocks of rows meet parts
+    of queries, each pair a unit of work of bounded size; only k rows a query
+    leave a block. A group's bitmaps are copied once for each part, a part's
+    queries once for each group, so neither side travels by single rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"), is_query.alias("asks")).where("id is not null and v is not null")
     queries = rows.where("asks").groupBy("id").agg(F.min("v").alias("v"))
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dims"), F.count_if("asks").alias("q")).first()
-    blocks, parts, dims = max(1, -(-size["n"] // block_rows)), max(1, -(-size["q"] // block_queries)), size["dims"] or 0
+    blocks, dims = max(1, -(-size["n"] // block_rows)), size["dims"] or 0
+    # units of work: as few as their size allows, but in small tables enough of them to share out
+    groups = max(-(-blocks // together), min(blocks, 8))
+    parts = max(1, -(-size["q"] // block_queries), min(8, size["q"] // 32))
 
     def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         values = np.zeros((len(part), max(1, dims)), np.int64)
@@ -133,7 +138,9 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
 
     index = rows.select("id", "v").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).groupBy("block").applyInPandas(build, "block int, ids binary, slices binary, low binary")
     asked = queries.withColumn("part", F.pmod(F.xxhash64("id", F.lit("query")), F.lit(parts)).cast("int")).groupBy("part").agg(F.collect_list("id").alias("q_ids"), F.collect_list("v").alias("q_vectors"))
-    units = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(asked, "part")
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    index = index.withColumn("of", F.col("block") % groups).withColumn("part", numbers(parts))
+    units = index.join(asked.withColumn("of", numbers(groups)), ["of", "part"])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Collection, Iterator
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -48,7 +49,21 @@ def staged(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/lexweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of staged() frames that nothing still to be computed reads."""
+    for df in frames:
+        if path := _paths.pop(df, None):
+            jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def give_back() -> None:
@@ -92,9 +107,11 @@ def components(edges: DataFrame) -> DataFrame:
         up = labels.select(F.col("node").alias("up"), F.col("label").alias("jump"))
         stepped = stepped.join(up, stepped.label == up.up, "left").select("node", "old", F.least("label", F.coalesce("jump", "label")).alias("label"))
         stepped = staged(stepped)
+        discard(labels)
         if not stepped.where("old <> label").limit(1).count():
+            discard(both)
             return stepped.select("node", F.col("label").alias("component"))
-        labels = stepped.select("node", "label")
+        labels = stepped
 
 
 class Recent:

@@ -1,15 +1,19 @@
 """Near-duplicate vectors by inverted lists and product quantisation (operator 9).
 
 Unit vectors lie in the lists of their nearest coarse centroids; their
-residuals are coded by the nearest codeword in each of several subspaces. A
-vector visits the lists of its `probes` nearest centroids: per list, a table of
-its squared distances to all codewords gives by lookups its distance to each
-coded member. A member is kept if that distance is at most the radius of the
-cosine plus the member's own coding error, which loses no pair (triangle
-inequality); kept pairs are decided by their exact cosine. Centroids and
-codewords are fitted on a bounded sample, thinned so that a group of copies
-counts once; every row is indexed and every row searches. Each length of
-vectors has its own quantiser; the few of a rare length all meet each other.
+residuals are coded by the nearest codeword in each of several subspaces. In
+large tables a centroid is a coarse one plus one of a shared set of fine ones,
+so lists grow in number with the rows while what is fitted stays bounded. A
+vector visits the lists of its `probes` nearest centroids. What travels to a
+list are codes of its members and, of visitors, components rounded to 8 bits:
+per visitor, a table of its squared distances to all codewords gives by lookups
+its distance to each coded member, and whoever comes within the radius of the
+cosine plus both coding errors is marked, which loses no pair (triangle
+inequality). Only the marked ones' vectors are then fetched to the list, and
+their pairs decided by exact cosine. Centroids and codewords are fitted on a
+bounded sample, thinned so that a group of copies counts once; every row is
+indexed and every row searches. Each length of vectors has its own quantiser;
+the few of a rare length all meet each other.
 """
 
 from __future__ import annotations
@@ -20,27 +24,35 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import components, staged
+from lexweave.llm.common import components, discard, staged
 
 FOUND = "id long, n long, root long"
 
 
 @dataclass
 class Quantiser:
-    centroids: np.ndarray  # lists x dims
+    coarse: np.ndarray  # centroids x dims
+    fine: np.ndarray  # offsets from them x dims; lists are all pairs of both
     codewords: np.ndarray  # subspaces x words x dims / subspaces
     probes: int
 
+    def centre(self, at: np.ndarray | int) -> np.ndarray:
+        return self.coarse[at // len(self.fine)] + self.fine[at % len(self.fine)]
+
     def nearest(self, unit: np.ndarray) -> np.ndarray:
-        """The probed lists of each vector, nearest first."""
-        d = (self.centroids**2).sum(1) - 2 * unit @ self.centroids.T
-        if self.probes >= len(self.centroids):
-            return np.argsort(d, 1, kind="stable")
-        some = np.argpartition(d, self.probes - 1, 1)[:, : self.probes]
-        return np.take_along_axis(some, np.argsort(np.take_along_axis(d, some, 1), 1, kind="stable"), 1)
+        """The probed lists of each vector, nearest first: of the nearest coarse centroids all fine ones."""
+        d = (self.coarse**2).sum(1) - 2 * unit @ self.coarse.T
+        near = first(d, self.probes)
+        if len(self.fine) == 1:
+            return near
+        far = np.take_along_axis(d, near, 1)
+        to = self.fine @ self.coarse.T  # what fine and coarse have in common
+        d = far[:, :, None] + 2 * to.T[near] - 2 * (unit @ self.fine.T)[:, None, :] + (self.fine**2).sum(1)
+        lists = (near[:, :, None] * len(self.fine) + np.arange(len(self.fine))).reshape(len(unit), -1)
+        return np.take_along_axis(lists, first(d.reshape(len(unit), -1), self.probes), 1)
 
     def code(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of residuals, and the distances from what they stand for."""
@@ -85,15 +97,53 @@ def thinned(unit: np.ndarray, cosine: float) -> np.ndarray:
     return kept
 
 
-def fit(unit: np.ndarray, lists: int, probes: int, cosine: float, subspaces: int = 8, words: int = 64) -> Quantiser:
+def first(d: np.ndarray, k: int) -> np.ndarray:
+    """The places of the k least of each row, least first."""
+    if k >= d.shape[1]:
+        return np.argsort(d, 1, kind="stable")
+    some = np.argpartition(d, k - 1, 1)[:, :k]
+    return np.take_along_axis(some, np.argsort(np.take_along_axis(d, some, 1), 1, kind="stable"), 1)
+
+
+def fit(unit: np.ndarray, lists: int, probes: int, cosine: float, most: int = 512, subspaces: int = 8, words: int = 64) -> Quantiser:
+    """Lists beyond `most` come from fine centroids, `most` of them at most."""
     some = thinned(unit, cosine - 0.05)
-    centroids = k_means(some, lists)
+    coarse = k_means(some, min(lists, most))
     if unit.shape[1] % subspaces:
         subspaces = 1
-    near = ((centroids**2).sum(1) - 2 * some @ centroids.T).argmin(1)
-    parts = (some - centroids[near]).reshape(len(some), subspaces, -1)
+    residual = some - coarse[((coarse**2).sum(1) - 2 * some @ coarse.T).argmin(1)]
+    fine = np.zeros((1, unit.shape[1]))
+    if lists >= 2 * most:
+        fine = k_means(residual, min(lists // most, most))
+        residual = residual - fine[((fine**2).sum(1) - 2 * residual @ fine.T).argmin(1)]
+    parts = residual.reshape(len(some), subspaces, -1)
     books = [k_means(parts[:, m], words) for m in range(subspaces)]
-    return Quantiser(centroids, np.stack(books), min(probes, len(centroids)))
+    return Quantiser(coarse, fine, np.stack(books), min(probes, len(coarse)))
+
+
+def rounded(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Components as 8-bit multiples of a step for each vector, the steps, and the distances from what they stand for."""
+    step = np.abs(unit).max(1) / 127
+    near = np.rint(unit / step[:, None]).astype(np.int8)
+    return near, step, np.linalg.norm(unit - near * step[:, None], axis=1)
+
+
+def marked(q: Quantiser, home: int, visitors: dict[str, np.ndarray], members: dict[str, np.ndarray], cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which visitors and which members of a list may have a pair here, by table lookups."""
+    radius = np.sqrt(2 - 2 * cosine) + 1e-4  # for sums in single precision
+    hit_v, hit_m = np.zeros(len(visitors["id"]), bool), np.zeros(len(members["id"]), bool)
+    for start in range(0, len(hit_v), 512):
+        part = slice(start, start + 512)
+        table = np.ascontiguousarray(q.table(visitors["unit"][part] - q.centre(home)).transpose(1, 2, 0), np.float32)
+        near = table[0][members["codes"][:, 0]]
+        for m in range(1, len(table)):
+            near += table[m][members["codes"][:, m]]
+        close = near <= ((radius + members["error"])[:, None] + visitors["error"][None, part]) ** 2
+        i, j = np.nonzero(close)
+        other = members["id"][i] != visitors["id"][part][j]
+        hit_m[i[other]] = True
+        hit_v[start + j[other]] = True
+    return hit_v, hit_m
 
 
 def forest(a: np.ndarray, b: np.ndarray, nodes: int) -> np.ndarray:
@@ -118,7 +168,7 @@ def search(q: Quantiser, home: int, queries: dict[str, np.ndarray], members: dic
     member counts those whose visitor's list it doesn't probe itself.
     """
     radius = np.sqrt(2 - 2 * cosine)
-    centre = q.centroids[home]
+    centre = q.centre(home)
     codes, error = q.code(members["unit"] - centre)
     limit = (radius + error + 1e-9) ** 2
     ids = [queries["id"], members["id"]]
@@ -165,7 +215,7 @@ def exact(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
     return pd.DataFrame({"id": np.concatenate([every, every[tied]]), "n": np.concatenate([links, np.zeros(len(tied), np.int64)]), "root": root})
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, probes: int = 16, per_list: int = 400, sample: int = 8192, block: int = 512, block_visitors: int = 4096, few: int = 256) -> DataFrame:
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, probes: int = 8, per_list: int = 200, sample: int = 8192, block: int = 2048, block_visitors: int = 4096, few: int = 256) -> DataFrame:
     """Rows (id, n_links, component_id, kept), one for each input row.
 
     Vectors that are null, empty, zero or hold null or non-finite components
@@ -174,9 +224,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     don't link with each other; each has the links of all of them and their
     one component. A null id gets a row without links and without component.
     Large lists are cut into blocks of members and of visitors that meet
-    pairwise; from a block leave only counts and a spanning forest of its links.
+    pairwise; from a block leave only marks, and then counts and a spanning
+    forest of its links. An empty table gives no rows.
     """
-    raw = staged(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.monotonically_increasing_id().alias("row")))
+    raw = staged(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.monotonically_increasing_id().alias("row")))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     fine = raw.where("id is not null and v is not null").where(~bad).where(F.exists("v", lambda x: x != 0))
     everything = raw.select(F.col("id").alias("node"))
@@ -184,11 +235,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     if not sizes:
         return everything.select(F.col("node").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("node").alias("component_id"), F.col("node").isNotNull().alias("kept"))
     many = [dims for dims, n in sizes.items() if n > few]
-    parts = [_searched(fine.where(F.size("v") == dims), sizes[dims], cosine, probes, per_list, sample, block, block_visitors) for dims in many]
+    used: list[DataFrame] = []
+    parts = [_searched(used, fine.where(F.size("v") == dims), sizes[dims], cosine, probes, per_list, sample, block, block_visitors) for dims in many]
     if len(many) < len(sizes):
         rare = fine.where(~F.size("v").isin(many)).groupBy(F.size("v").alias("dims"))
         parts.append(rare.applyInPandas(lambda rows: exact(rows, cosine), FOUND))
     found = staged(reduce(DataFrame.unionByName, parts))
+    discard(*used)
     links = found.where("root is null").groupBy("id").agg(F.sum("n").alias("n_links"))
     tied = components(found.where("root is not null").select(F.col("id").alias("a"), F.col("root").alias("b")))
     out = everything.join(links, everything.node == links.id, "left").drop("id").withColumnRenamed("node", "vec").join(tied, F.col("vec") == F.col("node"), "left")
@@ -196,41 +249,66 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     return out.select(F.col("vec").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec") == component, F.lit(False)).alias("kept"))
 
 
-def _searched(fine: DataFrame, n: int, cosine: float, probes: int, per_list: int, sample: int, block: int, block_visitors: int) -> DataFrame:
-    """Rows (id, n, root) of the links of n vectors of one length: counts, where root is null, and spanning edges."""
+def _searched(used: list[DataFrame], fine: DataFrame, n: int, cosine: float, probes: int, per_list: int, sample: int, block: int, block_visitors: int) -> DataFrame:
+    """Rows (id, n, root) of the links of n vectors of one length: counts, where root is null, and spanning edges. `used` gets the tables that they are computed from."""
     share = min(1 << 40, (sample << 40) // n + 1)
     drawn = [np.array(r["v"]) for r in fine.where(F.pmod(F.xxhash64("id", "v", F.lit("centroids")), F.lit(1 << 40)) < share).select("id", "v").distinct().orderBy("id", "v").select("v").collect()]
     if not drawn:
         drawn = [np.array(r["v"]) for r in fine.orderBy("id", "v").limit(1).select("v").collect()]
     unit = np.stack(drawn)
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-    sent = fine.sparkSession.sparkContext.broadcast(fit(unit, min(max(1, n // per_list), max(1, sample // 16)), probes, cosine))
+    most = max(1, sample // 16)
+    sent = fine.sparkSession.sparkContext.broadcast(fit(unit, min(max(1, n // per_list), most * most), probes, cosine, most))
+
+    def held(df: DataFrame) -> DataFrame:
+        used.append(staged(df))
+        return used[-1]
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         q = sent.value
         for b in batches:
             if len(b):
                 x = np.stack(b["v"].to_numpy()).astype(float)
-                near = q.nearest(x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.int32)
-                yield pd.DataFrame({"id": b["id"], "row": b["row"], "v": [r.tobytes() for r in x], "probes": list(near)})
-
-    placed = staged(fine.mapInPandas(assign, "id long, row long, v binary, probes array<int>"))
-    visits = placed.select("id", "row", "v", "probes", F.col("probes")[0].alias("home"), F.explode("probes").alias("list"))
-    # a row for each list, of which there are sample / 16 at most
-    sized = visits.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block_visitors).cast("int").alias("visitor_blocks"), F.ceil(F.count_if(F.col("home") == F.col("list")) / block).cast("int").alias("member_blocks")).where("member_blocks > 0")
-    visits = visits.join(F.broadcast(sized), "list")
-    spread = lambda name, other, mine: (F.pmod(F.xxhash64("id", "row", F.lit(name)), F.col(mine)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-    mine, theirs = spread("visitor", "member_blocks", "visitor_blocks")
-    visitors = visits.select("list", mine.alias("i"), theirs.alias("j"), F.lit(True).alias("visits"), "id", "v", "probes")
-    mine, theirs = spread("member", "visitor_blocks", "member_blocks")
-    members = visits.where(F.col("home") == F.col("list")).select("list", theirs.alias("i"), mine.alias("j"), F.lit(False).alias("visits"), "id", "v", "probes")
-
-    def unit_of_work(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                probed = q.nearest(x).astype(np.int32)
+                codes, error = q.code(x - q.centre(probed[:, 0]))
+                near, step, off = rounded(x)
+                yield pd.DataFrame({"id": b["id"], "row": b["row"], "probes": list(probed), "codes": [c.tobytes() for c in codes], "error": error, "near": [r.tobytes() for r in near], "step": step, "off": off})
+
+    placed = held(fine.mapInPandas(assign, "id long, row long, probes array<int>, codes binary, error double, near binary, step double, off double"))
+
+    def met(visits: DataFrame, homes: DataFrame, own: list[str], theirs: list[str]) -> GroupedData:
+        """Visits (row, list, ...) and members (row, list, ...) in blocks, each block of visitors with each block of members of a list."""
+        count = lambda df, name, size: df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+        blocks = held(count(visits, "v_blocks", block_visitors).join(count(homes, "m_blocks", block), "list"))
+        deal = lambda name, mine: F.pmod(F.xxhash64("id", "row", F.lit(name)), F.col(mine)).cast("int")
+        copies = lambda other: F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        none = lambda df, names: [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in names]
+        v = visits.join(blocks, "list").select("list", copies("m_blocks").alias("i"), deal("visitor", "v_blocks").alias("j"), F.lit(True).alias("visits"), "id", "row", *own, *none(homes, [c for c in theirs if c not in own]))
+        m = homes.join(blocks, "list").select("list", deal("member", "m_blocks").alias("i"), copies("v_blocks").alias("j"), F.lit(False).alias("visits"), "id", "row", *none(visits, [c for c in own if c not in theirs]), *theirs)
+        return v.unionByName(m).groupBy("list", "i", "j")
+
+    def mark(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        visits = rows["visits"].to_numpy(bool)
+        v, m = rows[visits], rows[~visits]
+        if not len(v) or not len(m):
+            return pd.DataFrame({"row": [], "visits": [], "list": []})
+        unit = np.stack([np.frombuffer(b, np.int8) for b in v["near"]]) * v["step"].to_numpy()[:, None]
+        codes = np.stack([np.frombuffer(b, np.uint8) for b in m["codes"]])
+        hits = marked(sent.value, int(key[0]), {"id": v["id"].to_numpy(), "unit": unit, "error": v["off"].to_numpy()}, {"id": m["id"].to_numpy(), "codes": codes, "error": m["error"].to_numpy()}, cosine)
+        row = np.concatenate([v["row"].to_numpy()[hits[0]], m["row"].to_numpy()[hits[1]]])
+        return pd.DataFrame({"row": row, "visits": np.arange(len(row)) < hits[0].sum(), "list": np.full(len(row), key[0], np.int32)})
+
+    every = placed.select("id", "row", F.explode("probes").alias("list"), "near", "step", "off")
+    home = placed.select("id", "row", F.col("probes")[0].alias("list"), "codes", "error")
+    marks = held(met(every, home, ["near", "step", "off"], ["codes", "error"]).applyInPandas(mark, "row long, visits boolean, list int").distinct())
+
+    def pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         def side(part: pd.DataFrame) -> dict[str, np.ndarray]:
-            x = np.stack([np.frombuffer(b) for b in part["v"]])
+            x = np.stack(part["v"].to_numpy()).astype(float)
             norm = np.linalg.norm(x, axis=1)
-            probes = np.stack(part["probes"].to_numpy())
-            return {"id": part["id"].to_numpy(), "raw": x, "norm": norm, "unit": x / norm[:, None], "probes": probes, "home": probes[:, 0]}
+            probed = np.stack(part["probes"].to_numpy())
+            return {"id": part["id"].to_numpy(), "raw": x, "norm": norm, "unit": x / norm[:, None], "probes": probed, "home": probed[:, 0]}
 
         visits = rows["visits"].to_numpy(bool)
         if not visits.any() or visits.all():
@@ -240,4 +318,6 @@ def _searched(fine: DataFrame, n: int, cosine: float, probes: int, per_list: int
         tied = np.concatenate([np.zeros(len(counts), bool), np.ones(len(edges), bool)])
         return pd.DataFrame({"id": out[:, 0], "n": out[:, 1], "root": [int(r) if t else None for r, t in zip(out[:, 2], tied, strict=True)]})
 
-    return visitors.unionByName(members).groupBy("list", "i", "j").applyInPandas(unit_of_work, FOUND)
+    wanted = held(fine.join(marks.select("row").distinct(), "row", "left_semi").join(placed.select("row", "probes"), "row"))
+    fetched = marks.join(wanted, "row")
+    return met(fetched.where("visits").drop("visits"), fetched.where(~F.col("visits")).drop("visits"), ["v", "probes"], ["v", "probes"]).applyInPandas(pairs, FOUND)

@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexweave.llm import hashing
-from lexweave.llm.common import components, slices, staged
+from lexweave.llm.common import components, discard, slices, staged
 
 SKETCH_BITS = 2048
-MARK_BITS = 22
+MARK_BITS = (22, 27)  # least and most: 16 MB
 
 
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -162,20 +162,25 @@ def met(rows: DataFrame) -> DataFrame:
     return rows.repartition("token").sortWithinPartitions("token", "sig").mapInArrow(run, "token long, sig long, n int, pos int")
 
 
-def bitmap(places: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of 2 ** MARK_BITS positions with a mark for each place; its size is fixed."""
+def bits_for(n: int) -> int:
+    """Bits of a place such that n marks fill at most a sixteenth of a bitmap, within its bounds."""
+    return min(max(MARK_BITS[0], (16 * n).bit_length()), MARK_BITS[1])
+
+
+def bitmap(places: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A bitmap of 2 ** bits positions with a mark for each place."""
     marks = places.groupBy(F.shiftright(column, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({column} % 64 as int))")).alias("m")).toPandas()
-    out = np.zeros(1 << (MARK_BITS - 6), np.int64)
+    out = np.zeros(1 << (bits - 6), np.int64)
     out[marks["w"].to_numpy(np.int64)] = marks["m"].to_numpy(np.int64)
     return out
 
 
-def sig_place(sig: Column) -> Column:
-    return sig.bitwiseXOR(F.shiftright(sig, 29)).bitwiseAND(F.lit((1 << MARK_BITS) - 1))
+def sig_place(sig: Column, bits: int) -> Column:
+    return sig.bitwiseXOR(F.shiftright(sig, 29)).bitwiseAND(F.lit((1 << bits) - 1))
 
 
-def id_place(i: Column) -> Column:
-    return F.crc32(i.cast("string")).bitwiseAND(F.lit((1 << MARK_BITS) - 1))
+def id_place(i: Column, bits: int) -> Column:
+    return F.xxhash64(i).bitwiseAND(F.lit((1 << bits) - 1))
 
 
 def marked(marks: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -184,15 +189,17 @@ def marked(marks: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 def narrowed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The sets of the pairs and a few more, so that a join moves no others."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).select(sig_place(F.col("sig")).alias("p"))
-    sent = sets.sparkSession.sparkContext.broadcast(bitmap(ends, "p"))
+    ends = staged(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct())
+    bits = bits_for(ends.count())
+    sent = sets.sparkSession.sparkContext.broadcast(bitmap(ends.select(sig_place(F.col("sig"), bits).alias("p")), "p", bits))
+    discard(ends)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = marked(sent.value, batch.column("p").to_numpy())
             yield batch.select(["sig", "tokens"]).filter(pa.array(keep))
 
-    return sets.select("sig", "tokens", sig_place(F.col("sig")).alias("p")).mapInArrow(run, "sig long, tokens binary")
+    return sets.select("sig", "tokens", sig_place(F.col("sig"), bits).alias("p")).mapInArrow(run, "sig long, tokens binary")
 
 
 def allowed(n_a: Column, n_b: Column, most: Column, percent: int) -> Column:
@@ -243,15 +250,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     late = top.sort_values(["times", "token"])["token"].to_numpy(np.int64)
 
     nodes = staged(rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
-    index = staged(met(postings(text, words, percent, late)))
+    index = index_all = staged(met(postings(text, words, percent, late)))
     # tokens of a prefix that no other set has bound what a set can share with any other
     prefix = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
     shared = index.groupBy("sig").agg(F.count(F.lit(1)).alias("met"))
     index = index.join(shared, "sig").withColumn("most", (F.col("n") - prefix + F.col("met")).cast("int")).drop("met")
     index = index.where(allowed(F.col("n"), F.floor((percent * F.col("n") + 99) / 100), F.col("most"), percent))
-    index = staged(index)
+    index = index_fit = staged(index)
+    discard(index_all)
     lists = index.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
     index = staged(index.join(lists, "token"))
+    discard(index_fit)
 
     def candidates(a: DataFrame, b: DataFrame, keys: list[str], more: Column, bitmaps: bool = False) -> DataFrame:
         """Pairs that sizes, positions, unshared tokens and bitmaps allow, with the distance of their bitmaps."""
@@ -275,7 +284,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     leaders = long.groupBy("token", F.pmod(F.xxhash64("sig"), F.lit(tries)).alias("part")).agg(F.min(own).alias("l")).select("token", "l.*")
     near = staged(candidates(short, short, ["token"], F.col("a") < F.col("b")).union(candidates(leaders, long, ["token"], F.col("a") != F.col("b"))).distinct())
     wanted = near.select(F.explode(F.array("a", "b")).alias("sig")).union(long.select("sig")).distinct()
-    sets = sets_of(text, staged(nodes.join(wanted, "sig", "left_semi").select("sig", "rep")), words)
+    wanted = staged(nodes.join(wanted, "sig", "left_semi").select("sig", "rep"))
+    sets = sets_of(text, wanted, words)
+    discard(wanted)
 
     # the few most alike of each set
     ends = near.select(F.col("a").alias("node"), "a", "b", "apart").union(near.select(F.col("b").alias("node"), "a", "b", "apart"))
@@ -289,16 +300,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # the rest, where answers differ
     rest = labelled(labelled(near.select("a", "b").join(first, ["a", "b"], "left_anti"), "a", "label_a"), "b", "label_b").where("label_a <> label_b").select("a", "b")
-    long = staged(labelled(long.select("token", "sig", "n", "pos", "most"), "sig", "label"))
+    long_listed = staged(labelled(long.select("token", "sig", "n", "pos", "most"), "sig", "label"))
+    long = long_listed
     shares = long.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"))
     largest = shares.groupBy("token").agg(F.max(F.struct("m", "label")).alias("top")).select("token", F.col("top.label").alias("main"))
     long = long.join(nodes.select("sig", "sketch"), "sig")
     outside = long.join(largest, "token").where("label <> main").drop("main")
     across = candidates(outside, long, ["token"], F.col("label_a") != F.col("label_b"), bitmaps=True).select("a", "b")
     rest = staged(rest.union(across).distinct())
-    links = staged(links.union(linked(rest, sets, percent)))
+    every_link = staged(links.union(linked(rest, sets, percent)))
+    discard(links, rest, sets, long_listed, index, near, first)
 
-    parts = components(links)
+    parts = components(every_link)
+    discard(every_link)
     known = nodes.select("sig", "rep").join(parts, nodes.sig == parts.node, "left").select("sig", "rep", F.coalesce("component", "sig").alias("component"))
     smallest = known.groupBy("component").agg(F.min("rep").alias("smallest"))
     answer = known.join(smallest, "component").select("sig", "smallest")
@@ -309,25 +323,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def sets_of(text: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """Rows (sig, tokens) of wanted rows (sig, rep), and a few more.
 
-    Bitmaps of fixed size tell tasks which sets to emit, and by which
-    document's id, so that of thousands of copies one emits the set. Where
-    none has an id, or ids collide, a set may come several times.
+    Bitmaps tell tasks which sets to emit, and by which document's id, so that
+    of thousands of copies one emits the set. They grow with the wanted sets up
+    to a bound, beyond which more sets than those come along. Where none has an
+    id, or ids collide, a set may come several times.
     """
-    marks = text.sparkSession.sparkContext.broadcast((bitmap(wanted.select(sig_place(F.col("sig")).alias("p")), "p"), bitmap(wanted.where("rep is not null").select(id_place(F.col("rep")).alias("p")), "p")))
+    bits = bits_for(wanted.count())
+    places = [bitmap(wanted.select(sig_place(F.col("sig"), bits).alias("p")), "p", bits), bitmap(wanted.where("rep is not null").select(id_place(F.col("rep"), bits).alias("p")), "p", bits)]
+    marks = text.sparkSession.sparkContext.broadcast(tuple(places))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_sig, by_id = marks.value
         seen: set[int] = set()
         for batch in slices(batches, "text", 1 << 20):
-            places = batch.column("p")
-            batch = batch.filter(pa.array(places.is_null().to_numpy(zero_copy_only=False) | marked(by_id, places.fill_null(0).to_numpy())))
+            asked = batch.column("p")
+            batch = batch.filter(pa.array(asked.is_null().to_numpy(zero_copy_only=False) | marked(by_id, asked.fill_null(0).to_numpy())))
             sigs, sets = [], []
             for s in shingle_sets([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], words):
                 sig = signature(s)
-                if len(s) and sig not in seen and marked(by_sig, np.array([(sig ^ (sig >> 29)) & ((1 << MARK_BITS) - 1)]))[0]:
+                if len(s) and sig not in seen and marked(by_sig, np.array([(sig ^ (sig >> 29)) & ((1 << bits) - 1)]))[0]:
                     seen.add(sig)
                     sigs.append(sig)
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(sets, pa.binary())], ["sig", "tokens"])
 
-    return staged(text.select("text", id_place(F.col("id")).alias("p")).mapInArrow(run, "sig long, tokens binary"))
+    return staged(text.select("text", F.when(F.col("id").isNotNull(), id_place(F.col("id"), bits)).alias("p")).mapInArrow(run, "sig long, tokens binary"))

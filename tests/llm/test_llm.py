@@ -315,6 +315,50 @@ def test_mix(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_rates_against_a_plain_dual(spark):
+    """Every row's copies from a bisected lambda, rates in the order of size and id, and their running sums."""
+    rng = random.Random(14)
+    rows = [(i, " ".join(["w"] * int(rng.lognormvariate(3, 1))), "en", rng.choices(["a", "b", "c", "d"], [30, 9, 3, 1])[0]) for i in range(1500)] + [(2000, "w " * 30_000, "en", "b"), (2001, "", "en", "e")]
+    got = {r["doc_id"]: r for r in mixing.mix(docs_of(spark, rows), group=10**6).collect()}
+    for source in "abcd":
+        part = sorted((got[i]["size"], i) for i, _, _, s in rows if s == source)
+        target = got[part[0][1]]["target"]
+        rate = lambda x, n: min(3.0, math.exp(min(x * n, 9))) if n else 0.0
+        low, high = -10.0, 10.0
+        for _ in range(200):
+            at = (low + high) / 2
+            low, high = (at, high) if sum(n * rate(at, n) for n, _ in part) < target else (low, at)
+        up = total = 0.0
+        off = 0
+        for n, i in part:
+            up, before = up + rate(at, n), up
+            off += got[i]["copies"] != round(up) - round(before)
+            total += got[i]["taken"]
+            assert abs(got[i]["copies"] - rate(at, n)) <= 1.001
+        assert off <= 0.02 * len(part) and abs(total - target) <= max(part)[0]
+
+
+def test_tree_by_plain_draws(spark):
+    """Every shard against a descent computed one row at a time."""
+    root = hash_tree.tree(6, per_region=4, per_rack=2)
+    names = []
+
+    def visit(at):
+        for c in at.children:
+            names.append(c)
+            visit(c)
+
+    visit(hash_tree.grown(root, 6))
+    frame = spark.range(300).select("id", *[hash_tree.draw(F.col("id"), c).alias(c.name) for c in names], hash_tree.placed(F.col("id"), root).alias("shard"), hash_tree.placed(F.col("id"), hash_tree.grown(root, 6)).alias("more"))
+    for r in frame.collect():
+        for tree, column in ((root, "shard"), (hash_tree.grown(root, 6), "more")):
+            at = tree
+            while at.shard is None:
+                at = min(at.children, key=lambda c: r[c.name]) if len(at.children) > 1 else at.children[0]
+            assert at.shard == r[column]
+    assert hash_tree.shard_by_key(docs_of(spark, [(1, "a")]).limit(0), root, hash_tree.grown(root, 6)).count() == 0
+
+
 def test_shards(spark):
     rows = [(i, f"text {i % 50}") for i in range(4000)] + [(1, "text 1"), (None, None), (None, "")]
     root = hash_tree.tree(16)
@@ -346,7 +390,7 @@ def test_top_k(spark):
     rows = [(i, x[i].tolist(), "x") for i in range(400)] + BAD
     df = spark.createDataFrame(rows, VECTORS)
     q = np.floor(64 * x.astype(float)).astype(int)
-    for block_rows, block_queries in ((32768, 256), (100, 3)):
+    for block_rows, block_queries in ((8192, 8192), (100, 3), (3, 2)):
         got = {}
         for r in bit_sliced.top_k(df, F.col("vec_id") % 20 == 0, block_rows=block_rows, block_queries=block_queries).collect():
             got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
@@ -355,6 +399,8 @@ def test_top_k(spark):
             score = q @ q[i]
             order = [j for j in sorted(range(400), key=lambda j: (-score[j], j)) if j != i][:20]
             assert sorted(found) == [(k + 1, j, score[j]) for k, j in enumerate(order)]
+    twice = bit_sliced.top_k(spark.createDataFrame([(0, [1.0, 1.0], "x"), (0, [1.0, 0.0], "x"), (1, [1.0], "x"), (1, [1.0], "x"), (2, [], "x")], VECTORS), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [tuple(r) for r in twice] == [(0, 1, 1, 4096), (0, 2, 1, 4096), (0, 3, 2, 0)]  # shorter vectors, repeated ids
     few = bit_sliced.top_k(df.where("vec_id < 5"), F.col("vec_id") == 0).collect()
     assert len(few) == 4
     assert bit_sliced.top_k(df.limit(0), F.col("vec_id") == 0).count() == 0
@@ -407,6 +453,23 @@ def test_near_duplicates_of_every_length_and_row(spark):
     assert got == sorted((i, n[i], label[i], label[i] == i) for i, _ in rows)
 
 
+def test_near_duplicates_on_two_levels(spark):
+    """Lists of coarse and fine centroids, pairs right at the threshold; nothing below it links."""
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(1500, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=(1500, 16))
+    y -= (x * y).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    unit = np.concatenate([x, 0.952 * x + np.sqrt(1 - 0.952**2) * y])
+    df = spark.createDataFrame([(i, v, "x") for i, v in enumerate(unit.astype(np.float32).astype(float).tolist())], VECTORS)
+    close = unit @ unit.T >= 0.95
+    np.fill_diagonal(close, False)
+    got = {r["vec_id"]: r["n_links"] for r in pq_dedup.near_duplicates(df, per_list=10, sample=256).collect()}
+    found = np.array([got[i] for i in range(3000)])
+    assert (found <= close.sum(1)).all() and found.sum() >= 0.9 * close.sum()
+
+
 def test_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.language_of(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
@@ -505,6 +568,31 @@ def test_language_of_many_letters():
     assert parser.predict(["the mat", "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(50))])[0] == ["en", "han"]
 
 
+def test_pipeline_of_odd_rows(spark):
+    """Clashing names, nulls, ties, rows that repeat an id with the same and with other texts, an empty table."""
+    import corpus_pipeline as pipeline
+
+    good = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").orderBy("doc_id").select("text").limit(30).collect()]
+    rows = [(i, t, "en", "a") for i, t in enumerate(good)] + [(3, good[3], "en", "a"), (3, good[3], "en", "a"), (3, good[4] + " more of it", "en", "a"), (None, good[5], "en", None), (None, "quite another text of some words", None, "b"), (50, None, None, "b"), (51, "", "en", "b"), (52, "1 2 3", None, "b"), (51, "", "en", "b")]
+    docs = docs_of(spark, rows).selectExpr("*", "7 as copies", "8 as copy", "1 as predicted", "'z' as lang_pred", "2 as id", "3 as component_id", "map(1, 2) as m", "4 as key", "5 as n_shingles")
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and stage(spark, docs.limit(0), SF).count() == 0, name
+        got = out.collect()
+        assert all((r["copies"], r["copy"], r["predicted"], r["lang_pred"], r["key"]) == (7, 8, 1, "z", 4) for r in got), name
+        if stage is pipeline.known_language:
+            assert len(got) == len(rows) - 4 and all(r["lang"] for r in got)
+        if stage is pipeline.one_of_each:
+            kept = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "") for r in got)
+            _, label = plain_components([r[1] for r in rows])
+            assert len(kept) == len(set(label)) and len([k for k in kept if k[1] == 51]) == 2
+            assert len([k for k in kept if k[:2] == (True, 3)]) == len({good[3], good[4] + " more of it"} - {t for t in good[:3]})
+        if stage is pipeline.mixed:
+            want = mixing.mix(docs).agg(F.sum("copies")).first()[0]
+            assert len(got) == want and {r["doc_id"] for r in got} >= {r["doc_id"] for r in mixing.mix(docs).where("copies > 0").collect()}
+    assert pipeline.encoded(spark, docs, SF).count() == len(rows) and pipeline.encoded(spark, docs.limit(0), SF).count() == 0
+
+
 def test_pipeline(spark):
     """Stage by stage against plain versions on the driver."""
     import corpus_pipeline as pipeline

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import Recent, slices
+from lexweave.llm.common import Recent, mapped, slices
 
 
 SLICE = 2 << 20  # bytes of text that are encoded at a time
@@ -193,7 +193,7 @@ def encode_texts(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "d
 
     narrow = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"id {kind}, ids binary, decoded binary").withColumnRenamed("id", id_col)
+    return mapped(narrow, run, f"id {kind}, ids binary, decoded binary").withColumnRenamed("id", id_col)
 
 
 def encoding_digests(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
@@ -215,4 +215,4 @@ def encoding_digests(docs: DataFrame, rank_file: str, pattern: str, id_col: str
 
     narrow = docs.select(docs[id_col].alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return mapped(narrow, run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

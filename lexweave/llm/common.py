@@ -5,13 +5,14 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Collection, Iterator
+from collections.abc import Callable, Collection, Iterator
 from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Words are runs of anything but space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,6 +28,14 @@ def packed(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.struct("*").alias("row"), docs[text_col].cast("string").alias("text"))
 
 
+def mapped(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """df.mapInArrow(), with batches of a few MB instead of 64 in sessions that leave that to Spark: texts may be long, and the JVM holds a batch or two for each worker."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) in ("64MB", "67108864b"):
+        conf.set(key, "4MB")
+    return df.mapInArrow(run, schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; a temporary one only in local mode."""
     sc = spark.sparkContext

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from lexweave.llm.common import packed, slices
+from lexweave.llm.common import mapped, packed, slices
 
 SEGMENT = 512
 STRETCHES = 8
@@ -72,7 +72,8 @@ class Parser:
         letters = sorted({c for t in lowered.values() for c in t if c.isalpha()})
         self.letters, self.codes = len(letters) + 2, np.array([ord(c) for c in letters], np.int64)
         weights, keys, values, base = [], [], [], 0
-        self.start = np.full((len(self.langs), self.letters), -1, np.int64)  # states after the first symbol of a phrase; -1 has no transitions
+        # states, as multiples of letters, after the first symbol of a phrase; a negative one has no transitions
+        start = np.full((len(self.langs), self.letters), -2 * self.letters, np.int64)
         for k, lang in enumerate(self.langs):
             symbols = self.symbols(lowered[lang])
             go = suffix_automaton(symbols.tolist())
@@ -80,11 +81,11 @@ class Parser:
             symbol = np.fromiter((c for g in go for c in g), np.int64, len(state))
             to = np.fromiter((q for g in go for q in g.values()), np.int64, len(state)) + base
             keys.append((state + base) * self.letters + symbol)
-            values.append(to)
-            self.start[k, symbol[state == 0]] = to[state == 0]
+            values.append(to * self.letters)
+            start[k, symbol[state == 0]] = to[state == 0] * self.letters
             base += len(go)
             weights.append(math.log2(max(2, len(symbols))))
-        self.weights = np.array(weights)
+        self.weights, self.start = np.array(weights), start.ravel()
         self.store(np.concatenate(keys), np.concatenate(values))
 
     def __getstate__(self) -> dict:
@@ -99,10 +100,10 @@ class Parser:
         return self._classes
 
     def store(self, keys: np.ndarray, values: np.ndarray) -> None:
-        """A hash table with linear probing, a quarter full at most."""
-        bits = max(4, int(4 * len(keys)).bit_length())
+        """A hash table with linear probing, half full at most."""
+        bits = max(4, int(2 * len(keys)).bit_length())
         self.shift, mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
         place = self.places(keys)
         left = np.arange(len(keys))
         while len(left):
@@ -114,20 +115,28 @@ class Parser:
             left = np.setdiff1d(left, put, assume_unique=True)
 
     def places(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * FACTOR) >> self.shift).astype(np.int64)
+        return ((keys.view(np.uint64) * FACTOR) >> self.shift).view(np.int64)
 
-    def advance(self, lang: np.ndarray, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The next states, and whether a phrase begins with the symbol."""
-        key = state * self.letters + symbol
+    def advance(self, of: np.ndarray, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and whether a phrase begins with the symbol. of: where each language's start states are."""
+        key = state + symbol
         place = self.places(key)
         found = self.keys[place]
-        left = np.flatnonzero((found != key) & (found >= 0))
-        while len(left):
-            place[left] = (place[left] + 1) & (len(self.keys) - 1)
-            found[left] = self.keys[place[left]]
-            left = left[(found[left] != key[left]) & (found[left] >= 0)]
-        begins = (found != key) | (state < 0)
-        return np.where(begins, self.start[lang, symbol], self.values[place]), begins
+        to = self.values[place]
+        begins = found != key
+        left = np.flatnonzero(begins & (found >= 0))  # another key is there: look on
+        if len(left):
+            place, key, found, ahead = place.ravel()[left], key.ravel()[left], found.ravel()[left], np.arange(len(left))
+            while len(ahead):
+                place[ahead] = (place[ahead] + 1) & (len(self.keys) - 1)
+                found[ahead] = self.keys[place[ahead]]
+                ahead = ahead[(found[ahead] != key[ahead]) & (found[ahead] >= 0)]
+            hit = found == key
+            begins.ravel()[left[hit]] = False
+            to.ravel()[left[hit]] = self.values[place[hit]]
+        at = np.nonzero(begins)
+        to[at] = self.start[np.broadcast_to(of, begins.shape)[at] + np.broadcast_to(symbol, begins.shape)[at]]
+        return to, begins
 
     def symbols(self, lowered: str) -> np.ndarray:
         """Classes of characters, runs of anything but letters as one gap."""
@@ -141,7 +150,7 @@ class Parser:
         found = [self.symbols(t.lower()) for t in texts]
         sizes = np.array([len(s) if (s != GAP).any() else 0 for s in found], np.int64)
         base = np.cumsum([0, *map(len, found)])[:-1]
-        stream = np.concatenate(found).astype(np.int32) if found else np.zeros(0, np.int32)
+        stream = np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
         parts = -(-sizes // segment)
         owner = np.repeat(np.arange(len(texts)), parts)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -151,16 +160,15 @@ class Parser:
         # each segment on its own; a row of work is a language and a segment, longest segments first
         order = np.argsort(-size, kind="stable")
         active = many - np.searchsorted(size[order][::-1], np.arange(segment), "right")
-        state = np.full((langs, many), -1, np.int64)
-        every = np.arange(langs)[:, None]
+        state = np.full((langs, many), -2 * self.letters, np.int64)
+        of = (np.arange(langs) * self.letters)[:, None]
+        held, first = np.full((langs, many), -2 * self.letters, np.int64), start[order]
         for t, n in enumerate(active.tolist()):
             if not n:
                 break
-            here = order[:n]
-            at = start[here] + t
-            to, new = self.advance(np.broadcast_to(every, (langs, n)).ravel(), state[:, here].ravel(), np.tile(stream[at], langs))
-            state[:, here] = to.reshape(langs, n)
-            begins[:, at] = new.reshape(langs, n)
+            at = first[:n] + t
+            held[:, :n], begins[:, at] = self.advance(of, held[:, :n], stream[at])
+        state[:, order] = held
         # then from where the segment before ends, until both parses begin a phrase at the same place
         lang, seg = (x.ravel() for x in np.meshgrid(np.arange(langs), np.flatnonzero(nth), indexing="ij"))
         while len(seg):
@@ -169,7 +177,7 @@ class Parser:
             t = 0
             while len(row):
                 at = start[seg[row]] + t
-                to, new = self.advance(lang[row], now[row], stream[at])
+                to, new = self.advance(of[lang[row], 0], now[row], stream[at])
                 met = new & begins[lang[row], at]
                 begins[lang[row], at] = new
                 now[row] = to
@@ -282,5 +290,5 @@ def language_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             langs, scores = known.predict(texts) if known else (["und"] * len(texts), np.zeros(len(texts)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
 
-    out = rows.mapInArrow(run, StructType([*rows.schema, *StructType().add("lang_pred", StringType()).add("score", DoubleType())]))
+    out = mapped(rows, run, StructType([*rows.schema, *StructType().add("lang_pred", StringType()).add("score", DoubleType())]))
     return out.drop("text") if keep else out.select(id_col, "held_out", "lang_pred", "score")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from lexweave.llm import hashing
-from lexweave.llm.common import packed, slices
+from lexweave.llm.common import mapped, packed, slices
 
 CLASSES = 8  # lower-case and other letters, upper case, digits, full stops and commas, '!' and '?', '|', other signs, white space
 _CLASS = np.full(256, 6, np.uint8)
@@ -193,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
 
     kind = texts.schema["id"].dataType.simpleString()
     # drawn has at most `sample` rows of an id and a label
-    chains = texts.join(F.broadcast(drawn), "id").select("id", "label", "text").mapInArrow(run, f"id {kind}, label int, x binary")
+    chains = mapped(texts.join(F.broadcast(drawn), "id").select("id", "label", "text"), run, f"id {kind}, label int, x binary")
     got = chains.distinct().orderBy(F.xxhash64("id", "x"), "id", "x").limit(4 * sample).toPandas()
     if got["label"].nunique() < 2:
         return None
@@ -220,5 +220,5 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*batch.schema.names, "score", "predicted"])
 
     rows = packed(docs, text_col) if keep else docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(run, StructType([*rows.schema, *StructType().add("score", DoubleType()).add("predicted", IntegerType())]))
+    out = mapped(rows, run, StructType([*rows.schema, *StructType().add("score", DoubleType()).add("predicted", IntegerType())]))
     return out.drop("text") if keep else out.select(id_col, "held_out", "score", "predicted")

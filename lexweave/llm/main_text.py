@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import slices
+from lexweave.llm.common import mapped, slices
 
 NAME = re.compile(r"[a-zA-Z][^\s/<>]*")
 ATTRIBUTE = re.compile(r"[^\s/<>=][^\s/<>=]*")
@@ -331,4 +331,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     narrow = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"id {kind}, url string, text string, n_chars long").withColumnsRenamed({"id": id_col, "url": url_col})
+    return mapped(narrow, run, f"id {kind}, url string, text string, n_chars long").withColumnsRenamed({"id": id_col, "url": url_col})

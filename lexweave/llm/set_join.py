@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexweave.llm import hashing
-from lexweave.llm.common import components, discard, slices, staged
+from lexweave.llm.common import components, discard, mapped, slices, staged
 
 SKETCH_BITS = 2048
 MARK_BITS = (22, 27)  # least and most: 16 MB
@@ -98,7 +98,7 @@ def describe(docs: DataFrame, kind: str, words: int, often: int, batch_tokens: i
                 held, seen, size = [], set(), 0
         yield frequent()
 
-    return docs.mapInArrow(run, f"id {kind}, sig long, n int, sketch array<long>, token long, times long")
+    return mapped(docs, run, f"id {kind}, sig long, n int, sketch array<long>, token long, times long")
 
 
 def postings(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
@@ -128,7 +128,7 @@ def postings(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
                 [pa.array(tokens), pa.array(np.repeat(np.array([x for _, x, _ in out], np.int64), sizes)), pa.array(np.repeat(np.array([x for *_, x in out], np.int32), sizes)), pa.array(pos.astype(np.int32))], ["token", "sig", "n", "pos"]
             )
 
-    return docs.mapInArrow(run, "token long, sig long, n int, pos int")
+    return mapped(docs, run, "token long, sig long, n int, pos int")
 
 
 def met(rows: DataFrame) -> DataFrame:
@@ -159,7 +159,7 @@ def met(rows: DataFrame) -> DataFrame:
         if last is not None and last["met"]:
             yield pa.RecordBatch.from_arrays([pa.array(last[k]) for k in names], names)
 
-    return rows.repartition("token").sortWithinPartitions("token", "sig").mapInArrow(run, "token long, sig long, n int, pos int")
+    return mapped(rows.repartition("token").sortWithinPartitions("token", "sig"), run, "token long, sig long, n int, pos int")
 
 
 def bits_for(n: int) -> int:
@@ -199,7 +199,7 @@ def narrowed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
             keep = marked(sent.value, batch.column("p").to_numpy())
             yield batch.select(["sig", "tokens"]).filter(pa.array(keep))
 
-    return sets.select("sig", "tokens", sig_place(F.col("sig"), bits).alias("p")).mapInArrow(run, "sig long, tokens binary")
+    return mapped(sets.select("sig", "tokens", sig_place(F.col("sig"), bits).alias("p")), run, "sig long, tokens binary")
 
 
 def allowed(n_a: Column, n_b: Column, most: Column, percent: int) -> Column:
@@ -228,7 +228,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return mapped(pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "x", "y"), run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85, frequent: int = 1 << 17, often: int = 3, block: int = 32, tries: int = 3) -> DataFrame:
@@ -347,4 +347,4 @@ def sets_of(text: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(sets, pa.binary())], ["sig", "tokens"])
 
-    return staged(text.select("text", F.when(F.col("id").isNotNull(), id_place(F.col("id"), bits)).alias("p")).mapInArrow(run, "sig long, tokens binary"))
+    return staged(mapped(text.select("text", F.when(F.col("id").isNotNull(), id_place(F.col("id"), bits)).alias("p")), run, "sig long, tokens binary"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from lexweave.llm.common import Recent, slices
+from lexweave.llm.common import Recent, mapped, slices
 
 SPACE = "▁"
 
@@ -170,4 +170,4 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
 
     narrow = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed("id", id_col)
+    return mapped(narrow, run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed("id", id_col)

@@ -28,6 +28,7 @@ from lexweave.llm.common import mapped, packed, slices
 SEGMENT = 512
 STRETCHES = 8
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+CODE_POINT = 21.0  # bits
 GAP, OTHER = 0, 1  # classes of anything but letters, and of letters that no labelled text has
 
 
@@ -145,8 +146,8 @@ class Parser:
         keep[1:] |= found[:-1] != GAP
         return found[keep]
 
-    def phrases(self, texts: list[str], segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
-        """Phrases of each text and language; symbols of each text (0: it has no letter)."""
+    def phrases(self, texts: list[str], segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Phrases of each text and language; those of a symbol that the language hasn't; symbols of each text (0: it has no letter)."""
         found = [self.symbols(t.lower()) for t in texts]
         sizes = np.array([len(s) if (s != GAP).any() else 0 for s in found], np.int64)
         base = np.cumsum([0, *map(len, found)])[:-1]
@@ -190,23 +191,25 @@ class Parser:
             again = changed & (seg + 1 < many)
             again[again] = nth[seg[again] + 1] > 0
             lang, seg = lang[again], seg[again] + 1
-        out = np.zeros((len(texts), langs), np.int64)
+        out, foreign = np.zeros((len(texts), langs), np.int64), np.zeros((len(texts), langs), np.int64)
+        known = self.start.reshape(langs, -1) >= 0
         some = np.flatnonzero(sizes)
         if len(some):
             cut = np.stack([base[some], base[some] + sizes[some]], 1).ravel()
             for k in range(langs):
                 out[some, k] = np.add.reduceat(np.append(begins[k], False), cut, dtype=np.int64)[::2]
-        return out, sizes
+                foreign[some, k] = np.add.reduceat(np.append(~known[k, stream], False), cut, dtype=np.int64)[::2]
+        return out, foreign, sizes
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score: by what share of the runner-up's bits the winner's are fewer.
 
-        A phrase costs the bits of a place in the labelled text. Of languages
-        within half a phrase of the least, which need equally many, the one
+        A phrase costs the bits of a place in the labelled text, one of a symbol
+        that isn't there also those of a code point. Of languages within half a phrase of the least, which need equally many, the one
         with the most labelled documents wins, then the first by code point.
         """
-        phrases, sizes = self.phrases(texts)
-        cost = phrases * self.weights
+        phrases, foreign, sizes = self.phrases(texts)
+        cost = phrases * self.weights + foreign * CODE_POINT
         level = cost <= cost.min(1, keepdims=True) + self.weights / 2
         best = np.where(level, self.documents, -1).argmax(1) if len(texts) else np.zeros(0, int)
         own = np.take_along_axis(cost, best[:, None], 1)[:, 0]

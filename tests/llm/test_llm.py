@@ -546,12 +546,13 @@ def test_cross_parsing_by_plain_phrases():
         symbols = parser.symbols(t.lower()).tolist()
         want.append([plain_phrases(symbols, known[lang]) if any(symbols) else 0 for lang in parser.langs])
     for segment in (1, 7, 64, 512):  # seams leave no trace
-        counts, sizes = parser.phrases(texts, segment)
+        counts, foreign, sizes = parser.phrases(texts, segment)
         assert counts.tolist() == want
+        assert [f.tolist() for f, n in zip(foreign, sizes) if n] == [[sum(c not in known[x] for c in parser.symbols(t.lower()).tolist()) for x in parser.langs] for t, n in zip(texts, sizes) if n]
     langs, scores = parser.predict(texts)
     bits = [math.log2(len(known[x])) for x in parser.langs]
-    for (x, y), lang, score, n in zip(want, langs, scores, sizes):
-        cost = [x * bits[0], y * bits[1]]
+    for (x, y), (f, g), lang, score, n in zip(want, foreign, langs, scores, sizes):
+        cost = [x * bits[0] + f * 21, y * bits[1] + g * 21]
         if not n:
             assert (lang, score) == ("und", 0)
         elif abs(cost[0] - cost[1]) > max(bits) / 2:

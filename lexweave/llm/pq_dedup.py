@@ -105,12 +105,11 @@ def first(d: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(some, np.argsort(np.take_along_axis(d, some, 1), 1, kind="stable"), 1)
 
 
-def fit(unit: np.ndarray, lists: int, probes: int, cosine: float, most: int = 512, subspaces: int = 8, words: int = 64) -> Quantiser:
+def fit(unit: np.ndarray, lists: int, probes: int, cosine: float, most: int = 512, subspaces: int = 16, words: int = 64) -> Quantiser:
     """Lists beyond `most` come from fine centroids, `most` of them at most."""
     some = thinned(unit, cosine - 0.05)
     coarse = k_means(some, min(lists, most))
-    if unit.shape[1] % subspaces:
-        subspaces = 1
+    subspaces = max(k for k in (1, 2, 4, 8, subspaces) if unit.shape[1] % k == 0)
     residual = some - coarse[((coarse**2).sum(1) - 2 * some @ coarse.T).argmin(1)]
     fine = np.zeros((1, unit.shape[1]))
     if lists >= 2 * most:
@@ -215,7 +214,7 @@ def exact(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
     return pd.DataFrame({"id": np.concatenate([every, every[tied]]), "n": np.concatenate([links, np.zeros(len(tied), np.int64)]), "root": root})
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, probes: int = 8, per_list: int = 200, sample: int = 8192, block: int = 2048, block_visitors: int = 4096, few: int = 256) -> DataFrame:
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, probes: int = 8, per_list: int = 200, sample: int = 8192, block: int = 512, block_visitors: int = 1024, few: int = 256) -> DataFrame:
     """Rows (id, n_links, component_id, kept), one for each input row.
 
     Vectors that are null, empty, zero or hold null or non-finite components

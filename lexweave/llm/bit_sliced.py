@@ -109,7 +109,7 @@ class Block:
         return self.ids[rows], scores
 
 
-def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, scale: float = 64.0, block_rows: int = 8192, block_queries: int = 8192, together: int = 16) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, scale: float = 64.0, block_rows: int = 32768, block_queries: int = 8192, together: int = 4) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): the k best inner products of each query with all other rows.
 
     Vectors that are null or hold null or non-finite components, and rows

@@ -390,7 +390,7 @@ def test_top_k(spark):
     rows = [(i, x[i].tolist(), "x") for i in range(400)] + BAD
     df = spark.createDataFrame(rows, VECTORS)
     q = np.floor(64 * x.astype(float)).astype(int)
-    for block_rows, block_queries in ((8192, 8192), (100, 3), (3, 2)):
+    for block_rows, block_queries in ((32768, 8192), (100, 3), (3, 2)):
         got = {}
         for r in bit_sliced.top_k(df, F.col("vec_id") % 20 == 0, block_rows=block_rows, block_queries=block_queries).collect():
             got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))

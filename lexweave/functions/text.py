@@ -59,31 +59,33 @@ def compressed_lemma(x: Column) -> Column:
 
 
 def link_key(x: Column) -> Column:
-    """A key that survives misread digits in words, brackets, and b written for v."""
+    """A key that survives misread digits in words and b written for v; what stands in brackets doesn't count."""
     x = fold_accents(F.lower(F.trim(x)))
-    x = F.regexp_replace(x, r"[()\[\]]", "")
+    x = F.regexp_replace(F.regexp_replace(x, r"\([^)]*\)", " "), r"\[[^\]]*\]", " ")
     for digit, letter in LOOKALIKES_LOWER.items():
         x = F.regexp_replace(x, rf"(?<=[a-z]){digit}(?=[a-z]|$)", letter)
     x = F.translate(x, "v", "b")
-    return F.trim(F.regexp_replace(F.regexp_replace(x, "[^a-z0-9]", " "), " +", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(x, "[^a-z0-9 ]", " "), r"\s+", " "))
 
 
-#: Articles that may lead a name, longest first.
-ARTICLES = ("los ", "las ", "les ", "the ", "der ", "die ", "das ", "el ", "la ", "le ", "l'")
+#: Articles that may lead a name, as written; fixed values.
+ARTICLES = ("S'", "s'", "L'", "l'", "N'", "n'", "es ", "Es ", "ES ", "sa ", "Sa ", "SA ", "el ", "El ", "EL ", "la ", "La ", "LA ", "els ", "Els ", "ELS ", "les ", "Les ", "LES ", "ses ", "Ses ", "SES ", "sos ", "Sos ", "SOS ", "so ", "So ", "na ", "Na ", "en ", "En ")
+#: Capitalised ones that are lowered at the head of a name, and signs that a place-name key hasn't; fixed values.
+LOWERED_ARTICLES = ("Es ", "Sa ", "El ", "La ", "Els ", "Les ")
+KEY_SIGNS = ".,;:¡¿!?()[]{}«»\"'`"
 
 
 def gaz_norm(x: Column) -> Column:
-    """A place-name key: no leading article, folded, upper case, dashes and slashes as spaces, no punctuation."""
-    x = F.regexp_replace(F.trim(x), f"^(?i)(?:{'|'.join(ARTICLES)})", "")
-    x = F.regexp_replace(F.upper(fold_accents(x)), "[-/\\u2013\\u2014]", " ")
-    x = F.regexp_replace(x, "[^A-Z0-9 ]", "")
-    return F.trim(F.regexp_replace(x, " +", " "))
+    """A place-name key: no leading article (as written), folded, upper case, dashes and slashes as spaces, listed signs deleted."""
+    x = F.regexp_replace(F.trim(x), f"^(?:{'|'.join(ARTICLES)})", "")
+    x = F.regexp_replace(F.upper(fold_accents(x)), "[-/\u2013\u2014]", " ")
+    return F.trim(F.translate(collapse(x), KEY_SIGNS, ""))
 
 
 def article_lower(x: Column) -> Column:
-    """The first letter in lower case if the text starts with an article."""
-    starts = reduce(lambda a, b: a | b, [F.lower(x).startswith(a) for a in ARTICLES])
-    return F.when(starts, F.concat(F.lower(F.substring(x, 1, 1)), F.substring(x, F.lit(2), F.length(x)))).otherwise(x)
+    """A leading capitalised article in lower case."""
+    head = F.regexp_extract(x, f"^(?:{'|'.join(LOWERED_ARTICLES)})", 0)
+    return F.concat(F.lower(head), F.substring(x, F.length(head) + 1, F.length(x)))
 
 
 def name_variants(x: Column, synonyms: dict[str, str]) -> Column:
@@ -122,8 +124,8 @@ def split_particle(x: Column, particle: str, keyword: str) -> Column:
 
 
 def clean_lead(x: Column, noise: str = "[*#|~^]", glyphs: tuple[str, str] = ("çñ", "ÇÑ")) -> Column:
-    """The first word without symbols, its tolerated glyphs in upper case; the rest as it is."""
-    head = F.regexp_extract(x, r"^\S*", 0)
+    """The first word, which ends at white space, a parenthesis or a hyphen, without symbols and its tolerated glyphs in upper case; the rest as it is."""
+    head = F.regexp_extract(x, r"^[^\s()-]*", 0)
     return F.concat(F.translate(F.regexp_replace(head, noise, ""), *glyphs), F.substring(x, F.length(head) + 1, F.length(x)))
 
 
@@ -133,11 +135,11 @@ def strip_trailer(x: Column, note: str) -> Column:
 
 
 def excerpt(x: Column, most: int = 320, least: int = 220) -> Column:
-    """At most `most` characters, cut at the last space after `least`, without closing punctuation, with an ellipsis."""
+    """At most `most` characters, cut at the last space after `least`, without one closing comma, semicolon or colon, with an ellipsis."""
     head = F.substring(x, 1, most)
     space = F.length(head) - F.instr(F.reverse(head), " ") + 1
     cut = F.when((F.instr(head, " ") > 0) & (space - 1 > least), F.substring(head, F.lit(1), space - 1)).otherwise(head)
-    return F.when(F.length(x) <= most, x).otherwise(F.concat(F.regexp_replace(cut, "[ .,;:]+$", ""), F.lit("…")))
+    return F.when(F.length(x) <= most, x).otherwise(F.concat(F.regexp_replace(cut, r"[,;:]\s*$", ""), F.lit("…")))
 
 
 def html_escape(x: Column) -> Column:
@@ -152,6 +154,11 @@ def compact_number(x: Column) -> Column:
     return F.when(F.abs(x) >= 1_000_000, F.concat(tenths(1_000_000), F.lit("M"))).when(F.abs(x) >= 1000, F.concat(tenths(1000), F.lit("K"))).otherwise(tenths(1))
 
 
+def grouped_number(x: Column, decimals: int = 0, group: str = ".", point: str = ",") -> Column:
+    """Thousands grouped and a fixed number of decimals, with the signs of a locale."""
+    return F.translate(F.format_number(x, decimals), ",.", group + point)
+
+
 def snippet(x: Column, needle: str, before: int = 30, after: int = 150) -> Column:
     """What stands around the first match, line breaks as a spaced bar; null without a match."""
     at = F.instr(x, needle)

@@ -34,18 +34,22 @@ def link_cascade(texts: DataFrame, index: DataFrame, block: list[str], text_id:
 
     Tiers: exact key; one key a prefix of the other that ends at a word's end;
     ratio of at least floor, best first. Ties go to the smallest index_id.
-    Rows that an earlier tier settles aren't scored. No link: tier `none`.
+    Rows that an earlier tier settles aren't scored, others by distinct pairs of
+    keys, as names repeat. No link: tier `none`.
     """
     t, i = F.col(text_key), F.col(index_key)
-    pairs = texts.select(*block, text_id, text_key).join(index.select(*block, index_id, index_key), block)
-    usable = (t != "") & (i != "")
-    tier = F.when(usable & (t == i), 1).when(usable & (t.startswith(F.concat(i, F.lit(" "))) | i.startswith(F.concat(t, F.lit(" ")))), 2)
+    keys = [*block, text_key]
+    texts_of, index_of = texts.select(*keys).distinct(), index.groupBy(*block, index_key).agg(F.min(index_id).alias(index_id))
+    pairs = texts_of.join(index_of, block).where((t != "") & (i != ""))
+    tier = F.when(t == i, 1).when(t.startswith(F.concat(i, F.lit(" "))) | i.startswith(F.concat(t, F.lit(" "))), 2)
     sure = pairs.withColumn("tier", tier).where("tier is not null").withColumn("score", F.lit(1.0))
-    left = pairs.join(sure.select(text_id).distinct(), text_id, "left_anti").where(usable & may_reach(t, i, floor))
-    fuzzy = left.withColumn("tier", F.lit(3)).withColumn("score", score(t, i)).where(F.col("score") >= floor)
-    best = keep_first(sure.unionByName(fuzzy), [text_id], ["tier", F.desc("score"), index_id])
+    left = pairs.join(sure.select(*keys).distinct(), keys, "left_anti").where(may_reach(t, i, floor))
+    scored = left.select(text_key, index_key).distinct().withColumn("score", score(t, i)).where(F.col("score") >= floor)
+    fuzzy = left.join(scored, [text_key, index_key]).withColumn("tier", F.lit(3))
+    best = keep_first(sure.unionByName(fuzzy), keys, ["tier", F.desc("score"), index_id])
     named = F.element_at(F.array(F.lit("exact"), F.lit("prefix"), F.lit("fuzzy")), F.col("tier"))
-    return texts.select(text_id).join(best.select(text_id, index_id, named.alias("tier"), "score"), text_id, "left").withColumn("tier", F.coalesce("tier", F.lit("none")))
+    found = texts.select(*keys, text_id).join(best.select(*keys, index_id, named.alias("tier"), "score"), keys, "left")
+    return found.select(text_id, index_id, F.coalesce("tier", F.lit("none")).alias("tier"), "score")
 
 
 def covered(rows: DataFrame, known: DataFrame, block: list[str], key: str, known_key: str, floor: float, score: Callable[[Column, Column], Column] = indel_ratio) -> DataFrame:
@@ -66,14 +70,20 @@ def neighbour_probe(rows: DataFrame, pages: DataFrame, block: list[str], at: str
     return keep_first(found, rows.columns, [order[F.col("offset")]]).drop("_page")
 
 
-def geocode(places: DataFrame, gazetteer: DataFrame, overrides: DataFrame, parents: DataFrame, centroids: DataFrame, score: Callable[[Column, Column], Column], floor: float) -> DataFrame:
+def geocode(places: DataFrame, gazetteer: DataFrame, overrides: DataFrame, parents: DataFrame, centroids: DataFrame, score: Callable[[Column, Column], Column], floor: float, bound: float = 0.0, most: int = 10, farms: list[str] | None = None) -> DataFrame:
     """places (id, key, parent, region) to (id, tier, lon, lat, matched): the first tier that answers.
 
     curated override; exact key in the region (own parent first, then the
     smallest name); fuzzy in the region at `floor` and a length of at least
-    max(4, 0.6 of the key's); the parent's own place; the region's centroid.
+    max(4, 0.6 of the key's), of the `most` best of which the own parent's come
+    first; the parent's own place; the region's centroid. `bound` is the least
+    ratio by lengths that can reach the floor under the score. Gazetteer rows
+    of a type in `farms` count as fuzzy hits only in the own parent. Only
+    distinct pairs of keys are scored.
     """
-    gaz = gazetteer.select(F.col("region"), F.col("key").alias("g_key"), F.col("parent").alias("g_parent"), F.col("name").alias("matched"), "lon", "lat").where("length(g_key) >= 3")
+    if "type" not in gazetteer.columns:
+        gazetteer = gazetteer.withColumn("type", F.lit(None).cast("string"))
+    gaz = gazetteer.select(F.col("region"), F.col("key").alias("g_key"), F.col("parent").alias("g_parent"), F.col("name").alias("matched"), "lon", "lat", "type").where("length(g_key) >= 3")
     cols = ["id", "tier", "lon", "lat", "matched"]
     own = F.coalesce(F.col("parent") == F.col("g_parent"), F.lit(False)).cast("int").desc()
     one = places.join(overrides, "key").select("id", F.lit("curated").alias("tier"), "lon", "lat", F.col("key").alias("matched"))
@@ -82,9 +92,13 @@ def geocode(places: DataFrame, gazetteer: DataFrame, overrides: DataFrame, paren
     two = keep_first(hits, ["id"], [own, "matched", "lon"]).select("id", F.lit("exact").alias("tier"), "lon", "lat", "matched")
     left = left.join(two, "id", "left_anti")
     long_enough = F.length("g_key") >= F.greatest(F.lit(4), F.floor(F.length("key") * 0.6).cast("int"))
-    pairs = left.join(gaz, left["region"] == gaz["region"]).where(long_enough & may_reach(F.col("key"), F.col("g_key"), 0.1))
-    near = pairs.withColumn("_score", score(F.col("key"), F.col("g_key"))).where(F.col("_score") >= floor)
-    three = keep_first(near, ["id"], [own, F.desc("_score"), "matched"]).select("id", F.lit("fuzzy").alias("tier"), "lon", "lat", "matched")
+    agrees = F.coalesce(F.col("parent") == F.col("g_parent"), F.lit(False)) | ~F.coalesce(F.col("type").isin(farms or []), F.lit(False))
+    wanted = left.select("region", "key").distinct().join(gaz.select("region", "g_key").distinct(), "region").where(long_enough & may_reach(F.col("key"), F.col("g_key"), bound))
+    scored = wanted.select("key", "g_key").distinct().withColumn("_score", score(F.col("key"), F.col("g_key"))).where(F.col("_score") >= floor)
+    near = left.join(scored, "key").join(gaz, ["region", "g_key"]).where(agrees)
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("_score"), "matched", "lon"))
+    near = near.withColumn("_place", place).where(F.col("_place") <= most)
+    three = keep_first(near, ["id"], [own, F.desc("_score"), "matched", "lon"]).select("id", F.lit("fuzzy").alias("tier"), "lon", "lat", "matched")
     left = left.join(three, "id", "left_anti")
     four = left.join(parents, "parent").select("id", F.lit("parent").alias("tier"), "lon", "lat", F.col("parent").alias("matched"))
     left = left.join(four, "id", "left_anti")
@@ -95,10 +109,40 @@ def geocode(places: DataFrame, gazetteer: DataFrame, overrides: DataFrame, paren
     return out
 
 
+def placed_by_modern_name(gazetteer: DataFrame, score: Callable[[Column, Column], Column], floor: float, bound: float = 0.0) -> DataFrame:
+    """gazetteer with coordinates, where it has none, of the row of its region spelled as its modern name, else of the most like one at `floor`."""
+    known = gazetteer.where("lon is not null").select(F.col("region"), F.col("name").alias("_as"), F.col("lon").alias("_lon"), F.col("lat").alias("_lat"))
+    lost = gazetteer.where("lon is null and modern is not null").select("id", "region", "modern")
+    exact = lost.join(known, (lost["region"] == known["region"]) & (lost["modern"] == known["_as"])).select("id", F.lit(2.0).alias("_score"), "_as", "_lon", "_lat")
+    left = lost.join(exact.select("id").distinct(), "id", "left_anti")
+    pairs = left.select("region", "modern").distinct().join(known.select("region", "_as").distinct(), "region").where(may_reach(F.col("modern"), F.col("_as"), bound))
+    scored = pairs.withColumn("_score", score(F.col("modern"), F.col("_as"))).where(F.col("_score") >= floor)
+    like = left.join(scored, ["region", "modern"]).join(known, ["region", "_as"]).select("id", "_score", "_as", "_lon", "_lat")
+    best = keep_first(exact.unionByName(like), ["id"], [F.desc("_score"), "_as", "_lon", "_lat"]).select("id", "_lon", "_lat")
+    out = gazetteer.join(best, "id", "left")
+    return out.select(*[F.coalesce(c, f"_{c}").alias(c) if c in ("lon", "lat") else F.col(c) for c in gazetteer.columns])
+
+
+def best_in_list(rows: DataFrame, names: DataFrame, key: str, name: str, floor: float, score: Callable[[Column, Column], Column] = indel_ratio, band: int = 4) -> DataFrame:
+    """Rows (key, name, score) for distinct keys: the name itself if listed, else the most like one of the whole list at `floor`, ties to the first.
+
+    Lengths are dealt into bands; a key meets only the bands that its length
+    lets reach the floor, so the join is by band and loses no pair.
+    """
+    keys, listed = rows.select(key).distinct().where(F.col(key) != ""), names.select(name).distinct().where(F.col(name) != "")
+    exact = keys.join(listed, keys[key] == listed[name]).select(key, name, F.lit(1.0).alias("score"))
+    n = F.length(key)
+    low, high = F.floor(F.ceil(n * floor / (2 - floor)) / band), F.floor(F.floor(n * (2 - floor) / floor) / band)
+    left = keys.join(exact, key, "left_anti").withColumn("_band", F.explode(F.sequence(low, high)))
+    pairs = left.join(listed.withColumn("_band", F.floor(F.length(name) / band)), "_band").where(may_reach(F.col(key), F.col(name), floor))
+    like = pairs.withColumn("score", score(F.col(key), F.col(name))).where(F.col("score") >= floor).select(key, name, "score")
+    return exact.unionByName(keep_first(like, [key], [F.desc("score"), name]))
+
+
 def jitter(key: Column, lon: Column, lat: Column, radius: float) -> tuple[Column, Column]:
     """A place around (lon, lat) that a hash of the key fixes: angle and distance from two 16-bit fields of its md5."""
     field = lambda start: F.conv(F.substring(F.md5(key), start, 4), 16, 10).cast("double") / 65535
-    angle, distance = field(29) * 2 * 3.141592653589793, F.sqrt(field(25)) * radius
+    angle, distance = field(29) * 2 * 3.141592653589793, field(25) * radius
     return lon + distance * F.cos(angle), lat + distance * F.sin(angle)
 
 
@@ -110,7 +154,8 @@ def loosely_equal(expected: Column, found: Column) -> Column:
 def greedy_rescue(orphans: DataFrame, block: str, order: str, key: str, floor: float = 0.8) -> DataFrame:
     """Rows in order of which each is accepted unless a row accepted before it in its block has the same or a like key.
 
-    What is accepted depends on what was before, so a block is one task.
+    What is accepted depends on what was before, so a block is one task, whose
+    time grows with the square of what it accepts: choose blocks by volume.
     """
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
@@ -136,7 +181,15 @@ def updated(df: DataFrame, changes: DataFrame, key: list[str], columns: list[str
 
 
 def appended(df: DataFrame, rows: DataFrame, id_col: str, order: list[str]) -> DataFrame:
-    """df and rows with ids that follow its greatest."""
-    top = df.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_top"))
-    new = rows.withColumn("_nth", F.row_number().over(Window.orderBy(*order))).join(F.broadcast(top))
-    return df.unionByName(new.withColumn(id_col, F.col("_top") + F.col("_nth")).select(df.columns))
+    """df and rows with ids that follow its greatest.
+
+    Rows are sorted into ranges and numbered within them; only the ranges'
+    counts, a row for each shuffle partition, are summed in one place.
+    """
+    top = df.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
+    sorted_ = rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranges = sorted_.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = ranges.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    new = sorted_.withColumn("_nth", nth).join(F.broadcast(before), "_range")
+    return df.unionByName(new.withColumn(id_col, F.lit(top) + F.col("_before") + F.col("_nth")).select(df.columns))

@@ -73,11 +73,63 @@ def rank_shift(df: DataFrame, key: str, first: str, second: str, top: int) -> Da
     return places.withColumn("shift", F.col("place_1") - F.col("place_2"))
 
 
-def share_of_max(value: Column, *by: Column | str) -> Column:
-    return F.try_divide(value, F.max(value).over(Window.partitionBy(*by)))
+def share_of_max(df: DataFrame, value: str, *by: str) -> DataFrame:
+    """df with share, value over the greatest of its group, and bar, the share in percent and at least 1; null values have neither.
+
+    Greatest values are aggregated before they are joined, so rows don't move by group.
+    """
+    most = df.groupBy(*by).agg(F.max(value).alias("_most"))
+    share = F.try_divide(F.col(value), F.col("_most"))
+    return df.join(most, list(by)).withColumn("share", share).withColumn("bar", F.when(share.isNotNull(), F.greatest(F.lit(1.0), F.round(100 * share, 1)))).drop("_most")
 
 
 def ratio_top(df: DataFrame, key: str, over: str, under: str, top: int) -> DataFrame:
-    """The top rows by `over`, then ordered by over / under; no ratio where under is 0."""
-    best = df.orderBy(F.desc(over), key).limit(top)
-    return best.withColumn("ratio", F.try_divide(F.col(over), F.col(under)))
+    """The top rows by `over` with ratio over / under (none where under is 0) and place, their order by it; no ratio last, ties by key."""
+    best = df.orderBy(F.desc(over), key).limit(top).withColumn("ratio", F.try_divide(F.col(over), F.col(under)))
+    return best.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("ratio"), key))).orderBy("place")
+
+
+def page_with_total(df: DataFrame, column: str, descending: bool, tie: str, size: int = 500) -> DataFrame:
+    """The first `size` rows in the order of sorted_by(), each with the number of all rows as total."""
+    total = df.agg(F.count(F.lit(1)).alias("total"))  # one row
+    return sorted_by(df, column, descending, tie).limit(size).join(F.broadcast(total))
+
+
+def natural_order(x: Column, width: int = 12) -> Column:
+    """A key that orders texts by letters without case and marks, and runs of digits as numbers."""
+    padded = F.regexp_replace(search_fold(x), r"(\d+)", F.lit("0" * width + "$1"))
+    return F.regexp_replace(padded, rf"0+(\d{{{width}}})(?!\d)", "$1")
+
+
+def facet_order(counts: DataFrame, natural: list[str], ranked: dict[str, list[str]]) -> DataFrame:
+    """Rows (facet, value, n) with place: by natural order, by a given rank (values that it lacks last), else by count, most first, then value."""
+    rank = F.lit(None).cast("int")
+    for facet, order in ranked.items():
+        known = F.array_position(F.array(*map(F.lit, order)), F.col("value"))
+        rank = F.when(F.col("facet") == facet, F.when(known > 0, known).otherwise(len(order) + 1)).otherwise(rank)
+    by_name = F.col("facet").isin(natural)
+    w = Window.partitionBy("facet").orderBy(F.coalesce(rank, F.lit(0)), F.when(by_name, natural_order(F.col("value"))), F.when(~by_name, -F.col("n")), search_fold(F.col("value")), "value")
+    return counts.withColumn("place", F.row_number().over(w))
+
+
+def glossary(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
+    """df with place, by a column without case and marks, then as written."""
+    rows = df.orderBy(search_fold(F.col(column)), column)
+    return rows if top is None else rows.limit(top)
+
+
+def match_rates(df: DataFrame, tier: str = "tier", none: str = "unmatched") -> DataFrame:
+    """Rows (tier, n, percent) of all rows, and of what isn't `none` as tier `matched`."""
+    counts = df.groupBy(F.col(tier).alias("tier")).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("_all"), F.coalesce(F.sum(F.when(F.col("tier") != none, F.col("n"))), F.lit(0)).alias("n"))
+    out = counts.unionByName(total.select(F.lit("matched").alias("tier"), "n")).join(F.broadcast(total.select("_all")))
+    return out.select("tier", "n", F.round(100.0 * F.col("n") / F.col("_all"), 3).alias("percent"))
+
+
+def places(df: DataFrame, *order: str) -> DataFrame:
+    """df with place, from 1, in the order of the columns: numbered within sorted ranges, of which only the counts are summed in one place."""
+    rows = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranges = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = ranges.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return rows.withColumn("_nth", nth).join(F.broadcast(before), "_range").withColumn("place", F.col("_before") + F.col("_nth")).drop("_range", "_nth", "_before")

@@ -110,15 +110,16 @@ def rank_shift(t):
     return serve.rank_shift(_customers(t), "c_custkey", "n", "c_acctbal", 20).select("c_custkey", "place_1", "place_2", "shift")
 
 
-@query("SELECT o_orderkey, round(o_totalprice / max(o_totalprice) OVER (PARTITION BY o_orderpriority), 6) AS share FROM orders")
+@query("SELECT o_orderkey, round(s, 6) AS share, greatest(1.0::DOUBLE, round(100 * s, 1)) AS bar FROM (SELECT o_orderkey, o_totalprice / max(o_totalprice) OVER (PARTITION BY o_orderpriority) AS s FROM orders)")
 def share_of_max(t):
-    return t.orders.select("o_orderkey", F.round(serve.share_of_max(F.col("o_totalprice"), "o_orderpriority"), 6).alias("share"))
+    return serve.share_of_max(t.orders, "o_totalprice", "o_orderpriority").select("o_orderkey", F.round("share", 6).alias("share"), "bar")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity / nullif(l_discount, 0) AS ratio FROM (SELECT * FROM lineitem ORDER BY l_quantity DESC, l_orderkey, l_linenumber LIMIT 20)")
+@query("""SELECT l_orderkey, l_linenumber, ratio, row_number() OVER (ORDER BY ratio DESC NULLS LAST, l_orderkey, l_linenumber)::INT AS place
+FROM (SELECT l_orderkey, l_linenumber, l_quantity / nullif(l_discount, 0) AS ratio FROM (SELECT * FROM lineitem ORDER BY l_quantity DESC, l_orderkey, l_linenumber LIMIT 20))""")
 def ratio_topk(t):
     rows = t.lineitem.withColumn("key", F.struct("l_orderkey", "l_linenumber"))
-    return serve.ratio_top(rows, "key", "l_quantity", "l_discount", 20).select("l_orderkey", "l_linenumber", "ratio")
+    return serve.ratio_top(rows, "key", "l_quantity", "l_discount", 20).select("l_orderkey", "l_linenumber", "ratio", "place")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 500")
@@ -159,7 +160,7 @@ def windowed_events(t):
 
 @query("SELECT 'known' AS section, (SELECT count(*) FROM labels) AS n UNION ALL SELECT 'good', count(*) FROM labels WHERE quality = 1 UNION ALL SELECT 'toxic', count(*) FROM labels WHERE toxic = 1")
 def plain_report(t):
-    return sinks.report(t.labels, {"good": t.labels.where("quality = 1"), "toxic": t.labels.where("toxic = 1")})
+    return sinks.report(t.labels, {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1})
 
 
 @query("SELECT l_returnflag, sum(l_quantity::DECIMAL(18,2))::DOUBLE AS quantity, sum((l_extendedprice * 100)::BIGINT)::BIGINT AS cents FROM lineitem GROUP BY 1")

@@ -26,12 +26,12 @@ PLAIN = {
     "join_hyphens": (text.join_hyphens, r"regexp_replace(text, '([\p{L}\p{N}_])-([\p{L}\p{N}_])', '\1\2', 'g')"),
     "join_hyphens_spaced": (text.join_hyphens_spaced, r"regexp_replace(text, '([\p{L}\p{N}_])-[\s]*([\p{L}\p{N}_])', '\1\2', 'g')"),
     "html_escape": (text.html_escape, "replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#39;')"),
-    "excerpt": (text.excerpt, "CASE WHEN length(text) <= 320 THEN text ELSE regexp_replace(CASE WHEN instr(substr(text, 1, 320), ' ') > 0 AND 320 - instr(reverse(substr(text, 1, 320)), ' ') > 220 THEN substr(text, 1, 320 - instr(reverse(substr(text, 1, 320)), ' ')) ELSE substr(text, 1, 320) END, '[ .,;:]+$', '') || '…' END"),
+    "excerpt": (text.excerpt, "CASE WHEN length(text) <= 320 THEN text ELSE regexp_replace(CASE WHEN instr(substr(text, 1, 320), ' ') > 0 AND 320 - instr(reverse(substr(text, 1, 320)), ' ') > 220 THEN substr(text, 1, 320 - instr(reverse(substr(text, 1, 320)), ' ')) ELSE substr(text, 1, 320) END, '[,;:][\\s]*$', '') || '…' END"),
     "snippet": (lambda x: text.snippet(x, "the "), "CASE WHEN instr(text, 'the ') > 0 THEN replace(substr(text, greatest(instr(text, 'the ') - 30, 1), instr(text, 'the ') + 150 - greatest(instr(text, 'the ') - 30, 1)), chr(10), ' | ') END"),
-    "clean_lead": (text.clean_lead, r"translate(regexp_replace(regexp_extract(text, '^[^\s]*'), '[*#|~^]', '', 'g'), 'çñ', 'ÇÑ') || substr(text, length(regexp_extract(text, '^[^\s]*')) + 1)"),
+    "clean_lead": (text.clean_lead, r"translate(regexp_replace(regexp_extract(text, '^[^\s()-]*'), '[*#|~^]', '', 'g'), 'çñ', 'ÇÑ') || substr(text, length(regexp_extract(text, '^[^\s()-]*')) + 1)"),
     "strip_trailer": (lambda x: text.strip_trailer(x, "All rights reserved\\."), r"regexp_replace(regexp_replace(text, '[\s]*All rights reserved\.[\s]*$', ''), '[\s.,;:]+$', '')"),
-    "article_lower": (text.article_lower, "CASE WHEN regexp_matches(lower(text), '^(los |las |les |the |der |die |das |el |la |le |l'')') THEN lower(substr(text, 1, 1)) || substr(text, 2) ELSE text END"),
-    "gaz_norm": (text.gaz_norm, r"trim(regexp_replace(regexp_replace(regexp_replace(upper(replace(strip_accents(regexp_replace(trim(text), '^(?i)(?:los |las |les |the |der |die |das |el |la |le |l'')', '')), 'ß', 'SS')), '[-/\x{2013}\x{2014}]', ' ', 'g'), '[^A-Z0-9 ]', '', 'g'), ' +', ' ', 'g'))"),
+    "article_lower": (text.article_lower, f"lower(regexp_extract(text, '^({'|'.join(text.LOWERED_ARTICLES)})')) || substr(text, length(regexp_extract(text, '^({'|'.join(text.LOWERED_ARTICLES)})')) + 1)"),
+    "gaz_norm": (text.gaz_norm, "trim(translate(trim(regexp_replace(regexp_replace(upper(replace(strip_accents(regexp_replace(trim(text), '^(" + "|".join(text.ARTICLES).replace("'", "''") + r")', '')), 'ß', 'SS')), '[-/\x{2013}\x{2014}]', ' ', 'g'), '[ \t\n\x0B\f\r]+', ' ', 'g')), '" + text.KEY_SIGNS.replace("'", "''") + "', ''))"),
     "split_particle": (lambda x: text.split_particle(x, "of", "th"), None),
 }
 
@@ -65,14 +65,18 @@ for _name, (_function, _sql) in PLAIN.items():
 NAME = "p_name || ' (' || replace(p_brand, 'Brand#', 'n0r') || ')'"
 
 
-@query(f"""WITH k AS (SELECT p_partkey, regexp_replace(lower(trim({NAME})), '[()\\[\\]]', '', 'g') AS x FROM part),
+MISREAD = "replace(replace(p_name, 'o', '0'), 's', '5') || ' [x] ' || p_brand || ' (' || p_type || ') v1'"
+
+
+@query(f"""WITH k AS (SELECT p_partkey, regexp_replace(regexp_replace(lower(trim({MISREAD})), '\\([^)]*\\)', ' ', 'g'), '\\[[^\\]]*\\]', ' ', 'g') AS x FROM part),
 one AS (SELECT p_partkey, regexp_replace(regexp_replace(x, '([a-z])1([a-z]|$)', '\\1i\\2', 'g'), '([a-z])1([a-z]|$)', '\\1i\\2', 'g') AS x FROM k),
 zero AS (SELECT p_partkey, regexp_replace(regexp_replace(x, '([a-z])0([a-z]|$)', '\\1o\\2', 'g'), '([a-z])0([a-z]|$)', '\\1o\\2', 'g') AS x FROM one),
 five AS (SELECT p_partkey, regexp_replace(regexp_replace(x, '([a-z])5([a-z]|$)', '\\1s\\2', 'g'), '([a-z])5([a-z]|$)', '\\1s\\2', 'g') AS x FROM zero),
 eight AS (SELECT p_partkey, regexp_replace(regexp_replace(x, '([a-z])8([a-z]|$)', '\\1b\\2', 'g'), '([a-z])8([a-z]|$)', '\\1b\\2', 'g') AS x FROM five)
 SELECT p_partkey, trim(regexp_replace(regexp_replace(replace(x, 'v', 'b'), '[^a-z0-9]', ' ', 'g'), ' +', ' ', 'g')) AS link_key FROM eight""")
 def link_key(t):
-    name = F.concat("p_name", F.lit(" ("), F.replace("p_brand", F.lit("Brand#"), F.lit("n0r")), F.lit(")"))
+    misread = F.replace(F.replace("p_name", F.lit("o"), F.lit("0")), F.lit("s"), F.lit("5"))
+    name = F.concat(misread, F.lit(" [x] "), "p_brand", F.lit(" ("), "p_type", F.lit(") v1"))
     return t.part.select("p_partkey", text.link_key(name).alias("link_key"))
 
 
@@ -211,12 +215,6 @@ def window_size(t):
     return segment.window_size(t.conversations, ["conv_id"], F.length("text") > 800)
 
 
-@query("""SELECT doc_id, CASE WHEN contains(text, b) AND b <> '' THEN 'CONFIRM' WHEN contains(text, m) AND m <> '' THEN 'MANGLED-MATCHES' WHEN n_chars % 100 >= 70 THEN 'FUZZY' ELSE 'UNCLEAR' END AS verdict
-FROM (SELECT doc_id, text, n_chars, 'The ' || lang AS b, 'onth' AS m FROM documents)""")
-def adjudicate(t):
-    return t.documents.select("doc_id", classify.adjudicate(F.col("text"), F.concat(F.lit("The "), "lang"), F.lit("onth"), F.col("n_chars") % 100, 70).alias("verdict"))
-
-
 VOTES = "SELECT p_partkey, CASE WHEN p_size % 7 <> 0 THEN p_name END AS a, CASE WHEN p_size % 5 = 0 THEN p_type ELSE p_name END AS b, CASE WHEN p_size % 3 = 0 THEN p_brand WHEN p_size % 11 = 0 THEN '' ELSE p_name END AS c, p_name AS d FROM part"
 
 
@@ -233,11 +231,3 @@ def vote_3way(t):
     c = F.when(size % 3 == 0, F.col("p_brand")).when(size % 11 == 0, "").otherwise(F.col("p_name"))
     verdict, consensus, agrees = classify.vote(a, b, c, F.col("p_name"))
     return t.part.select("p_partkey", verdict.alias("verdict"), consensus.alias("consensus"), agrees.alias("agrees"))
-
-
-@query("""SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL AND d.n_chars % 2 = 0 AND regexp_matches(d.text, '!!') AND d.lang <> 'en' THEN 'CLEANER_TITLE' WHEN l.doc_id IS NOT NULL THEN 'KNOWN'
-WHEN d.source = 'src1' AND d.n_chars % 2 = 0 AND regexp_matches(d.text, '!!') AND d.lang <> 'en' THEN 'CLEANER_TITLE' WHEN d.source = 'src1' THEN 'KNOWN' ELSE 'NOVEL' END AS bucket FROM documents d LEFT JOIN labels l USING (doc_id)""")
-def xref_bucket(t):
-    known = t.labels.select("doc_id", F.lit(True).alias("hit"))
-    bucket = classify.xref_bucket(F.coalesce("hit", F.lit(False)), F.col("source") == "src1", F.col("n_chars") % 2 != 0, F.col("text").rlike("!!"), F.col("lang") == "en")
-    return t.documents.join(known, "doc_id", "left").select("doc_id", bucket.alias("bucket"))

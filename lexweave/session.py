@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -25,6 +27,16 @@ def local_session(cpus: int = 8, **conf: str) -> SparkSession:
     return make_importable(spark)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder name under spark.checkpoint.dir, which all executors share; under a temporary folder only in local mode."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="lexweave-")
+    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def make_importable(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package when they see the same path.
 

@@ -27,16 +27,20 @@ def page_map(spark: SparkSession, path: str) -> DataFrame:
 
 def index_records(spark: SparkSession, path: str, source: str = "regex") -> DataFrame:
     """JSON lines; blank lines go, a missing or null source becomes the default."""
-    return spark.read.schema(schemas.INDEX_RECORD).json(path).where("title is not null").withColumn("source", F.coalesce(F.nullif("source", F.lit("")), F.lit(source)))
+    return spark.read.schema(schemas.INDEX_RECORD).json(path).withColumn("source", F.coalesce(F.nullif("source", F.lit("")), F.lit(source)))
 
 
 def leaf_entries(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each entry of leaf documents, a JSON file a leaf; leaves without entries give none.
+    """A row for each entry of leaf documents, a JSON file a leaf; leaves without entries give none."""
+    return leaf_documents(spark.read.schema(schemas.LEAF).json(path, multiLine=True))
+
+
+def leaf_documents(leaves: DataFrame) -> DataFrame:
+    """A row for each entry of leaf documents.
 
     Lists that are missing become empty ones; empty stats become null.
     entry_ordinal tells entries of one title on one leaf apart.
     """
-    leaves = spark.read.schema(schemas.LEAF).json(path, multiLine=True)
     rows = leaves.select("vol", "leaf", "page_printed", F.col("window").alias("window_size"), "model", "note", F.regexp_extract("_metadata.file_path", r"[^/]*$", 0).alias("source_file"), F.posexplode("entries").alias("entry_ordinal", "e"))
     out = rows.select(*rows.columns[:-1], "e.*")
     return out.withColumn("cross_references", F.coalesce("cross_references", F.array().cast("array<string>"))).withColumn("stats", F.when(F.size("stats") > 0, F.col("stats")))
@@ -62,21 +66,39 @@ def web_payload(spark: SparkSession, path: str) -> DataFrame:
 Fetch = Callable[[int, int], tuple[list[dict], bool]]
 
 
-def paged(spark: SparkSession, fetch: Fetch, schema: str, page: int = 1000, tries: int = 4) -> DataFrame:
-    """Rows of a service that answers (offset, limit) with (rows, more); a page that fails `tries` times fails the read."""
-    out: list[dict] = []
-    more = True
-    while more:
+def paged(spark: SparkSession, fetch: Fetch, schema: str, page: int = 1000, tries: int = 4, total: int | None = None) -> DataFrame:
+    """Rows of a service that answers (offset, limit) with (rows, more); a page that fails `tries` times fails the read.
+
+    With a known total, pages are fetched by the executors, each a task's unit
+    of work. Otherwise only the driver can follow `more`; it hands on a page at
+    a time, so it holds no more than one.
+    """
+
+    def once(offset: int) -> tuple[list[dict], bool]:
         for left in range(tries - 1, -1, -1):
             try:
-                rows, more = fetch(len(out), page)
-                break
+                return fetch(offset, page)
             except OSError:
                 if not left:
                     raise
-        out += rows
-        more = more and bool(rows)
-    return spark.createDataFrame(out, schema)
+        raise AssertionError
+
+    if total is not None:
+
+        def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for offset in batch["id"]:
+                    yield pd.DataFrame(once(int(offset))[0], columns=names)
+
+        names = spark.createDataFrame([], schema).columns
+        return spark.range(0, total, page, max(1, -(-total // page))).mapInPandas(pages, schema)
+    out, offset, more = spark.createDataFrame([], schema), 0, True
+    while more:
+        rows, more = once(offset)
+        offset, more = offset + len(rows), more and bool(rows)
+        if rows:
+            out = out.union(spark.createDataFrame(rows, schema))
+    return out
 
 
 def with_adapter(df: DataFrame, adapter: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

@@ -4,25 +4,68 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write beside the target, then put it in the target's place: readers see the old rows or the new."""
+    """Write beside the target, then put it in the target's place, and the old one back if that fails.
+
+    Between the two renames a reader finds no table; one that must never
+    do so reads through current(), which follows replace_version().
+    """
     spark = df.sparkSession
     beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     df.write.parquet(beside)
     jvm = spark._jvm
     target, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, beside, beside + ".old"))
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.rename(target, old)
+    there = fs.exists(target)
+    if there and not fs.rename(target, old):
+        raise OSError(f"can't move {path} out of the way; its rows are as they were")
     if not fs.rename(new, target):
-        raise OSError(f"can't put {beside} in the place of {path}")
+        if there:
+            fs.rename(old, target)
+        raise OSError(f"can't put {beside} in the place of {path}; its rows are as they were")
     fs.delete(old, True)
 
 
+def replace_version(df: DataFrame, path: str) -> None:
+    """Write a new version under the folder; readers of current() see the old rows up to the moment when the version is complete."""
+    numbers = [int(v[2:]) for v in _versions(df.sparkSession, path)]
+    df.write.parquet(f"{path.rstrip('/')}/v={max(numbers, default=0) + 1:08d}")
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version under the folder."""
+    return spark.read.parquet(f"{path.rstrip('/')}/{max(_versions(spark, path))}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+    return [n for n in names if n.startswith("v=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{n}/_SUCCESS"))]
+
+
+def json_array(rows: DataFrame, order: list[str], *by: str) -> DataFrame:
+    """One JSON array of objects for each group of rows, in order; a group's rows come into one task, as its array is one value."""
+    item = F.struct(*[F.col(c) for c in order], F.to_json(F.struct(*[F.col(c) for c in rows.columns if c not in by])).alias("_json"))
+    listed = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["_json"])
+    return rows.groupBy(*by).agg(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("json"))
+
+
+def applied(df: DataFrame, proposals: DataFrame, keys: list[str], apply: bool) -> DataFrame:
+    """The proposals alone, or with apply df with their new values; proposals are rows (keys, column, new)."""
+    if not apply:
+        return proposals
+    columns = [r["column"] for r in proposals.select("column").distinct().orderBy("column").collect()]  # names of columns
+    for c in columns:
+        new = proposals.where(F.col("column") == c).select(*keys, F.col("new").cast(df.schema[c].dataType).alias("_new"))
+        df = df.join(new, keys, "left").withColumn(c, F.coalesce("_new", c)).drop("_new")
+    return df
+
+
 def json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "true").json(path)
 
@@ -61,9 +104,8 @@ def not_done(targets: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return targets.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
-def report(known: DataFrame, sections: dict[str, DataFrame]) -> DataFrame:
-    """Rows (section, n) of a plain report."""
-    out = known.agg(F.count(F.lit(1)).alias("n")).select(F.lit("known").alias("section"), "n")
-    for name, df in sections.items():
-        out = out.union(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name), "n"))
-    return out
+def report(known: DataFrame, sections: dict[str, Column]) -> DataFrame:
+    """Rows (section, n) of a plain report: all rows, and those of each condition, counted in one pass."""
+    counts = known.agg(F.count(F.lit(1)).alias("n0"), *[F.count_if(c).alias(f"n{k}") for k, c in enumerate(sections.values(), 1)])
+    names = ["known", *sections]
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("section"), F.col(f"n{k}").alias("n")) for k, n in enumerate(names)])).alias("r")).select("r.*")

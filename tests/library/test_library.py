@@ -2,6 +2,11 @@
 
 import gzip
 import json
+import re
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -9,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lexweave.functions import rules, similarity, text
 from lexweave.operators import classify, link, segment, serve
-from lexweave.plans import registry
+from lexweave.plans import common, link_queries, registry
 from lexweave.sources import readers, sinks
 from lexweave.streaming import ingest
 
@@ -29,13 +34,18 @@ def one(spark, column):
         (text.compress_alnum, "a-1 ß é", "A1SSE"),
         (text.compress_bare, "ab (cd) e", "ABE"),
         (text.compressed_lemma, "C1a 50 84", "CIASOBA"),
-        (text.link_key, "  Vi1a (N0va) [x] r10 100", "biia noba x r10 100"),
+        (text.link_key, "  Vi1a (N0va) [x] r10 100", "biia r10 100"),
         (text.gaz_norm, "La Torre-Alta / d'En Pé", "TORRE ALTA DEN PE"),
+        (text.gaz_norm, "LOS X_y*", "LOS X_Y*"),
         (text.article_lower, "El Prat", "el Prat"),
+        (text.article_lower, "LOS X", "LOS X"),
+        (text.article_lower, "Els Prats", "els Prats"),
         (text.join_hyphens, "a-b-c d- e", "ab-c d- e"),
         (text.join_hyphens_spaced, "a- b c-d", "ab cd"),
         (text.join_broken_words, "ab- cd A- b", "abcd A- b"),
         (text.clean_lead, "*ço#X rest ç", "ÇoX rest ç"),
+        (text.clean_lead, "ç*(ñ*) x", "Ç(ñ*) x"),
+        (lambda x: text.grouped_number(x.cast("double"), 1), "1234567.26", "1.234.567,3"),
         (text.html_escape, "<a & 'b'>", "&lt;a &amp; &#39;b&#39;&gt;"),
         (text.excerpt, "short", "short"),
         (text.fold_accents, None, None),
@@ -198,16 +208,67 @@ def test_queries(spark, duck, name):
         assert normal(rows, df.columns) == normal(want.fetchall(), want.columns)
 
 
-def test_covered_by_the_whole_index(spark, duck):
-    """All odd parts are known rows; the registered SQL still leaves a half of them out."""
-    rows = [tuple(r) for r in registry.QUERIES["covered_semi"](spark, SF).collect()]
-    want = duck.sql(registry.SQL["covered_semi"].replace(" WHERE index_id % 4 = 1", ""))
-    assert normal(rows, want.columns) == normal(want.fetchall(), want.columns)
+def test_difflib_cascade_and_rescue_by_plain_loops(spark):
+    """link_cascade_difflib, greedy_rescue, split_particle and geo_cascade_weighted against plain Python over whole tables."""
+    from difflib import SequenceMatcher
+
+    tables = common.Tables(spark, SF)
+    texts, index = (df.collect() for df in link_queries._cascade_tables(tables))
+    got = {r["text_id"]: (r["index_id"], r["tier"], r["score"]) for r in registry.QUERIES["link_cascade_difflib"](spark, SF).collect()}
+    assert len(got) == len(texts)
+    for x in texts:
+        t, best = x["t"], (4, 0.0, 0)
+        for y in index:
+            if y["p_brand"] == x["p_brand"]:
+                i = y["i"]
+                ratio = SequenceMatcher(None, t, i).ratio()
+                tier = 1 if t == i else 2 if t.startswith(i + " ") or i.startswith(t + " ") else 3 if ratio >= 0.85 else 4
+                best = min(best, (tier, -1.0 if tier < 3 else -ratio, y["index_id"])) if tier < 4 else best
+        want = (best[2], ["exact", "prefix", "fuzzy"][best[0] - 1], -best[1]) if best[0] < 4 else (None, "none", None)
+        assert got[x["text_id"]] == want
+    kept = {r["p_partkey"] for r in registry.QUERIES["greedy_rescue"](spark, SF).collect()}
+    taken: dict[str, list[str]] = {}
+    for r in tables.part.select("p_partkey", "p_brand", text.compress_alpha(F.col("p_name")).alias("k")).orderBy("p_partkey").collect():
+        like = any(a in r["k"] or r["k"] in a or similarity.indel(r["k"], a) >= 0.8 for a in taken.setdefault(r["p_brand"], []))
+        assert (r["p_partkey"] in kept) == (bool(r["k"]) and not like)
+        if not like:
+            taken[r["p_brand"]].append(r["k"])
+    split = {r["doc_id"]: r["n"] for r in registry.QUERIES["split_particle"](spark, SF).collect()}
+    for r in tables.documents.select("doc_id", "text").collect():
+        assert split[r["doc_id"]] == len(re.sub(r"(?i)\b(of)(th)", r"\1 \2", r["text"]))
+    places, gaz, _, parents, _ = (df.collect() for df in link_queries._geo_tables(tables))
+    geo = {r["id"]: (r["tier"], r["matched"]) for r in registry.QUERIES["geo_cascade_weighted"](spark, SF).collect()}
+    for p in places:
+        near = [g for g in gaz if g["region"] == p["region"]]
+        score = lambda g: similarity.weighted(p["key"], g["key"]) / 100
+        fuzzy = sorted((g for g in near if len(g["key"]) >= max(4, int(len(p["key"]) * 0.6)) and score(g) >= 0.88), key=lambda g: (-score(g), g["name"]))[:10]
+        exact = sorted((g for g in near if g["key"] == p["key"]), key=lambda g: (g["parent"] != p["parent"], g["name"]))
+        if p["key"] == "curated place":
+            assert geo[p["id"]][0] == "curated"
+        elif exact:
+            assert geo[p["id"]] == ("exact", exact[0]["name"])
+        elif fuzzy:
+            assert geo[p["id"]] == ("fuzzy", min(fuzzy, key=lambda g: (g["parent"] != p["parent"], -score(g), g["name"]))["name"])
+        else:
+            assert geo[p["id"]][0] == ("parent" if p["parent"] in {q["parent"] for q in parents} else geo[p["id"]][0])
+
+
+def test_entry_module_with_the_training_data_folders_away(tmp_path):
+    """The library's queries stay when both folders and the pipeline are deleted, or the tokenizers' package is missing."""
+    root = Path(registry.__file__).parent.parent.parent
+    for name in ("lexweave", "__spark_entry__.py", "corpus_pipeline.py"):
+        (shutil.copytree if (root / name).is_dir() else shutil.copy)(root / name, tmp_path / name)
+    count = "import __spark_entry__ as e; q = e.queries(); print(len(q), any(n.startswith('op1_') for n in q), len(e.oracle_sql()) > 50)"
+    run = lambda code: subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True).stdout.split()
+    assert run(count)[1:] == ["True", "True"]
+    assert run("import sys; sys.modules['public_tokenizers'] = None; " + count) == [str(len(registry.QUERIES)), "False", "True"]
+    shutil.rmtree(tmp_path / "lexweave/llm")
+    assert run(count) == [str(len(registry.QUERIES)), "False", "True"]
+    (tmp_path / "corpus_pipeline.py").unlink()
+    assert run(count) == [str(len(registry.QUERIES)), "False", "True"]
 
 
 def test_without_the_training_data_operators():
     """Nothing outside the subpackage imports it, but the entry module."""
-    from pathlib import Path
-
     root = Path(registry.__file__).parent.parent
     assert not [p for p in root.rglob("*.py") if "llm" not in p.parts and "lexweave.llm" in p.read_text()]

@@ -105,8 +105,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     size: words of the text (null: 0). taken = copies * size, copies at most
     cap. A source without words has target 0. Null sources are one source.
-    Repeated rows are rows of their own. Rows of one source and size beyond
-    `group` are dealt to several tasks by a hash of the id. Every run gives
+    Repeated rows are rows of their own. Rows of one source and size are
+    dealt to parts of about `group` by a hash of the id. Every run gives
     the same copies: sums are of whole numbers, order is by size and id. An
     empty table gives no rows.
     """
@@ -126,15 +126,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     inside = F.sum("sum").over(Window.partitionBy(*keys, "stretch").orderBy("size")) - F.col("sum")
     rated = staged(rated.withColumn("inside", inside).join(long, [*keys, "stretch"]).select(*keys, "size", "n", "source_size", "target", "rate", (F.col("before") + F.col("inside")).alias("start")))
     keys = [*keys, "size"]
-    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / group).cast("long")).cast("int")
-    dealt = rows.join(rated, keys).withColumn("part", part)
-    order = Window.partitionBy(*keys, "part").orderBy("id")
-    dealt = dealt.withColumn("nth", F.row_number().over(order))
-    # only cells of more than one part need to know what comes before a part
-    parts = rows.join(rated.where(F.col("n") > group), keys).withColumn("part", part).groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("m"))
+    # as many parts of a cell as its largest one needs, so that none is a single task's, neither in the join nor in the window
+    most = cells.agg(F.max("n")).first()[0] or 1
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(-(-most // group))).cast("long"))
+    parts = dealt.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("m"))
     before = parts.select(*keys, "part", (F.sum("m").over(Window.partitionBy(*keys).orderBy("part")) - F.col("m")).alias("before"))
-    out = dealt.join(before, [*keys, "part"], "left")
-    last = F.col("start") + F.col("rate") * (F.coalesce("before", F.lit(0)) + F.col("nth"))
+    known = staged(before.join(rated, keys))
+    nth = F.row_number().over(Window.partitionBy(*keys, "part").orderBy("id"))
+    out = dealt.withColumn("nth", nth).join(known, [*keys, "part"])
+    last = F.col("start") + F.col("rate") * (F.col("before") + F.col("nth"))
     whole = lambda x: F.shiftright(x + SCALE // 2, SCALE.bit_length() - 1)
     copies = whole(last) - whole(last - F.col("rate"))
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.cast("int").alias("copies"))

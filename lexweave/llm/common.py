@@ -142,6 +142,7 @@ class Recent:
     def unknown(self, keys: set[str]) -> list[str]:
         """The keys without a value; the values of all others are in `now` from here on."""
         new = keys.difference(self.now)
-        again = list(new.intersection(self.before))
+        before = self.before
+        again = [k for k in new if k in before]  # an intersection would walk through all that is kept
         self.keep(again, list(map(self.before.__getitem__, again)))
         return list(new.difference(again))

@@ -4,9 +4,11 @@ The distinct pieces of a block of texts stand one after another in flat arrays.
 An inverted index leads from a merge (the rank of the joined bytes) to the
 positions of the token pairs that it would join. Merges are replayed in rank
 order; each visits only its own positions and hands the pairs that its
-neighbours now form to the index. A pair of a lower rank that arises on the
-way takes over at once, as in an encoder that always joins the lowest pair of
-a single word. Pieces met once are remembered (a bounded memory a worker).
+neighbours now form to the index. Order matters only within a word, so a range
+of ranks is replayed over all words at once: in each step every word joins the
+first of its pairs in the range, and a pair of a lower rank that arises on the
+way comes first in the next step. Long words, which would need many steps, go
+one merge at a time. Pieces met once are remembered (a bounded memory a worker).
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from lexweave.llm.common import Recent, mapped, slices
 
 
 SLICE = 2 << 20  # bytes of text that are encoded at a time
+LONG = 48  # bytes of a word beyond which its merges are replayed one at a time
+RANGES = 6  # of ranks, with about equally many of the first pairs
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -44,6 +48,16 @@ class Tables:
         self.byte_pairs = np.array([[ranks.get(bytes([i, j]), -1) for j in range(256)] for i in range(256)], np.int64)
         #: a << 32 | b: the id of both tokens together, for all pairs that make one
         self.joined = {a << 32 | b: rank for token, rank in ranks.items() for cut in range(1, len(token)) if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None}
+        self.pairs = np.array(sorted(self.joined), np.int64)
+        self.pair_ranks = np.array([self.joined[p] for p in self.pairs.tolist()], np.int64)
+
+    def join_all(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of each pair of tokens the id of both together; -1 where there is none or one is no token."""
+        if not len(self.pairs):
+            return np.full(len(a), -1)
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((a >= 0) & (b >= 0) & (self.pairs[at] == key), self.pair_ranks[at], -1)
 
 
 class Codec:
@@ -59,15 +73,73 @@ class Codec:
         self.units = Recent(keep_bytes)  # what lies between two single spaces
         self.ragged = re.compile(r" (?=\s|\Z)")
 
-    def replay(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word as little-endian 32-bit integers, all words at once."""
+    def laid_out(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of all words one after another, each word with an end mark; the rank of the pair at each place; the end marks' places."""
         raw = np.frombuffer(b"\n".join(words) + b"\n", np.uint8)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(sizes + 1) - 1  # where each word's end mark stands
+        ends = np.cumsum(sizes + 1) - 1
         flat = self.tables.byte_ids[raw]
         flat[ends] = -1
-        ranks = np.full(len(flat), -1)  # of the pair that starts at each position
+        ranks = np.full(len(flat), -1)
         ranks[:-1] = np.where((flat[:-1] >= 0) & (flat[1:] >= 0), self.tables.byte_pairs[raw[:-1], raw[1:]], -1)
+        return flat, ranks, ends
+
+    @staticmethod
+    def taken_out(tokens: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """What is left of each word, as little-endian 32-bit integers."""
+        upto = np.cumsum(tokens >= 0)[ends] * 4
+        blob = tokens[tokens >= 0].astype("<u4").tobytes()
+        return [blob[i:j] for i, j in zip([0, *upto[:-1].tolist()], upto.tolist(), strict=True)]
+
+    def replay(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as little-endian 32-bit integers, all words at once."""
+        out = [b""] * len(words)
+        for some, how in (([i for i, w in enumerate(words) if len(w) <= LONG], self.replay_ranges), ([i for i, w in enumerate(words) if len(w) > LONG], self.replay_merges)):
+            if some:
+                for i, ids in zip(some, how([words[i] for i in some]), strict=True):
+                    out[i] = ids
+        return out
+
+    def replay_ranges(self, words: list[bytes]) -> list[bytes]:
+        """Merges of a range of ranks over all words at once; the index holds rank << 32 | place."""
+        tok, pair, ends = self.laid_out(words)
+        n = len(tok)
+        nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+        word = np.repeat(np.arange(len(words)), np.diff(ends, prepend=-1))
+        first = np.zeros(len(words), np.int64)
+        places = np.flatnonzero(pair >= 0)
+        index = np.sort(pair[places] << 32 | places)
+        bounds = [*(index[len(index) * i // RANGES] >> 32 << 32 for i in range(1, RANGES) if len(index)), 1 << 62]
+        later: list[np.ndarray] = [index]
+        for bound in bounds:
+            index = np.sort(np.concatenate(later))
+            cut = np.searchsorted(index, bound)
+            now, later = index[:cut], [index[cut:]]
+            while len(now):
+                rank, at = now >> 32, now & 0xFFFFFFFF
+                held = pair[at] == rank  # not taken by a merge beside it
+                rank, at, now = rank[held], at[held], now[held]
+                mine = word[at]
+                order = np.arange(len(at))
+                first[mine[::-1]] = order[::-1]
+                chosen = first[mine] == order
+                p, r = at[chosen], rank[chosen]
+                q = nxt[p]
+                after, before = nxt[q], prv[p]
+                tok[p], tok[q], pair[q] = r, -2, -1
+                nxt[p], prv[after] = after, p
+                left = np.where(before >= 0, tok[before], -1)
+                joins, has = self.tables.join_all(left, r), left >= 0
+                pair[before[has]] = joins[has]
+                pair[p] = follows = self.tables.join_all(r, tok[after])
+                new = np.concatenate([(joins << 32 | before)[joins >= 0], (follows << 32 | p)[follows >= 0]])
+                later.append(new[new >= bound])
+                now = np.sort(np.concatenate([now[~chosen], new[new < bound]]))
+        return self.taken_out(tok, ends)
+
+    def replay_merges(self, words: list[bytes]) -> list[bytes]:
+        """One merge at a time, over all words."""
+        flat, ranks, ends = self.laid_out(words)
         places = np.argsort(ranks, kind="stable")
         places = places[np.searchsorted(ranks[places], 0) :]
         cuts = np.flatnonzero(np.diff(ranks[places], prepend=-1))
@@ -117,10 +189,7 @@ class Codec:
                     index.setdefault(rank, []).extend(places[k + 1 :])
                     push(heap, rank)
                     break
-        ids = np.array(tok, np.int32)
-        upto = np.cumsum(ids >= 0)[ends] * 4
-        blob = ids[ids >= 0].astype("<u4").tobytes()
-        return [blob[i:j] for i, j in zip([0, *upto[:-1].tolist()], upto.tolist(), strict=True)] if len(words) else []
+        return self.taken_out(np.array(tok, np.int32), ends)
 
     def pieces(self, text: str) -> list[str]:
         return self.pattern.findall(text)
@@ -132,23 +201,39 @@ class Codec:
         """
         return [text] if self.ragged.search(text) else text.split(" ")
 
-    def learn(self, units: list[str], space: str) -> list[bytes]:
-        """Ids of units, with the space before them."""
-        cut = [self.pieces(space + u) for u in units]
+    def remember(self, words: set[str]) -> None:
+        """Have the ids of all these pieces in `known.now`."""
         held: list[bytes] = []
         ids: list[bytes] = []
         size = 0
-        words = self.known.unknown(set().union(*cut))
-        for word in map(str.encode, words):  # in blocks, as a replay's lists take many times its bytes
+        new = self.known.unknown(words)
+        for word in map(str.encode, new):  # in blocks, as a replay's arrays take many times its bytes
             if held and size + len(word) > self.block:
                 ids += self.replay(held)
                 held, size = [], 0
             held.append(word)
             size += len(word)
         ids += self.replay(held)
-        self.known.keep(words, ids)
+        self.known.keep(new, ids)
+
+    def learn_first(self, texts: list[str]) -> list[bytes]:
+        """Ids of units that stand at the start of a text."""
+        cut = [self.pieces(t) for t in texts]
+        self.remember(set().union(*cut))
         piece = self.known.now.__getitem__
-        return [piece(ws[0]) if len(ws) == 1 else b"".join(map(piece, ws)) for ws in cut]
+        return [b"".join(map(piece, ws)) for ws in cut]
+
+    def learn(self, units: list[str]) -> list[bytes]:
+        """Ids of units, each with the space before it; in one row they are cut as they would be alone."""
+        if not units:
+            return []
+        cut = self.pieces(" " + " ".join(units))
+        self.remember(set(cut))
+        ids = list(map(self.known.now.__getitem__, cut))
+        if len(cut) == len(units):
+            return ids
+        starts = [i for i, w in enumerate(cut) if w[0] == " "]
+        return [ids[i] if j - i == 1 else b"".join(ids[i:j]) for i, j in zip(starts, [*starts[1:], len(cut)], strict=True)]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Of each text its ids as little-endian unsigned 32-bit integers."""
@@ -156,9 +241,9 @@ class Codec:
         self.known.age()
         split = [self.split(t) for t in texts]
         first = [us.pop(0) for us in split]
-        heads = self.learn(first, "")
+        heads = self.learn_first(first)
         new = self.units.unknown(set().union(*split))
-        self.units.keep(new, self.learn(new, " "))
+        self.units.keep(new, self.learn(new))
         get = self.units.now.__getitem__
         return [head + b"".join(map(get, us)) for head, us in zip(heads, split, strict=True)]
 

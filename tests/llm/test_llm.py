@@ -67,6 +67,20 @@ def test_byte_bpe(spark):
     assert all(bytes(r["decoded"]) == (texts[i] or "").encode() for i, r in whole.items())
 
 
+def test_both_replays_equal_the_library():
+    import tiktoken
+
+    ranks = byte_bpe.load_ranks(P.path("byte_bpe_50k.tiktoken"))
+    enc = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    codec = byte_bpe.Codec(byte_bpe.Tables(ranks), P.PATTERN)
+    rng = random.Random(8)
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 120))) for letters in ("ab", "aeinrst ", "abcdefghijklmnopqrstuvwxyz", "é日 \n\0") for _ in range(100)]
+    words = [w.encode() for w in [*words, "a" * 3000, "ing" * 20]]
+    want = [np.array(enc.encode_ordinary(w.decode()), "<u4").tobytes() for w in words]
+    assert codec.replay(words) == codec.replay_ranges(words) == codec.replay_merges(words) == want
+    assert codec.replay([]) == [] and codec.replay([b"q"]) == codec.replay_merges([b"q"])
+
+
 def test_lower_rank_takes_over():
     """A pair that arises with a lower rank than the merge at hand is joined first, as word by word."""
     ranks = {bytes([i]): i for i in range(256)} | {b"aba": 300, b"ab": 310, b"bb": 305}

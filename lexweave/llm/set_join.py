@@ -32,6 +32,7 @@ from lexweave.llm.common import components, discard, mapped, slices, staged
 
 SKETCH_BITS = 2048
 MARK_BITS = (22, 27)  # least and most: 16 MB
+SALTS = 256  # parts that the list of a frequent token is sorted in
 
 
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -102,7 +103,7 @@ def describe(docs: DataFrame, kind: str, words: int, often: int, batch_tokens: i
 
 
 def postings(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """Rows (token, sig, n, pos) of the prefixes of all sets. frequent: tokens in the order in which they go last."""
+    """Rows (token, sig, n, pos, hot) of the prefixes of all sets. frequent: tokens in the order in which they go last; hot tells whether the token is one."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,29 +111,37 @@ def postings(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
         known = sent.value[order]
         seen: set[int] = set()
         for batch in slices(batches, "text", 1 << 20):
-            out: list[tuple[np.ndarray, int, int]] = []
+            out: list[tuple[np.ndarray, np.ndarray, int, int]] = []
             for s in shingle_sets([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], words):
                 sig, n = signature(s), len(s)
                 if not n or sig in seen:
                     continue
                 seen.add(sig)
+                late = np.zeros(n, bool)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     late = known[at] == s
                     s = np.concatenate([s[~late], s[late][np.argsort(order[at[late]])]])
-                out.append((s[: n - (percent * n + 99) // 100 + 1], sig, n))
-            sizes = [len(p) for p, _, _ in out]
-            tokens = np.concatenate([p for p, _, _ in out]) if out else np.zeros(0, np.int64)
+                    late = np.sort(late)
+                prefix = n - (percent * n + 99) // 100 + 1
+                out.append((s[:prefix], late[:prefix], sig, n))
+            sizes = [len(p) for p, *_ in out]
+            tokens = np.concatenate([p for p, *_ in out]) if out else np.zeros(0, np.int64)
+            hot = np.concatenate([x for _, x, *_ in out]) if out else np.zeros(0, bool)
             pos = np.arange(len(tokens)) - np.repeat(np.cumsum([0, *sizes])[:-1], sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens), pa.array(np.repeat(np.array([x for _, x, _ in out], np.int64), sizes)), pa.array(np.repeat(np.array([x for *_, x in out], np.int32), sizes)), pa.array(pos.astype(np.int32))], ["token", "sig", "n", "pos"]
+                [pa.array(tokens), pa.array(np.repeat(np.array([x for *_, x, _ in out], np.int64), sizes)), pa.array(np.repeat(np.array([x for *_, x in out], np.int32), sizes)), pa.array(pos.astype(np.int32)), pa.array(hot)], ["token", "sig", "n", "pos", "hot"]
             )
 
-    return mapped(docs, run, "token long, sig long, n int, pos int")
+    return mapped(docs, run, "token long, sig long, n int, pos int, hot boolean")
 
 
 def met(rows: DataFrame) -> DataFrame:
-    """Postings of tokens that several sets have: one pass over each sorted partition, a row ahead at a time."""
+    """Postings of tokens that several sets have: one pass over each sorted partition, a row ahead at a time.
+
+    Several sets of one stretch have a hot token, so its postings all stay and
+    need not lie together: they are dealt by their sets, into SALTS parts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: dict[str, np.ndarray] | None = None  # the row before, and whether it has been met
@@ -140,16 +149,16 @@ def met(rows: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = {k: batch.column(k).to_numpy() for k in names}
+            x = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in [*names, "hot"]}
             was_met = False
             if last is not None:
                 was_met = last["met"]
-                x = {k: np.concatenate([last[k], x[k]]) for k in names}
+                x = {k: np.concatenate([last[k], v]) for k, v in x.items()}
             new = np.ones(len(x["token"]), bool)
             new[1:] = (x["token"][1:] != x["token"][:-1]) | (x["sig"][1:] != x["sig"][:-1])
             x = {k: v[new] for k, v in x.items()}
             same = x["token"][1:] == x["token"][:-1]
-            keep = np.zeros(len(x["token"]), bool)
+            keep = x["hot"].copy()
             keep[1:] |= same
             keep[:-1] |= same
             keep[0] |= was_met
@@ -159,7 +168,8 @@ def met(rows: DataFrame) -> DataFrame:
         if last is not None and last["met"]:
             yield pa.RecordBatch.from_arrays([pa.array(last[k]) for k in names], names)
 
-    return mapped(rows.repartition("token").sortWithinPartitions("token", "sig"), run, "token long, sig long, n int, pos int")
+    part = F.when(F.col("hot"), F.pmod("sig", F.lit(SALTS))).otherwise(F.lit(0))
+    return mapped(rows.repartition("token", part).sortWithinPartitions("token", "sig"), run, "token long, sig long, n int, pos int")
 
 
 def bits_for(n: int) -> int:

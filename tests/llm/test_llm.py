@@ -6,6 +6,7 @@ import pickle
 import random
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -264,6 +265,23 @@ def test_jaccard_components(spark):
     assert odd == {(7, 7), (None, 7), (None, None)}
 
 
+def test_lists_of_frequent_tokens_are_whole(spark):
+    """Tokens that most sets share are dealt in parts; each set's posting comes out once, however often it went in."""
+    texts = [f"p q r s t u {i} v w x y z" for i in range(300)]
+    df = docs_of(spark, [(i, t) for i, t in enumerate(texts * 3)]).repartition(5)
+    every = {t for text in texts for t in set_join.shingle_sets([text.encode()], 4)[0].tolist()}
+    sets = [set(set_join.shingle_sets([t.encode()], 4)[0].tolist()) for t in texts]
+    times = {t: sum(t in s for s in sets) for t in every}
+    frequent = np.array(sorted((t for t in every if times[t] > 1), key=times.get), np.int64)
+    for hot in (frequent, frequent[:0]):
+        got = set_join.met(set_join.postings(df.select(F.col("doc_id").alias("id"), "text"), 4, 10, hot)).collect()
+        assert len({(r["token"], r["sig"]) for r in got}) == len(got) and {r["token"] for r in got} <= set(frequent.tolist())
+        told = set(hot.tolist())
+        prefixes = [sorted(s, key=lambda t: (t in told, times[t] if told else 0, t))[: len(s) - (10 * len(s) + 99) // 100 + 1] for s in sets]
+        held = Counter(t for p in prefixes for t in p)
+        assert len(got) == sum(m for t, m in held.items() if m > 1 or t in told)
+
+
 def test_word_hashes():
     text = "A bb\tCCC\n\x0bdd  é".encode()
     start, end, h = hashing.words(np.frombuffer(text, np.uint8))

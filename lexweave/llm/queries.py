@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import bit_sliced, byte_bpe, hash_tree, language, line_crf, main_text, mixing, pq_dedup, set_join, token_count
+from lexweave.llm import bit_sliced, byte_bpe, code_books, hash_tree, language, line_crf, main_text, mixing, pq_dedup, set_join, token_count
 from lexweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,13 +55,37 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_of(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_main_text, op4_quality, op5_jaccard_join, op6_mix_sources, op7_shard, op8_top_k, op9_near_vectors, op10_language)}
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_books.compressed(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_main_text, op4_quality, op5_jaccard_join, op6_mix_sources, op7_shard, op8_top_k, op9_near_vectors, op10_language, op12_vector_codes)}
 
 #: Components of links (a, b) among all keys, for the two queries below.
 COMPONENTS = """both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 reach AS (SELECT DISTINCT a AS k, a AS root FROM both_ways UNION SELECT e.b, r.root FROM reach r JOIN both_ways e ON e.a = r.k),
 part AS (SELECT k, min(root) AS component FROM reach GROUP BY 1)"""
 
+
+
+def codes_sql(rounds: int = 2) -> str:
+    """Assignments a0, a1 ... to codebooks c0, c1 ..., the last without an update after it."""
+    steps = []
+    for r in range(rounds + 1):
+        far = "list_sum(list_transform(list_zip(p.x, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+        steps.append(f"a{r} AS (SELECT vec_id, label, pos, x, e, d FROM (SELECT p.vec_id, p.label, p.pos, p.x, c.e, {far} AS d FROM p JOIN c{r} c USING (pos)) QUALIFY row_number() OVER (PARTITION BY vec_id, pos ORDER BY d, e) = 1)")
+        if r < rounds:
+            steps.append(f"m{r} AS (SELECT pos, e, list(f ORDER BY j) AS c FROM (SELECT pos, e, j, floor(sum(x[j]) / count(*))::BIGINT AS f FROM a{r}, range(1, 65) t(j) WHERE j <= len(x) GROUP BY 1, 2, 3) GROUP BY 1, 2)")
+            steps.append(f"c{r + 1} AS (SELECT c.pos, c.e, coalesce(m.c, c.c) AS c FROM c{r} c LEFT JOIN m{r} m USING (pos, e))")
+    return f"""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT vec_id, label, i AS pos, q[i * (len(q) // 16) + 1 : (i + 1) * (len(q) // 16)] AS x FROM v, range(16) t(i)),
+c0 AS (SELECT pos, row_number() OVER (PARTITION BY pos ORDER BY vec_id) - 1 AS e, x AS c FROM p QUALIFY e < 64),
+{", ".join(steps)},
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY pos, e)) AS h FROM c{rounds}),
+r AS (SELECT vec_id, label, string_agg(format('{{:02x}}', e), '' ORDER BY pos) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY 1, 2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256 FROM r, h"""
+
+
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {
     "op5_jaccard_join": rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -78,4 +102,5 @@ FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) WHERE rank <=
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_inner_product(a.x, b.x) >= 0.95 * sqrt(list_inner_product(a.x, a.x) * list_inner_product(b.x, b.x))),
 {COMPONENTS}, n AS (SELECT a, count(*) AS n FROM both_ways GROUP BY 1)
 SELECT v.vec_id, coalesce(n.n, 0) AS n_links, coalesce(p.component, v.vec_id) AS component_id, coalesce(p.component, v.vec_id) = v.vec_id AS kept FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN part p ON p.k = v.vec_id""",
+    "op12_vector_codes": codes_sql(),
 }

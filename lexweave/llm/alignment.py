@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import Recent, slices, staged
+from lexweave.llm.common import Recent, narrow, runs, slices, staged, wide
 
 SPACE = "▁"
 #: A space after no white space, before anything: the piece model would take a text of nothing as no token.
@@ -110,17 +110,6 @@ class Aligner:
         return HEAD.pack(len(a), len(b), len(groups), len(pairs)) + np.array(pairs, "<i8").tobytes() + ";".join(groups).encode()
 
 
-def narrow(values: np.ndarray) -> bytes:
-    """Whole numbers in as many bytes each as the largest needs, which a first byte tells."""
-    most = int(values.max()) if len(values) else 0
-    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
-
-
-def wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
-
-
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sums of their values."""
     if not len(keys):
@@ -198,9 +187,7 @@ def encoded(docs: DataFrame, a_file: str, b_file: str, buckets: int, block_bytes
             for b in np.unique(bucket):
                 mine = np.flatnonzero(bucket == b)
                 start = np.flatnonzero(np.r_[True, pair[mine][1:] != pair[mine][:-1]])
-                data = [narrow(text[mine]), narrow(times[mine])]
-                packed = struct.pack("<q", len(data[0])) + b"".join(data)
-                rows.append((int(b), pair[mine][start], np.diff(np.r_[start, len(mine)]), packed))
+                rows.append((int(b), pair[mine][start], np.diff(np.r_[start, len(mine)]), narrow(text[mine]) + narrow(times[mine])))
             if rows:
                 n = len(rows)
                 told = {"block": pa.array([block] * n, pa.int64()), "bucket": pa.array([r[0] for r in rows], pa.int32()), "pairs": pa.array([r[1] for r in rows], pa.list_(pa.int64())), "held": pa.array([r[2] for r in rows], pa.list_(pa.int64())), "postings": pa.array([r[3] for r in rows], pa.binary())}
@@ -210,16 +197,6 @@ def encoded(docs: DataFrame, a_file: str, b_file: str, buckets: int, block_bytes
     return docs.mapInArrow(run, shape)
 
 
-def runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[tuple, pa.RecordBatch]]:
-    """Stretches of rows with equal values of integer columns."""
-    for batch in batches:
-        if batch.num_rows:
-            keys = np.stack([batch.column(c).to_numpy() for c in columns])
-            start = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(0)])
-            for s, e in zip(start, np.r_[start[1:], batch.num_rows], strict=True):
-                yield tuple(keys[:, s].tolist()), batch.slice(s, e - s)
-
-
 def contributions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From a unit's counts, then its postings: (block, data) with what documents of the block get."""
     unit, counts, ready = None, [], False
@@ -239,10 +216,8 @@ def contributions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ready = True
         out = []
         for block, own, held, data in zip(rows.column("block").to_pylist(), rows.column("pairs"), rows.column("held"), rows.column("postings"), strict=True):
-            data = data.as_py()
             at = np.searchsorted(pairs, own.values.to_numpy())
-            size = struct.unpack_from("<q", data)[0]
-            text, times = wide(data[8 : 8 + size]), wide(data[8 + size :])
+            text, times = wide(data.as_py(), 2)
             at = np.repeat(at, held.values.to_numpy())
             got, which = np.unique(text, return_inverse=True)
             sums = np.zeros((2, len(got)), np.int64)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import ctypes
+import struct
 import tempfile
 import uuid
 from collections.abc import Callable, Collection, Iterator
 from weakref import WeakKeyDictionary
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -123,6 +125,33 @@ def components(edges: DataFrame) -> DataFrame:
         labels = stepped
 
 
+def narrow(values: np.ndarray) -> bytes:
+    """Whole numbers in as many bytes each as the largest needs above the smallest, which stand before."""
+    low, high = (int(values.min()), int(values.max())) if len(values) else (0, 0)
+    width = next(w for w in (1, 2, 4, 8) if high - low < 1 << 8 * w)
+    return struct.pack("<qbq", low, width, len(values)) + (values.astype(np.int64) - low).astype(f"<u{width}").tobytes()
+
+
+def wide(data: bytes, count: int) -> list[np.ndarray]:
+    """So many arrays of narrow(), one after another."""
+    out, at = [], 0
+    for _ in range(count):
+        low, width, n = struct.unpack_from("<qbq", data, at)
+        out.append(np.frombuffer(data, f"<u{width}", n, at + 17).astype(np.int64) + low)
+        at += 17 + width * n
+    return out
+
+
+def runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Stretches of rows with equal values of integer columns."""
+    for batch in batches:
+        if batch.num_rows:
+            keys = np.stack([batch.column(c).to_numpy() for c in columns])
+            start = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(0)])
+            for s, e in zip(start, np.r_[start[1:], batch.num_rows], strict=True):
+                yield tuple(keys[:, s].tolist()), batch.slice(s, e - s)
+
+
 class Recent:
     """Values of keys in two generations of about `most_bytes` each: of the older one stay the keys that are asked for again."""
 

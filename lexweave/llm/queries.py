@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import alignment, bit_sliced, byte_bpe, code_books, hash_tree, language, line_crf, main_text, mixing, pq_dedup, set_join, token_count
+from lexweave.llm import alignment, bit_sliced, byte_bpe, code_books, hash_tree, language, line_crf, main_text, mixing, pq_dedup, set_join, suffix_dedup, token_count
 from lexweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,7 +63,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_books.compressed(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_main_text, op4_quality, op5_jaccard_join, op6_mix_sources, op7_shard, op8_top_k, op9_near_vectors, op10_language, op11_alignment, op12_vector_codes)}
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_main_text, op4_quality, op5_jaccard_join, op6_mix_sources, op7_shard, op8_top_k, op9_near_vectors, op10_language, op11_alignment, op12_vector_codes, op13_suffix_dedup)}
 
 #: Components of links (a, b) among all keys, for the two queries below.
 COMPONENTS = """both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),

@@ -174,6 +174,7 @@ class Cut:
         self.data, self.ends, self.order, self.length, self.gram = data, ends, order, length, gram
         plain = np.frombuffer(data, np.uint8)
         self.anchor, self.window, self.n, hashes = anchors(plain, ends, length, gram)
+        hashes = (hashes ^ hashes >> SHIFT) * M2  # least ones are small; this spreads them evenly again
         self.distinct, self.which, times = np.unique(hashes, return_inverse=True, return_counts=True)
         self.again = times > 1
 

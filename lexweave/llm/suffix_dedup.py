@@ -7,7 +7,7 @@ hash, the first of equals. Equal windows have their anchor at the same place,
 so all copies of a window are found among the suffixes of one gram, read with
 the bytes before them.
 
-1. Documents are packed into slices, and a slice sends the distinct hashes of
+1. Documents are packed into slices (written once, compressed), and a slice sends the distinct hashes of
    its anchors' grams. What occurs in one place only has no copy and goes.
 2. Splitters, quantiles of a sample of the repeated grams, deal the suffixes of
    the others (what is equal within a slice combined) into ranges by their
@@ -43,7 +43,7 @@ PLACES = 18  # bits of a position within a chunk
 CHUNK = 1 << 17
 SAMPLE = 64  # of so many grams one is a candidate for a splitter
 MOST = 1 << 16  # candidates that the driver reads; the number of ranges stays below
-CODEC = "zstd"
+CODEC = pa.Codec("zstd", compression_level=9)
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -160,11 +160,11 @@ def padded(data: bytes) -> np.ndarray:
 
 
 def squeezed(data: bytes) -> bytes:
-    return struct.pack("<q", len(data)) + pa.compress(data, codec=CODEC, asbytes=True)
+    return struct.pack("<q", len(data)) + CODEC.compress(data, asbytes=True)
 
 
 def expanded(data: bytes) -> bytes:
-    return pa.decompress(data[8:], decompressed_size=struct.unpack_from("<q", data)[0], codec=CODEC, asbytes=True)
+    return CODEC.decompress(data[8:], struct.unpack_from("<q", data)[0], asbytes=True)
 
 
 class Cut:
@@ -188,7 +188,7 @@ class Cut:
         return [self.data[i : i + self.gram] for i in at[wanted].tolist()]
 
 
-def cut_slices(batches: Iterator[pa.RecordBatch], length: int, gram: int, slice_bytes: int) -> Iterator[pa.RecordBatch]:
+def cut_slices(batches: Iterator[pa.RecordBatch], slice_bytes: int) -> Iterator[pa.RecordBatch]:
     nth = TaskContext.get().partitionId() << 33
     for batch in slices(batches, "text", slice_bytes, 1 << 16):
         order = batch.column("place").to_numpy()
@@ -196,17 +196,13 @@ def cut_slices(batches: Iterator[pa.RecordBatch], length: int, gram: int, slice_
         texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
         texts = [texts[i] for i in by]
         ends = np.cumsum([len(t) for t in texts])
-        cut = Cut(b"".join(texts), ends, order[by], length, gram)
-        some = cut.sampled()
         told = {"slice": pa.array([nth], pa.int64()), "ids": pa.array([batch.column("id").take(pa.array(by)).to_pylist()], pa.list_(pa.int64()))}
-        told |= {"places": pa.array([order[by]], pa.list_(pa.int64())), "ends": pa.array([ends], pa.list_(pa.int64())), "texts": pa.array([squeezed(cut.data)], pa.binary())}
-        told |= {"hashes": pa.array([cut.distinct.tobytes()], pa.binary()), "again": pa.array([np.packbits(cut.again).tobytes()], pa.binary()), "n": pa.array([len(cut.distinct)], pa.int64())}
-        told |= {"sample": pa.array([cut.distinct[some].tobytes()], pa.binary()), "grams": pa.array([b"".join(cut.grams(some))], pa.binary())}
+        told |= {"places": pa.array([order[by]], pa.list_(pa.int64())), "ends": pa.array([ends], pa.list_(pa.int64())), "texts": pa.array([squeezed(b"".join(texts))], pa.binary())}
         yield pa.RecordBatch.from_arrays(list(told.values()), list(told))
         nth += 1
 
 
-SLICES = "slice long, ids array<long>, places array<long>, ends array<long>, texts binary, hashes binary, again binary, n long, sample binary, grams binary"
+SLICES = "slice long, ids array<long>, places array<long>, ends array<long>, texts binary"
 
 
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -214,11 +210,18 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def dealt_hashes(batches: Iterator[pa.RecordBatch], parts: int, gram: int) -> Iterator[pa.RecordBatch]:
+def cut_of(row: dict, length: int, gram: int) -> Cut:
+    return Cut(expanded(row["texts"]), np.array(row["ends"], np.int64), np.array(row["places"], np.int64), length, gram)
+
+
+def dealt_hashes(batches: Iterator[pa.RecordBatch], parts: int, length: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at, hashes, again, sample, grams in zip(*(batch.column(c).to_pylist() for c in ("slice", "hashes", "again", "sample", "grams")), strict=True):
-            hashes, sample = np.frombuffer(hashes, np.uint64), np.frombuffer(sample, np.uint64)
-            again = np.unpackbits(np.frombuffer(again, np.uint8), count=len(hashes))
+        for row in (r for k in range(batch.num_rows) for r in batch.slice(k, 1).to_pylist()):
+            at, whole = row["slice"], cut_of(row, length, gram)
+            hashes, again, some = whole.distinct, whole.again, whole.sampled()
+            if not len(hashes):
+                continue
+            sample, grams = hashes[some], b"".join(whole.grams(some))
             rows, first = np.unique(part_of(hashes, parts), return_index=True)
             edges = np.r_[first, len(hashes)]
             own = np.r_[np.searchsorted(part_of(sample, parts), rows), len(sample)]
@@ -429,11 +432,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
         rows = staged(rows.withColumn("row", F.monotonically_increasing_id()))
         keys = rows.select("row", F.col("id").isNotNull().alias("named"), F.coalesce("id", F.lit(0)).alias("key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
         rows = rows.join(numbered(keys, "named", "key", "hash", "row").select("row", F.col("nth").alias("place")), "row").drop("row")
-    cut = staged(rows.mapInArrow(lambda b: cut_slices(b, length, gram, slice_bytes), SLICES))
+    cut = staged(rows.mapInArrow(lambda b: cut_slices(b, slice_bytes), SLICES))
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(tasks, -(-(cut.agg(F.sum("n")).first()[0] or 0) // (4 << 20)))
-    by_part = cut.select("slice", "hashes", "again", "sample", "grams").mapInArrow(lambda b: dealt_hashes(b, parts, gram), "part int, slice long, hashes binary, again binary, sample binary, grams binary")
+    size = cut.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
+    parts = max(tasks, -(-size * 2 // (length - gram) // (4 << 20)))  # of about 4 million hashes
+    by_part = cut.select("slice", "texts", "ends", "places").mapInArrow(lambda b: dealt_hashes(b, parts, length, gram), "part int, slice long, hashes binary, again binary, sample binary, grams binary")
     by_part = by_part.repartition("part").sortWithinPartitions("part", "slice")
     flags = staged(by_part.mapInArrow(lambda b: repeated(b, gram), "slice long, part int, flags binary, n long, gram binary"))
     n, some = flags.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("gram")).first()
@@ -452,7 +456,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
                 held.update(zip(batch.column("part").to_pylist(), batch.column("flags").to_pylist(), strict=True))
                 continue
             for row in batch.select(["texts", "ends", "places"]).to_pylist():
-                whole = Cut(expanded(row["texts"]), np.array(row["ends"], np.int64), np.array(row["places"], np.int64), length, gram)
+                whole = cut_of(row, length, gram)
                 part, times = np.unique(part_of(whole.distinct, parts), return_counts=True)
                 again = [np.unpackbits(np.frombuffer(held[p], np.uint8), count=k) for p, k in zip(part.tolist(), times.tolist(), strict=True)]
                 if again:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexweave.functions.similarity import indel, indel_ratio, may_reach
+from lexweave.functions.similarity import indel_ratio, may_reach
+from lexweave.operators.gram_index import like
+from lexweave.operators.substrings import holding
+from lexweave.session import staged
 
 
 def keep_first(df: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
@@ -24,42 +26,71 @@ def priority_dedup(main: DataFrame, extra: DataFrame, keys: list[str], rank: Col
 
 
 def fuzzy_pairs(a: DataFrame, b: DataFrame, block: list[str], left: str, right: str, floor: float, score: Callable[[Column, Column], Column] = indel_ratio) -> DataFrame:
-    """Pairs within a block whose ratio is at least floor; lengths rule most out before scoring."""
-    pairs = a.join(b, block).where(may_reach(F.col(left), F.col(right), floor))
-    return pairs.withColumn("score", score(F.col(left), F.col(right))).where(F.col("score") >= floor)
+    """Pairs of rows within a block whose ratio (the indel ratio or one below it) is at least floor, found through an index of grams."""
+    return a.join(like(a, b, block, left, right, floor, score), [*block, left]).join(b, [*block, right])
+
+
+def _word_ends(key: Column) -> Column:
+    """What stands before each space of a key."""
+    words = F.split(key, " ")
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))), lambda n: F.when(n < F.size(words), F.array_join(F.slice(words, F.lit(1), n), " ")))
+
+
+def best_of_misses(keys: DataFrame, names: DataFrame, block: list[str], key: str, name: str, below: float, score: Callable[[Column, Column], Column] = indel_ratio, levels: tuple[float, ...] = (0.6, 0.3, 0.0)) -> DataFrame:
+    """Rows (*block, key, score): for keys without a name at `below` the score of the most like name of their block; no row where a block has no name.
+
+    The index is searched at ever lower floors, each by the keys that the one
+    before left: what is found at a floor beats all that isn't, so only the
+    last floor scores pairs that have little in common.
+    """
+    left, out = staged(keys), []
+    for floor in [f for f in levels if f < below]:
+        if not left.limit(1).count():
+            break
+        found = staged(like(left, names, block, key, name, floor, score).groupBy(*block, key).agg(F.max("score").alias("score")))
+        out.append(found)
+        left = staged(left.join(found, [*block, key], "left_anti"))
+    rest = left.join(names.select(*block).distinct(), block, "left_semi").select(*block, key, F.lit(0.0).alias("score"))
+    for found in out:
+        rest = rest.unionByName(found)
+    return rest
 
 
 def link_cascade(texts: DataFrame, index: DataFrame, block: list[str], text_id: str, text_key: str, index_id: str, index_key: str, floor: float, score: Callable[[Column, Column], Column] = indel_ratio) -> DataFrame:
     """A row (text_id, index_id, tier, score) for each text row.
 
     Tiers: exact key; one key a prefix of the other that ends at a word's end;
-    ratio of at least floor, best first. Ties go to the smallest index_id.
-    Rows that an earlier tier settles aren't scored, others by distinct pairs of
-    keys, as names repeat. No link: tier `none`.
+    ratio of at least floor, best first. Ties go to the smallest index_id. No
+    link: tier `none` and the best score within the block, null where the block
+    has no index row. The first two tiers are joins on equal keys, the third
+    goes through an index of grams and sees only what they left.
     """
-    t, i = F.col(text_key), F.col(index_key)
     keys = [*block, text_key]
-    texts_of, index_of = texts.select(*keys).distinct(), index.groupBy(*block, index_key).agg(F.min(index_id).alias(index_id))
-    pairs = texts_of.join(index_of, block).where((t != "") & (i != ""))
-    tier = F.when(t == i, 1).when(t.startswith(F.concat(i, F.lit(" "))) | i.startswith(F.concat(t, F.lit(" "))), 2)
-    sure = pairs.withColumn("tier", tier).where("tier is not null").withColumn("score", F.lit(1.0))
-    left = pairs.join(sure.select(*keys).distinct(), keys, "left_anti").where(may_reach(t, i, floor))
-    scored = left.select(text_key, index_key).distinct().withColumn("score", score(t, i)).where(F.col("score") >= floor)
-    fuzzy = left.join(scored, [text_key, index_key]).withColumn("tier", F.lit(3))
-    best = keep_first(sure.unionByName(fuzzy), keys, ["tier", F.desc("score"), index_id])
+    texts_of = staged(texts.select(*keys).distinct())
+    index_of = staged(index.where(F.col(index_key) != "").groupBy(*block, index_key).agg(F.min(index_id).alias(index_id)))
+    wanted = texts_of.where(F.col(text_key) != "")
+    equal = wanted.join(index_of.withColumn(text_key, F.col(index_key)), keys).select(*keys, index_id, F.lit(1).alias("tier"))
+    shorter = wanted.withColumn(index_key, F.explode(_word_ends(F.col(text_key)))).join(index_of, [*block, index_key]).select(*keys, index_id, F.lit(2).alias("tier"))
+    longer = index_of.withColumn(text_key, F.explode(_word_ends(F.col(index_key)))).join(wanted, keys).select(*keys, index_id, F.lit(2).alias("tier"))
+    sure = staged(equal.unionByName(shorter).unionByName(longer).withColumn("score", F.lit(1.0)))
+    left = staged(wanted.join(sure.select(*keys).distinct(), keys, "left_anti"))
+    fuzzy = like(left, index_of, block, text_key, index_key, floor, score).join(index_of, [*block, index_key]).select(*keys, index_id, F.lit(3).alias("tier"), "score")
+    best = staged(keep_first(sure.unionByName(fuzzy), keys, ["tier", F.desc("score"), index_id]))
+    missed = texts_of.join(best, keys, "left_anti")
+    misses = best_of_misses(missed, index_of, block, text_key, index_key, floor, score)
     named = F.element_at(F.array(F.lit("exact"), F.lit("prefix"), F.lit("fuzzy")), F.col("tier"))
-    found = texts.select(*keys, text_id).join(best.select(*keys, index_id, named.alias("tier"), "score"), keys, "left")
+    told = best.select(*keys, index_id, named.alias("tier"), "score").unionByName(misses, allowMissingColumns=True)
+    found = texts.select(*keys, text_id).join(told, keys, "left")
     return found.select(text_id, index_id, F.coalesce("tier", F.lit("none")).alias("tier"), "score")
 
 
 def covered(rows: DataFrame, known: DataFrame, block: list[str], key: str, known_key: str, floor: float, score: Callable[[Column, Column], Column] = indel_ratio) -> DataFrame:
-    """Rows whose key equals, holds, is held by or is like a known one of its block."""
-    k, o = F.col(key), F.col(known_key)
-    pairs = rows.select(*block, key).distinct().join(known.select(*block, known_key).distinct(), block)
-    cheap = pairs.where((k == o) | k.contains(o) | o.contains(k)).select(*block, key)
-    rest = pairs.join(cheap, [*block, key], "left_anti").where(may_reach(k, o, floor))
-    like = rest.where(score(k, o) >= floor).select(*block, key)
-    return rows.join(cheap.union(like).distinct(), [*block, key], "left_semi")
+    """Rows whose key equals, holds, is held by or is like a known one of its block; empty keys cover nothing and aren't covered."""
+    keys = staged(rows.select(*block, key).where(F.col(key) != "").distinct())
+    others = staged(known.select(*block, known_key).where(F.col(known_key) != "").distinct())
+    cheap = staged(holding(keys, others, block, key, known_key).union(holding(others, keys, block, known_key, key, held=True)).distinct())
+    near = like(staged(keys.join(cheap, [*block, key], "left_anti")), others, block, key, known_key, floor, score).select(*block, key)
+    return rows.join(cheap.union(near).distinct(), [*block, key], "left_semi")
 
 
 def neighbour_probe(rows: DataFrame, pages: DataFrame, block: list[str], at: str, page: str, offsets: list[int], hit: Column) -> DataFrame:
@@ -123,20 +154,15 @@ def placed_by_modern_name(gazetteer: DataFrame, score: Callable[[Column, Column]
     return out.select(*[F.coalesce(c, f"_{c}").alias(c) if c in ("lon", "lat") else F.col(c) for c in gazetteer.columns])
 
 
-def best_in_list(rows: DataFrame, names: DataFrame, key: str, name: str, floor: float, score: Callable[[Column, Column], Column] = indel_ratio, band: int = 4) -> DataFrame:
+def best_in_list(rows: DataFrame, names: DataFrame, key: str, name: str, floor: float, score: Callable[[Column, Column], Column] = indel_ratio) -> DataFrame:
     """Rows (key, name, score) for distinct keys: the name itself if listed, else the most like one of the whole list at `floor`, ties to the first.
 
-    Lengths are dealt into bands; a key meets only the bands that its length
-    lets reach the floor, so the join is by band and loses no pair.
+    Empty and null keys and names take no part. The list is an index of grams, of which a key looks up its rarest.
     """
     keys, listed = rows.select(key).distinct().where(F.col(key) != ""), names.select(name).distinct().where(F.col(name) != "")
     exact = keys.join(listed, keys[key] == listed[name]).select(key, name, F.lit(1.0).alias("score"))
-    n = F.length(key)
-    low, high = F.floor(F.ceil(n * floor / (2 - floor)) / band), F.floor(F.floor(n * (2 - floor) / floor) / band)
-    left = keys.join(exact, key, "left_anti").withColumn("_band", F.explode(F.sequence(low, high)))
-    pairs = left.join(listed.withColumn("_band", F.floor(F.length(name) / band)), "_band").where(may_reach(F.col(key), F.col(name), floor))
-    like = pairs.withColumn("score", score(F.col(key), F.col(name))).where(F.col("score") >= floor).select(key, name, "score")
-    return exact.unionByName(keep_first(like, [key], [F.desc("score"), name]))
+    found = like(staged(keys.join(exact, key, "left_anti")), staged(listed), [], key, name, floor, score)
+    return exact.unionByName(keep_first(found, [key], [F.desc("score"), name]))
 
 
 def jitter(key: Column, lon: Column, lat: Column, radius: float) -> tuple[Column, Column]:
@@ -151,28 +177,6 @@ def loosely_equal(expected: Column, found: Column) -> Column:
     return (expected == found) | F.array_contains(F.split(found, " "), expected)
 
 
-def greedy_rescue(orphans: DataFrame, block: str, order: str, key: str, floor: float = 0.8) -> DataFrame:
-    """Rows in order of which each is accepted unless a row accepted before it in its block has the same or a like key.
-
-    What is accepted depends on what was before, so a block is one task, whose
-    time grows with the square of what it accepts: choose blocks by volume.
-    """
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        taken: list[str] = []
-        seen: set[str] = set()
-        keep = []
-        for k in part.sort_values(order)[key]:
-            ok = bool(k) and k not in seen and not any(t in k or k in t or indel(k, t) >= floor for t in taken)
-            keep.append(ok)
-            if ok:
-                taken.append(k)
-                seen.add(k)
-        return part.sort_values(order)[keep]
-
-    return orphans.groupBy(block).applyInPandas(run, orphans.schema)
-
-
 def updated(df: DataFrame, changes: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
     """df with columns from changes where those have the key and a value; nothing is written in place."""
     new = changes.select(*key, *[F.col(c).alias(f"_new_{c}") for c in columns])

@@ -89,7 +89,7 @@ WHERE tier < 3 OR score >= {floor}) WHERE place = 1"""
 
 
 _A = f"(SELECT index_id, p_brand, i FROM {INDEX} WHERE index_id % 3 = 0)"
-_B = f"(SELECT index_id, p_brand, i FROM {INDEX} WHERE index_id % 3 = 1)"
+_B = f"(SELECT index_id, p_brand, i FROM {INDEX} WHERE index_id % 3 <> 0)"
 _FIRST = lambda x: f"upper(regexp_replace({x}, '[^A-Za-z0-9]', '', 'g'))"
 
 
@@ -100,19 +100,19 @@ def xref_bucket(t):
     names = index.select(F.col("index_id"), F.col("i").alias("name"))
 
     def links(part):
-        found = link.link_cascade(texts, index.where(f"index_id % 3 = {part}"), ["p_brand"], "text_id", "t", "index_id", "i", 0.85)
+        found = link.link_cascade(texts, index.where(part), ["p_brand"], "text_id", "t", "index_id", "i", 0.85)
         return found.join(names, "index_id").select("text_id", "name")
 
-    got = headword.cross_referenced(texts, links(0), links(1), "text_id", "t", "name", text.compress_alnum, "e|ll")
+    got = headword.cross_referenced(texts, links("index_id % 3 = 0"), links("index_id % 3 <> 0"), "text_id", "t", "name", text.compress_alnum, "e|ll")
     return got.select("text_id", "bucket")
 
 
-@query(f"""WITH k AS (SELECT DISTINCT replace(p_name, 'o', '') AS k FROM part WHERE p_partkey % 2 = 0 UNION SELECT DISTINCT p_name FROM part WHERE p_partkey % 3 = 0), n AS (SELECT DISTINCT p_name AS n FROM part WHERE p_partkey % 3 <> 1),
+@query(f"""WITH k AS (SELECT DISTINCT replace(p_name, 'o', '') AS k FROM part WHERE p_partkey % 2 = 0 UNION SELECT DISTINCT p_name FROM part WHERE p_partkey % 3 = 0), n AS (SELECT DISTINCT p_name AS n FROM part WHERE p_partkey % 2 = 1),
 s AS (SELECT k, n, CASE WHEN k = n THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * {lcs_sql('k', 'n')} / (length(k) + length(n)) END AS score FROM k, n WHERE k <> ''),
 b AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, n) AS place FROM s WHERE score >= 0.75) SELECT k AS key, n AS name, score FROM b WHERE place = 1""")
 def whole_list_match(t):
     keys = t.part.where("p_partkey % 2 = 0").select(F.replace("p_name", F.lit("o"), F.lit("")).alias("key")).union(t.part.where("p_partkey % 3 = 0").select("p_name"))
-    return link.best_in_list(keys, t.part.where("p_partkey % 3 <> 1").select(F.col("p_name").alias("name")), "key", "name", 0.75)
+    return link.best_in_list(keys, t.part.where("p_partkey % 2 = 1").select(F.col("p_name").alias("name")), "key", "name", 0.75)
 
 
 @query("""SELECT 'id' AS way, c_custkey, c_name FROM customer WHERE c_custkey = 42 UNION ALL

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexweave.functions import text
 from lexweave.functions.similarity import difflib_ratio, indel_ratio, weighted_ratio
-from lexweave.operators import link
+from lexweave.operators import link, rescue
 from lexweave.plans.common import Query, registrar
 
 QUERIES: dict[str, Query] = {}
@@ -74,9 +74,12 @@ sure AS (SELECT text_id, index_id, CASE WHEN t = i THEN 1 ELSE 2 END AS tier, 1.
 rest AS (SELECT DISTINCT t, i FROM pairs WHERE text_id NOT IN (SELECT text_id FROM sure) AND 2.0 * least(length(t), length(i)) >= 0.85 * (length(t) + length(i))),
 scored AS (SELECT t, i, 2.0::DOUBLE * {lcs_sql('t', 'i')} / (length(t) + length(i)) AS score FROM rest),
 fuzzy AS (SELECT text_id, index_id, 3 AS tier, score FROM pairs JOIN scored USING (t, i) WHERE score >= 0.85 AND text_id NOT IN (SELECT text_id FROM sure)),
-best AS (SELECT *, row_number() OVER (PARTITION BY text_id ORDER BY tier, score DESC, index_id) AS place FROM (SELECT * FROM sure UNION ALL SELECT * FROM fuzzy))
-SELECT x.text_id, b.index_id, coalesce(['exact', 'prefix', 'fuzzy'][b.tier], 'none') AS tier, b.score FROM {TEXTS} x LEFT JOIN best b ON x.text_id = b.text_id AND b.place = 1""")
+best AS (SELECT *, row_number() OVER (PARTITION BY text_id ORDER BY tier, score DESC, index_id) AS place FROM (SELECT * FROM sure UNION ALL SELECT * FROM fuzzy)),
+none_ AS (SELECT DISTINCT text_id, t, i FROM pairs WHERE text_id NOT IN (SELECT text_id FROM best)),
+miss AS (SELECT text_id, max(score) AS score FROM none_ JOIN (SELECT t, i, 2.0::DOUBLE * {lcs_sql('t', 'i')} / (length(t) + length(i)) AS score FROM (SELECT DISTINCT t, i FROM none_)) USING (t, i) GROUP BY 1)
+SELECT x.text_id, b.index_id, coalesce(['exact', 'prefix', 'fuzzy'][b.tier], 'none') AS tier, coalesce(b.score, m.score) AS score FROM {TEXTS} x LEFT JOIN best b ON x.text_id = b.text_id AND b.place = 1 LEFT JOIN miss m ON m.text_id = x.text_id""")
 def link_cascade_indel(t):
+    """Rows without a link have the best score of their block."""
     return link.link_cascade(*_cascade_tables(t), ["p_brand"], "text_id", "t", "index_id", "i", 0.85)
 
 
@@ -180,7 +183,24 @@ def geo_cascade_weighted(t):
 @query()
 def greedy_rescue(t):
     rows = t.part.select("p_partkey", "p_brand", text.compress_alpha(F.col("p_name")).alias("k"))
-    return link.greedy_rescue(rows, "p_brand", "p_partkey", "k")
+    return rescue.greedy_rescue(rows, "p_brand", "p_partkey", "k")
+
+
+def _rescue_tables(t):
+    """Labelled documents are texts, the others orphans; a volume a source, a leaf a length of text in thousands, windows the leaves' texts."""
+    word = lambda k: F.get(F.split(F.col("text"), "[ \n]+"), F.lit(k))
+    title = F.upper(F.concat_ws(" ", word(0), word(1)))
+    title = F.when(F.length("text") % 7 == 0, F.lower(title)).when(F.length("text") % 5 == 0, F.concat(title, F.lit(" ("), word(2), F.lit(")"))).otherwise(title)
+    docs = t.documents.where("text is not null").select("doc_id", F.col("source").alias("vol"), F.floor(F.col("n_chars") / 1000).cast("int").alias("leaf"), title.alias("title"), "text")
+    texts = docs.join(t.labels, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "vol", "leaf", "title")
+    orphans = docs.join(t.labels, "doc_id", "left_anti").select(F.col("doc_id").alias("orphan_id"), "vol", "leaf", "title", F.substring("text", 1, 300).alias("context"))
+    lines = docs.groupBy("vol", "leaf").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "title", "text"))), lambda d: F.concat(d["title"], F.lit(": "), F.substring(d["text"], 1, 200))), "\n\n").alias("window"))
+    return orphans, texts, lines
+
+
+@query()
+def rescue_flow(t):
+    return rescue.rescued(*_rescue_tables(t), ["THE OF", "DER UND"], lambda c: c.rlike("(?i)th|en")).select("id", "vol", "leaf", "title", F.md5("description").alias("description"), "orphan_id")
 
 
 @query("""SELECT d.doc_id, CASE WHEN l.quality = 0 THEN 'low' ELSE d.source END AS source FROM documents d LEFT JOIN labels l USING (doc_id)""")

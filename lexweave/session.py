@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -34,7 +34,28 @@ def scratch(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="lexweave-")
-    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    _named.append(path)
+    return path
+
+
+_named: list[str] = []
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write df to a folder of its own that all executors share and read it back: its lineage and its plan end there."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete what queries of this process have left under scratch(), once their results are no longer read; how many folders went."""
+    gone = 0
+    while _named:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_named.pop())
+        gone += at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return gone
 
 
 def make_importable(spark: SparkSession) -> SparkSession:

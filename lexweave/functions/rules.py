@@ -5,10 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def from_rows(frame: DataFrame, most: int = 1000) -> list[tuple[str, str, str]]:
+    """Rules (pattern, replacement, label) of rows (priority, pattern, replacement, label), in order of priority, pattern and replacement; null patterns go.
+
+    Rules become part of the plan, so more than `most` of them are refused.
+    """
+    rows = frame.where("pattern is not null").orderBy("priority", "pattern", "replacement").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rules: they become expressions of one plan")
+    return [(r["pattern"], r["replacement"] or "", r["label"]) for r in rows]
+
+
 def rewrite(x: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
     """All (pattern, replacement, label) rules, one after another, then trimmed."""
     return F.trim(reduce(lambda y, rule: F.regexp_replace(y, rule[0], rule[1]), rules, x))

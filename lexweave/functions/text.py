@@ -3,30 +3,61 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import reduce
+from collections.abc import Sequence
+from functools import lru_cache, reduce
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _latin_fold() -> tuple[str, str]:
-    """Latin letters that decompose into a base letter and marks, and those base letters."""
-    pairs = [(c, unicodedata.normalize("NFD", c)) for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)])]
-    pairs = [(c, d[0]) for c, d in pairs if len(d) > 1 and all(unicodedata.category(x) == "Mn" for x in d[1:])]
-    return "".join(c for c, _ in pairs), "".join(d for _, d in pairs)
+HANGUL = (0xAC00, 0xD7A3)
+#: Code points beyond these planes decompose into nothing and are no marks.
+DECOMPOSING = (range(HANGUL[0]), range(HANGUL[1] + 1, 0xD800), range(0xF900, 0x20000), range(0x2F800, 0x2FA20), range(0xE0100, 0xE01F0))
 
 
-FOLD_FROM, FOLD_TO = _latin_fold()
+@lru_cache
+def _fold_table(marks: str | None) -> tuple[str, str, dict[str, str]]:
+    """On two levels: letters that become one letter (or, at the end of the first string, nothing), and those that become several.
+
+    From canonical decompositions without what is in `marks`, or without all nonspacing marks.
+    """
+    one, gone, many = {}, [], {}
+    for c in map(chr, chain(*DECOMPOSING)):
+        if unicodedata.decomposition(c) or unicodedata.combining(c) or unicodedata.category(c) == "Mn":
+            left = "".join(d for d in unicodedata.normalize("NFD", c) if (d not in marks if marks else unicodedata.category(d) != "Mn"))
+            if not left:
+                gone.append(c)
+            elif left != c:
+                (one if len(left) == 1 else many)[c] = left
+    return "".join([*one, *gone]), "".join(one.values()), many
+
+
+def _jamo(c: Column) -> Column:
+    """A Hangul syllable as the two or three letters that it is made of."""
+    at = F.ascii(c) - HANGUL[0]
+    letter = lambda first, count, n: F.element_at(F.array(*[F.lit(chr(first + k) if first + k != 0x11A7 else "") for k in range(count)]), n.cast("int") + 1)
+    return F.concat(letter(0x1100, 19, F.floor(at / 588)), letter(0x1161, 21, F.floor(at % 588 / 28)), letter(0x11A7, 28, at % 28))
+
+
+def _folded(x: Column, marks: str | None = None) -> Column:
+    """Canonical decomposition without marks; only texts with such letters take the way of those that become several."""
+    letters, to, many = _fold_table(marks)
+    plain = F.translate(x, letters, to)
+    several = F.create_map(*[F.lit(v) for pair in many.items() for v in pair])
+    syllable = f"[{chr(HANGUL[0])}-{chr(HANGUL[1])}]"
+    each = F.transform(F.split(plain, ""), lambda c: F.when(c.rlike(syllable), _jamo(c)).otherwise(F.coalesce(several[c], c)))
+    return F.when(plain.rlike(f"[{chr(HANGUL[0])}-{chr(HANGUL[1])}{''.join(many)}]"), F.array_join(each, "")).otherwise(plain)
 
 
 def fold_accents(x: Column) -> Column:
-    """Letters without their marks; loose combining marks go."""
-    return F.regexp_replace(F.translate(x, FOLD_FROM, FOLD_TO), r"\p{Mn}", "")
+    """Letters of all scripts without their marks: canonical decomposition without nonspacing marks."""
+    return _folded(x)
 
 
 def search_fold(x: Column) -> Column:
-    """What search compares: lower case first, then without marks U+0300 to U+036F."""
-    return F.regexp_replace(F.translate(F.lower(x), FOLD_FROM, FOLD_TO), "[\\u0300-\\u036F]", "")
+    """What search compares: lower case first, then decomposed, without marks U+0300 to U+036F."""
+    return _folded(F.lower(x), "".join(map(chr, range(0x300, 0x370))))
 
 
 def compress_alnum(x: Column) -> Column:
@@ -69,7 +100,7 @@ def link_key(x: Column) -> Column:
 
 
 #: Articles that may lead a name, as written; fixed values.
-ARTICLES = ("S'", "s'", "L'", "l'", "N'", "n'", "es ", "Es ", "ES ", "sa ", "Sa ", "SA ", "el ", "El ", "EL ", "la ", "La ", "LA ", "els ", "Els ", "ELS ", "les ", "Les ", "LES ", "ses ", "Ses ", "SES ", "sos ", "Sos ", "SOS ", "so ", "So ", "na ", "Na ", "en ", "En ")
+ARTICLES = ("S'", "s'", "L'", "l'", "es ", "Es ", "ES ", "sa ", "Sa ", "SA ", "el ", "El ", "EL ", "la ", "La ", "LA ", "els ", "Els ", "ELS ", "les ", "Les ", "LES ", "ses ", "Ses ", "SES ", "sos ", "Sos ", "SOS ", "so ", "So ", "na ", "Na ", "en ", "En ", "n'", "N'")
 #: Capitalised ones that are lowered at the head of a name, and signs that a place-name key hasn't; fixed values.
 LOWERED_ARTICLES = ("Es ", "Sa ", "El ", "La ", "Els ", "Les ")
 KEY_SIGNS = ".,;:¡¿!?()[]{}«»\"'`"
@@ -88,15 +119,28 @@ def article_lower(x: Column) -> Column:
     return F.concat(F.lower(head), F.substring(x, F.length(head) + 1, F.length(x)))
 
 
-def name_variants(x: Column, synonyms: dict[str, str]) -> Column:
-    """Spellings a name may be listed under: as is, without its parenthesis, parenthesis first, words by synonyms; sorted, distinct."""
+#: What may stand in a name's parenthesis, as a pattern of its start, and the heads under which the name is then listed; fixed values.
+TURNED_HEADS = ((r"(?:[Ss]on|SON|so|SO|[Cc]an|CAN)\)", ("SON", "CA")), ("cabo", ("CABO", "CAP")), ("cala", ("CALA",)))
+#: A name's first word, and the words that it is also listed under; fixed values.
+SWAPPED_HEADS = (("CAS", ("CAS", "CA", "CAN")), ("CA", ("CA", "CAN", "CANA")))
+
+
+def name_variants(x: Column, synonyms: dict[str, str], turned_heads: Sequence[tuple[str, Sequence[str]]] = TURNED_HEADS, swapped_heads: Sequence[tuple[str, Sequence[str]]] = SWAPPED_HEADS) -> Column:
+    """Spellings a name may be listed under: as is, without its parenthesis, parenthesis first, words by synonyms, with the heads that its parenthesis stands for and those that its first word swaps with; sorted, distinct."""
     bare = F.trim(F.regexp_replace(F.regexp_replace(x, r"\([^)]*\)", " "), " +", " "))
     inner = F.regexp_extract(x, r"\(([^)]*)\)", 1)
     turned = F.when(inner != "", F.concat_ws(" ", inner, bare))
     table = F.create_map(*[F.lit(v) for pair in synonyms.items() for v in pair]) if synonyms else None
     mapped = F.array_join(F.transform(F.split(bare, " "), lambda w: F.coalesce(table[w], w)), " ") if synonyms else bare
-    keys = F.transform(F.array(x, bare, turned, mapped), lambda v: compress_alpha(v))
-    return F.array_sort(F.array_distinct(F.filter(keys, lambda v: v.isNotNull() & (v != ""))))
+    keys = [compress_alpha(v) for v in (x, bare, turned, mapped)]
+    before = compress_alpha(F.substring_index(x, "(", 1))
+    for inside, heads in turned_heads:
+        keys += [F.when(x.rlike(rf"^[^(]*[^(\s]\s*\((?:{inside})") & (before != ""), F.concat(F.lit(h), before)) for h in heads]
+    upper = F.upper(fold_accents(x))
+    for word, heads in swapped_heads:
+        rest = F.regexp_extract(upper, rf"^{word}\s+([A-Z]{{2,}})", 1)
+        keys += [F.when(rest != "", F.concat(F.lit(h), rest)) for h in heads]
+    return F.array_sort(F.array_distinct(F.filter(F.array(*keys), lambda v: v.isNotNull() & (v != ""))))
 
 
 def collapse(x: Column) -> Column:

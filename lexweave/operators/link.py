@@ -101,26 +101,28 @@ def neighbour_probe(rows: DataFrame, pages: DataFrame, block: list[str], at: str
     return keep_first(found, rows.columns, [order[F.col("offset")]]).drop("_page")
 
 
-def geocode(places: DataFrame, gazetteer: DataFrame, overrides: DataFrame, parents: DataFrame, centroids: DataFrame, score: Callable[[Column, Column], Column], floor: float, bound: float = 0.0, most: int = 10, farms: list[str] | None = None) -> DataFrame:
+def geocode(places: DataFrame, gazetteer: DataFrame, overrides: DataFrame, parents: DataFrame, centroids: DataFrame, score: Callable[[Column, Column], Column], floor: float, bound: float = 0.0, most: int = 10, farms: list[str] | None = None, oldest: str = "historical", chief: str = "Municipi") -> DataFrame:
     """places (id, key, parent, region) to (id, tier, lon, lat, matched): the first tier that answers.
 
-    curated override; exact key in the region (own parent first, then the
-    smallest name); fuzzy in the region at `floor` and a length of at least
+    curated override; exact key in the region (own parent first, then rows of
+    the source `oldest`, then types that hold `chief`, then the smallest name); fuzzy in the region at `floor` and a length of at least
     max(4, 0.6 of the key's), of the `most` best of which the own parent's come
     first; the parent's own place; the region's centroid. `bound` is the least
     ratio by lengths that can reach the floor under the score. Gazetteer rows
     of a type in `farms` count as fuzzy hits only in the own parent. Only
     distinct pairs of keys are scored.
     """
-    if "type" not in gazetteer.columns:
-        gazetteer = gazetteer.withColumn("type", F.lit(None).cast("string"))
-    gaz = gazetteer.select(F.col("region"), F.col("key").alias("g_key"), F.col("parent").alias("g_parent"), F.col("name").alias("matched"), "lon", "lat", "type").where("length(g_key) >= 3")
+    for c in {"type", "source"} - set(gazetteer.columns):
+        gazetteer = gazetteer.withColumn(c, F.lit(None).cast("string"))
+    gaz = gazetteer.select(F.col("region"), F.col("key").alias("g_key"), F.col("parent").alias("g_parent"), F.col("name").alias("matched"), "lon", "lat", "type", "source").where("length(g_key) >= 3")
     cols = ["id", "tier", "lon", "lat", "matched"]
     own = F.coalesce(F.col("parent") == F.col("g_parent"), F.lit(False)).cast("int").desc()
     one = places.join(overrides, "key").select("id", F.lit("curated").alias("tier"), "lon", "lat", F.col("key").alias("matched"))
     left = places.join(one, "id", "left_anti")
     hits = left.join(gaz, (left["region"] == gaz["region"]) & (left["key"] == gaz["g_key"]))
-    two = keep_first(hits, ["id"], [own, "matched", "lon"]).select("id", F.lit("exact").alias("tier"), "lon", "lat", "matched")
+    old = F.coalesce(F.col("source") == oldest, F.lit(False)).cast("int").desc()
+    main = F.coalesce(F.col("type").contains(chief), F.lit(False)).cast("int").desc()
+    two = keep_first(hits, ["id"], [own, old, main, "matched", "lon"]).select("id", F.lit("exact").alias("tier"), "lon", "lat", "matched")
     left = left.join(two, "id", "left_anti")
     long_enough = F.length("g_key") >= F.greatest(F.lit(4), F.floor(F.length("key") * 0.6).cast("int"))
     agrees = F.coalesce(F.col("parent") == F.col("g_parent"), F.lit(False)) | ~F.coalesce(F.col("type").isin(farms or []), F.lit(False))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +21,11 @@ def hocr_paragraphs(volumes: DataFrame, content: str = "content", flush_at_end:
     hold exactly one; an encoded one is none. Paragraphs without text go.
     """
     pages = F.split(F.regexp_replace(F.col(content), r"<div[^>]*ocr_page[^>]*>", MARK + "$0"), MARK)
-    page = volumes.select("vol", F.posexplode(pages).alias("nth", "page")).where("nth > 0")
+    page = volumes.select("vol", F.size(pages).alias("n_pages"), F.posexplode(pages).alias("nth", "page")).where("nth > 0")
     page = page.withColumn("leaf", F.regexp_extract("page", r"id=[\"'][A-Za-z_]*0*(\d+)[\"']", 1).cast("int"))
+    page = page.withColumn("last_page", F.col("nth") == F.col("n_pages") - 1)
     if leaves is not None:
         page = page.where(F.col("leaf").isin(leaves))
-    last = F.col("nth") == F.max("nth").over(Window.partitionBy("vol"))
-    page = page.withColumn("last_page", last)
     parts = F.split(F.regexp_replace("page", r"<p[^>]*ocr_par[^>]*>", MARK), MARK)
     par = page.select("vol", "leaf", "last_page", F.size(parts).alias("n"), F.posexplode(parts).alias("par_no", "raw")).where("par_no > 0")
     if not flush_at_end:
@@ -41,11 +44,37 @@ def html_paragraphs(pages: DataFrame, key: str = "page_id", html: str = "html")
     return rows.select(key, "par_no", F.trim(F.regexp_replace(body, r"[ \n\t\r]+", " ")).alias("text"))
 
 
+def opener_table(pattern: str, key_type: str):
+    """A table function of (key, text) rows: (key, nth, start, end, lemma, body) of a text's openers.
+
+    The lemma is the pattern's first group, or else all that it matches; a body
+    runs from there to the next opener or the text's end. Places are characters
+    from 0: `start` that of the opener, `end` that after the body. Patterns are
+    Python's; null texts give no rows.
+    """
+    found = re.compile(pattern)
+
+    @F.arrow_udtf(returnType=f"key {key_type}, nth int, start int, end int, lemma string, body string")
+    class Openers:
+        def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
+            which: list[int] = []
+            out: list[tuple] = []
+            for i, text in enumerate(rows.column(1).to_pylist()):
+                hits = list(found.finditer(text or ""))
+                ends = [*(h.start() for h in hits[1:]), len(text or "")]
+                which += [i] * len(hits)
+                out += [(n, h.start(), e, h[1] if found.groups else h[0], text[h.end() : e]) for n, (h, e) in enumerate(zip(hits, ends, strict=False), 1)]
+            columns = list(zip(*out, strict=True)) or [[]] * 5
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string())
+            yield pa.table([rows.column(0).take(pa.array(which, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["key", "nth", "start", "end", "lemma", "body"])
+
+    return Openers
+
+
 def openers(texts: DataFrame, key: str, text: str, opener: str) -> DataFrame:
-    """Rows (key, nth, lemma, body): a body runs from its opener's end to the next opener's start."""
-    parts = F.split(F.regexp_replace(text, f"({opener})", MARK + "$1\u0002"), MARK)
-    rows = texts.select(key, F.posexplode(parts).alias("nth", "part")).where("nth > 0")
-    return rows.select(key, "nth", F.substring_index("part", "\u0002", 1).alias("lemma"), F.regexp_extract("part", "(?s)\u0002(.*)$", 1).alias("body"))
+    """Rows (key, nth, start, end, lemma, body) of opener_table(), the key under its own name."""
+    rows = texts.select(key, F.col(text).cast("string"))
+    return opener_table(opener, rows.schema[key].dataType.simpleString())(rows.asTable()).withColumnRenamed("key", key)
 
 
 def entry(text: Column, strict: str, loose: str, body_marker: str) -> Column:
@@ -58,9 +87,13 @@ def entry(text: Column, strict: str, loose: str, body_marker: str) -> Column:
 
 
 def best_paragraph(texts: DataFrame, key: str, text: str, header: str, opener: str, signal: str) -> DataFrame:
-    """Rows (key, par_no, paragraph): of the paragraphs with an opener those with the signal first, then the longest, then the first."""
-    rows = texts.select(key, F.posexplode(F.split(text, "\n")).alias("par_no", "paragraph"))
-    rows = rows.where(~F.col("paragraph").rlike(header) & F.col("paragraph").rlike(opener))
+    """Rows (key, par_no, paragraph): of the paragraphs in which a line has the opener, from there on, those with the signal first, then the longest, then the first.
+
+    Blank lines part paragraphs; header lines go first. Patterns see lines: ^ and $ are theirs.
+    """
+    plain = F.regexp_replace(text, f"(?m){header}", "")
+    rows = texts.select(key, F.posexplode(F.split(plain, r"\n\s*\n")).alias("par_no", "whole")).where(F.col("whole").rlike(f"(?m){opener}"))
+    rows = rows.select(key, "par_no", F.trim(F.regexp_extract("whole", f"(?m)(?:{opener})[\\s\\S]*", 0)).alias("paragraph"))
     order = Window.partitionBy(key).orderBy(F.col("paragraph").rlike(signal).cast("int").desc(), F.length("paragraph").desc(), "par_no")
     return rows.withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
 

@@ -193,3 +193,17 @@ def modern_names(t):
     lon = F.when(i % 3 != 0, i * F.lit(1.5))
     gaz = t.nation.select(i.alias("id"), F.col("n_regionkey").alias("region"), F.col("n_name").alias("name"), lon.alias("lon"), lon.alias("lat"), modern.alias("modern"))
     return link.placed_by_modern_name(gaz, indel_ratio, 0.85, bound=0.85).select("id", F.col("lon").cast("double").alias("lon"))
+
+
+@query(f"""WITH p AS ({GEO['places']}), g AS (SELECT r_name AS region, n_name AS key, 'P' || (c_custkey % 6) AS parent, c_name AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'historical' ELSE 'modern' END AS source, CASE WHEN c_custkey % 5 = 0 THEN 'Municipi' ELSE 'Nucli' END AS type, c_custkey * 0.5::DOUBLE AS lon
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+h AS (SELECT id, name, lon, row_number() OVER (PARTITION BY id ORDER BY (p.parent = g.parent)::INT DESC, (source = 'historical')::INT DESC, (type = 'Municipi')::INT DESC, name, lon) AS nth FROM p JOIN g ON p.region = g.region AND p.key = g.key WHERE p.key <> 'curated place')
+SELECT id, name AS matched, lon FROM h WHERE nth = 1""")
+def geo_exact_order(t):
+    """Of several equal names the own parent's, the oldest source's, the chief type's first."""
+    places, _, overrides, parents, centroids = _geo_tables(t)
+    i = F.col("c_custkey")
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    gaz = named.select(F.col("r_name").alias("region"), F.col("n_name").alias("key"), F.concat(F.lit("P"), i % 6).alias("parent"), F.col("c_name").alias("name"), F.when(F.col("c_mktsegment") == "BUILDING", "historical").otherwise("modern").alias("source"), F.when(i % 5 == 0, "Municipi").otherwise("Nucli").alias("type"), (i * F.lit(0.5)).alias("lon"), F.lit(0.0).alias("lat"))
+    got = link.geocode(places, gaz, overrides, parents, centroids, indel_ratio, 0.9, bound=0.9)
+    return got.where("tier = 'exact'").select("id", "matched", F.col("lon").cast("double").alias("lon"))

@@ -7,7 +7,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexweave import schemas
-from lexweave.operators.segment import hocr_paragraphs
 from lexweave.plans.common import Query, registrar
 from lexweave.session import scratch
 from lexweave.sources import readers, sinks
@@ -17,18 +16,32 @@ SQL: dict[str, str] = {}
 query = registrar(QUERIES, SQL)
 
 
-@query("SELECT conv_id, turn AS par_no, regexp_replace(text, '[^A-Za-z]', '', 'g') AS line FROM conversations WHERE regexp_replace(text, '[^A-Za-z]', '', 'g') <> ''")
-def hocr_round_trip(t):
-    """A volume a conversation, a paragraph a turn, a span a letter; turns are numbered from their place."""
+LETTERS = "regexp_replace(text, '[^A-Za-z]', '', 'g')"
+TURNS = f"SELECT lpad((conv_id % 16 + 1)::VARCHAR, 2, '0') AS vol, conv_id AS leaf, (row_number() OVER (PARTITION BY conv_id ORDER BY turn))::INT AS par_no, {LETTERS} AS text FROM conversations"
+
+
+def _volumes(t, **options) -> str:
+    """Sixteen volumes of markup: a page a conversation, a paragraph a turn, a span a letter."""
     spans = F.regexp_replace(F.regexp_replace("text", "[^A-Za-z]", ""), "(.)", "<span class='c'>$1</span>")
     turns = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", spans.alias("s")))).alias("turns"))
-    body = F.array_join(F.transform("turns", lambda x: F.concat(F.lit("<p class='ocr_par' title='"), x["turn"], F.lit("'>"), x["s"], F.lit("</p>"))), "")
+    body = F.array_join(F.transform("turns", lambda x: F.concat(F.lit("<p class='ocr_par' title='"), x["turn"], F.lit("'>\n"), x["s"], F.lit("</p>\n"))), "")
+    page = F.concat(F.lit("<div class='ocr_page' id='page_"), F.lpad(F.col("conv_id").cast("string"), 6, "0"), F.lit("'>\n"), body, F.lit("</div>"))
     path = scratch(t.spark)
-    turns.select(F.concat(F.lit("<div class='ocr_page' id='page_"), "conv_id", F.lit("'>"), body, F.lit("</div>")).alias("value")).repartition(4).write.option("compression", "gzip").text(path)
-    files = t.spark.read.text(path).select(F.lit("00").alias("vol"), F.col("value").alias("content"))
-    got = hocr_paragraphs(files)
-    order = t.conversations.select(F.col("conv_id").alias("leaf"), F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")).alias("par_no"), F.col("turn"))
-    return got.join(order, ["leaf", "par_no"]).select(F.col("leaf").cast("long").alias("conv_id"), F.col("turn").alias("par_no"), F.col("text").alias("line"))
+    turns.select(page.alias("value"), F.lpad((F.col("conv_id") % 16 + 1).cast("string"), 2, "0").alias("vol")).repartition(16, "vol").write.partitionBy("vol").options(**options).text(path)
+    return path
+
+
+@query(f"SELECT * FROM ({TURNS}) WHERE text <> ''")
+def hocr_round_trip(t):
+    """Gzipped volumes, each read as a whole."""
+    return readers.hocr(t.spark, _volumes(t, compression="gzip"), vol=r"vol=(\d{2})").withColumn("leaf", F.col("leaf").cast("long"))
+
+
+@query(f"SELECT * FROM ({TURNS}) WHERE text <> '' AND leaf IN (0, 1, 2, 17, 33, 40, 64, 99999999)")
+def hocr_leaves(t):
+    """Plain volumes in ranges of 64 KB, of which a set of leaves is read."""
+    got = readers.hocr(t.spark, _volumes(t), vol=r"vol=(\d{2})", split=64 << 10)
+    return got.where(F.col("leaf").isin(0, 1, 2, 17, 33, 40, 64, 99999999)).withColumn("leaf", F.col("leaf").cast("long"))
 
 
 @query("SELECT p_partkey::INT AS leaf, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS page_printed FROM part")

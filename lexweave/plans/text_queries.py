@@ -180,10 +180,19 @@ def html_paragraphs(t):
     return segment.html_paragraphs(t.pages).select("page_id", "par_no", F.md5("text").alias("digest"))
 
 
-@query("""SELECT doc_id, i::INT AS nth, regexp_extract(p[i+1], '^[A-Z][a-z]+', 0) AS lemma, md5(regexp_replace(p[i+1], '^[A-Z][a-z]+', '')) AS body FROM
-(SELECT doc_id, p, unnest(range(1, len(p))) AS i FROM (SELECT doc_id, string_split(regexp_replace(text, '([A-Z][a-z]+)', chr(1) || '\\1', 'g'), chr(1)) AS p FROM documents))""")
+@query("""SELECT doc_id, i::INT AS nth, before::INT AS start, (before + length(p[i+1]))::INT AS "end", regexp_extract(p[i+1], '^[A-Z][a-z]+', 0) AS lemma, md5(regexp_replace(p[i+1], '^[A-Z][a-z]+', '')) AS body FROM
+(SELECT doc_id, p, i, list_sum(list_transform(p[1:i], lambda x: length(x))) AS before FROM (SELECT doc_id, p, unnest(range(1, len(p))) AS i FROM (SELECT doc_id, string_split(regexp_replace(text, '([A-Z][a-z]+)', chr(1) || '\\1', 'g'), chr(1)) AS p FROM documents)))""")
 def openers(t):
-    return segment.openers(t.documents, "doc_id", "text", "[A-Z][a-z]+").select("doc_id", "nth", "lemma", F.md5("body").alias("body"))
+    return segment.openers(t.documents, "doc_id", "text", "[A-Z][a-z]+").select("doc_id", "nth", "start", "end", "lemma", F.md5("body").alias("body"))
+
+
+@query("""WITH r AS (SELECT row_number() OVER (ORDER BY r_regionkey DESC) AS n, '_' || r_regionkey || '(\\d)' AS pattern, '/' || lower(r_name) || '\\1' AS replacement FROM region WHERE r_regionkey > 0)
+SELECT n_name, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(n_name, (SELECT pattern FROM r WHERE n = 1), (SELECT replacement FROM r WHERE n = 1), 'g'), (SELECT pattern FROM r WHERE n = 2), (SELECT replacement FROM r WHERE n = 2), 'g'),
+(SELECT pattern FROM r WHERE n = 3), (SELECT replacement FROM r WHERE n = 3), 'g'), (SELECT pattern FROM r WHERE n = 4), (SELECT replacement FROM r WHERE n = 4), 'g')) AS name FROM nation""")
+def rules_from_rows(t):
+    """Rules kept as rows, applied in order of their priority."""
+    row = t.region.where("r_regionkey > 0").select((-F.col("r_regionkey")).alias("priority"), F.concat(F.lit("_"), "r_regionkey", F.lit(r"(\d)")).alias("pattern"), F.concat(F.lit("/"), F.lower("r_name"), F.lit("$1")).alias("replacement"), F.col("r_name").alias("label"))
+    return t.nation.select("n_name", rules.rewrite(F.col("n_name"), rules.from_rows(row)).alias("name"))
 
 
 STRICT = "^([A-Z][a-z]+) ((?:of|the|and) [^.]*)[.]"
@@ -196,10 +205,11 @@ def entry_grammar(t):
     return t.documents.select("doc_id", segment.entry(F.col("text"), STRICT, LOOSE, "th").alias("e")).select("doc_id", "e.title", "e.loose")
 
 
-@query("""SELECT doc_id, par_no, digest FROM (SELECT doc_id, (i - 1)::INT AS par_no, md5(ps[i]) AS digest, row_number() OVER (PARTITION BY doc_id ORDER BY regexp_matches(ps[i], 'the')::INT DESC, length(ps[i]) DESC, i) AS place
-FROM (SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ps FROM documents)) WHERE NOT regexp_matches(ps[i], '^(Licensed|All rights)') AND regexp_matches(ps[i], '^[A-Z]')) WHERE place = 1""")
+@query(r"""SELECT doc_id, par_no, md5(p) AS digest FROM (SELECT doc_id, par_no, p, row_number() OVER (PARTITION BY doc_id ORDER BY regexp_matches(p, 'the')::INT DESC, length(p) DESC, par_no) AS place
+FROM (SELECT doc_id, (i - 1)::INT AS par_no, trim(regexp_extract(ps[i], '(?m)(?:^[A-Z])(?:.|\n)*', 0), ' ') AS p FROM
+(SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM (SELECT doc_id, regexp_split_to_array(regexp_replace(text, '(?m)^(?:Licensed|All rights).*$', '', 'g'), '\n\s*\n') AS ps FROM documents)) WHERE regexp_matches(ps[i], '(?m)^[A-Z]'))) WHERE place = 1""".replace("\\\\", "\\"))
 def best_paragraph(t):
-    return segment.best_paragraph(t.documents, "doc_id", "text", "^(Licensed|All rights)", "^[A-Z]", "the").select("doc_id", "par_no", F.md5("paragraph").alias("digest"))
+    return segment.best_paragraph(t.documents, "doc_id", "text", "^(?:Licensed|All rights).*$", "^[A-Z]", "the").select("doc_id", "par_no", F.md5("paragraph").alias("digest"))
 
 
 @query("""WITH have AS (SELECT conv_id, turn, text FROM conversations WHERE turn % 5 <> 3)

@@ -9,13 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexweave import schemas
-from lexweave.operators.segment import hocr_paragraphs
+from lexweave.sources.hocr_source import HocrSource
 
 
-def hocr(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Paragraphs (vol, leaf, par_no, text) of OCR markup files, gzipped or not; vol is the two digits in a file's name."""
-    files = spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_path", r"(\d{2})[^/]*$", 1).alias("vol"), F.col("value").alias("content"))
-    return hocr_paragraphs(files, **options)
+def hocr(spark: SparkSession, path: str, flush_at_end: bool = True, vol: str = r"(\d{2})[^/]*$", split: int = 64 << 20) -> DataFrame:
+    """Paragraphs (vol, leaf, par_no, text) of OCR markup files, gzipped or not; `vol` is a pattern of paths whose group 1 is the volume.
+
+    Filters on vol and leaf reach the reader: other volumes' files aren't
+    opened, other leaves not parsed. Plain files are read in ranges of `split` bytes.
+    """
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(HocrSource)
+    return spark.read.format("hocr").options(vol=vol, split=split, flush=str(flush_at_end).lower()).load(path)
 
 
 def page_map(spark: SparkSession, path: str) -> DataFrame:

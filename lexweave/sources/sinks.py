@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,22 +32,82 @@ def replace_table(df: DataFrame, path: str) -> None:
     fs.delete(old, True)
 
 
-def replace_version(df: DataFrame, path: str) -> None:
-    """Write a new version under the folder; readers of current() see the old rows up to the moment when the version is complete."""
-    numbers = [int(v[2:]) for v in _versions(df.sparkSession, path)]
-    df.write.parquet(f"{path.rstrip('/')}/v={max(numbers, default=0) + 1:08d}")
+class Conflict(Exception):
+    """Another writer has committed after the version that a commit was made from."""
 
 
-def current(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete version under the folder."""
-    return spark.read.parquet(f"{path.rstrip('/')}/{max(_versions(spark, path))}")
+def replace_version(df: DataFrame, path: str, base: int | None = None) -> int:
+    """Write df as the next version of the table under `path`, and give its number.
 
-
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    Rows go to a folder of their own; the version exists once its entry in the
+    log does, which is moved there whole and never over another. So a writer
+    that dies leaves a folder that nobody reads, and of two writers of one
+    number one gets the next, or, if it names the `base` it was made from (0:
+    none), an error. Moves without overwriting are as atomic as the file
+    system's.
+    """
+    spark, root = df.sparkSession, path.rstrip("/")
+    data = f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{data}")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    part, at = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{root}/_log/.{data}", f"{root}/{data}"))
+    fs = part.getFileSystem(conf)
+    out = fs.create(part, True)
+    out.write(bytearray(data.encode()))
+    out.close()
+    number = base if base is not None else max(versions(spark, path), default=0)
+    while True:
+        number += 1
+        try:
+            files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(part.toUri(), conf)
+            never_over = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+            files.rename(fs.makeQualified(part), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{root}/_log/{number:020d}")), never_over)
+            return number
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+            if base is not None:
+                fs.delete(part, False)
+                fs.delete(at, True)
+                raise Conflict(f"version {number} of {path} is there already") from None
+
+
+def versions(spark: SparkSession, path: str) -> dict[int, str]:
+    """The folders of the committed versions."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_log")
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
-    return [n for n in names if n.startswith("v=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{n}/_SUCCESS"))]
+    numbers = sorted(int(n) for n in names if n.isdigit())
+    if not numbers:
+        return {}
+    rows = spark.read.text([f"{path.rstrip('/')}/_log/{n:020d}" for n in numbers]).select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).cast("int").alias("n")).collect()  # a row a version
+    return {r["n"]: f"{path.rstrip('/')}/{r['value']}" for r in rows}
+
+
+def current(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The newest version under the folder, or one by number."""
+    there = versions(spark, path)
+    return spark.read.parquet(there[max(there) if version is None else version])
+
+
+def clear_versions(spark: SparkSession, path: str, keep: int = 2, older_than: float = 86400) -> list[str]:
+    """Delete all versions but the newest `keep`, and folders of no version that are older than so many seconds (younger ones may be of writers at work); their names."""
+    jvm, root = spark._jvm, path.rstrip("/")
+    there = versions(spark, path)
+    gone = {n: f for n, f in there.items() if n not in sorted(there)[-keep:]}
+    at = jvm.org.apache.hadoop.fs.Path(root)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for n in gone:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/_log/{n:020d}"), False)
+    kept = {f.rsplit("/", 1)[-1] for n, f in there.items() if n not in gone}
+    old = {f.rsplit("/", 1)[-1] for f in gone.values()}
+    out = []
+    for s in fs.listStatus(at):
+        name = s.getPath().getName()
+        if name.startswith("data-") and name not in kept and (name in old or s.getModificationTime() < (time.time() - older_than) * 1000):
+            fs.delete(s.getPath(), True)
+            out.append(name)
+    return sorted(out)
 
 
 def json_array(rows: DataFrame, order: list[str], *by: str) -> DataFrame:

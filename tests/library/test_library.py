@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexweave.functions import rules, similarity, text
-from lexweave.operators import classify, link, segment, serve
+from lexweave.operators import classify, link, rescue, segment, serve
 from lexweave.plans import common, link_queries, registry
 from lexweave.sources import readers, sinks
 from lexweave.streaming import ingest
@@ -88,7 +88,7 @@ def test_hocr(spark, tmp_path):
         f.write(HOCR)
     got = [tuple(r) for r in readers.hocr(spark, str(tmp_path)).orderBy("leaf", "par_no").collect()]
     assert got == [("03", 7, 1, "Ab"), ("03", 7, 2, "c"), ("03", 9, 2, "d")]
-    assert [r["text"] for r in readers.hocr(spark, str(tmp_path), flush_at_end=False, leaves=[9]).collect()] == []
+    assert [r["text"] for r in readers.hocr(spark, str(tmp_path), flush_at_end=False).where("leaf = 9").collect()] == []
 
 
 def test_readers(spark, tmp_path):
@@ -135,7 +135,7 @@ def test_sinks(spark, tmp_path):
 def test_segments(spark):
     df = spark.createDataFrame([(1, "xx ONE a TWO b"), (2, "none"), (3, "END")], "k int, t string")
     got = [tuple(r) for r in segment.openers(df, "k", "t", "[A-Z]{3}").orderBy("k", "nth").collect()]
-    assert got == [(1, 1, "ONE", " a "), (1, 2, "TWO", " b"), (3, 1, "END", "")]
+    assert got == [(1, 1, 3, 9, "ONE", " a "), (1, 2, 9, 14, "TWO", " b"), (3, 1, 0, 3, "END", "")]
     leaves = spark.createDataFrame([("1", 1, "a"), ("1", 2, " "), ("1", 3, "c"), ("1", 9, "z")], "vol string, leaf int, text string")
     got = {r["leaf"]: r["continuations"] for r in segment.continuation_windows(leaves, leaves, "vol", "leaf", "text", 4).collect()}
     assert got == {1: ["c"], 2: ["c"], 3: [], 9: []}
@@ -157,7 +157,7 @@ def test_linking(spark):
     got = {r["tid"]: (r["iid"], r["tier"]) for r in link.link_cascade(t, i, ["v"], "tid", "t", "iid", "i", 0.85).collect()}
     assert got == {1: (10, "exact"), 2: (10, "prefix"), 3: (12, "fuzzy"), 4: (None, "none"), 5: (None, "none"), 6: (None, "none")}
     rows = spark.createDataFrame([(1, "b", "CASA"), (2, "b", "CASA"), (3, "b", "CASAS"), (4, "b", "MOLI"), (5, "c", "CASA"), (6, "b", "")], "id int, b string, k string")
-    assert sorted(r["id"] for r in link.greedy_rescue(rows, "b", "id", "k").collect()) == [1, 4, 5]
+    assert sorted(r["id"] for r in rescue.greedy_rescue(rows, "b", "id", "k").collect()) == [1, 4, 5]
     for df in (link.fuzzy_pairs(t, i, ["v"], "t", "i", 0.8), link.covered(t, i, ["v"], "t", "i", 0.8)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan

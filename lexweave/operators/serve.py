@@ -101,6 +101,12 @@ def natural_order(x: Column, width: int = 12) -> Column:
     return F.regexp_replace(padded, rf"0+(\d{{{width}}})(?!\d)", "$1")
 
 
+def locale_order(x: Column, locale: str = "ca", width: int = 12) -> Column:
+    """A key that orders texts as readers of a language expect, letters of its alphabet, marks and case each at their level, and runs of digits as numbers."""
+    padded = F.regexp_replace(F.regexp_replace(x, r"(\d+)", F.lit("0" * width + "$1")), rf"0+(\d{{{width}}})(?!\d)", "$1")
+    return F.collate(padded, locale)
+
+
 def facet_order(counts: DataFrame, natural: list[str], ranked: dict[str, list[str]]) -> DataFrame:
     """Rows (facet, value, n) with place: by natural order, by a given rank (values that it lacks last), else by count, most first, then value."""
     rank = F.lit(None).cast("int")
@@ -112,12 +118,6 @@ def facet_order(counts: DataFrame, natural: list[str], ranked: dict[str, list[st
     return counts.withColumn("place", F.row_number().over(w))
 
 
-def glossary(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
-    """df with place, by a column without case and marks, then as written."""
-    rows = df.orderBy(search_fold(F.col(column)), column)
-    return rows if top is None else rows.limit(top)
-
-
 def match_rates(df: DataFrame, tier: str = "tier", none: str = "unmatched") -> DataFrame:
     """Rows (tier, n, percent) of all rows, and of what isn't `none` as tier `matched`."""
     counts = df.groupBy(F.col(tier).alias("tier")).agg(F.count(F.lit(1)).alias("n"))

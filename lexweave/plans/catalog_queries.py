@@ -157,6 +157,23 @@ def glossary_order(t):
     return serve.places(rows, "_key", "x").select("n_name", F.col("place").cast("int").alias("place"))
 
 
+LOCAL = "translate(split_part(p_name, ' ', 2), 'oeg', CASE p_partkey % 3 WHEN 0 THEN 'òéç' WHEN 1 THEN 'oèG' ELSE 'Oeñ' END) || CASE WHEN p_partkey % 4 = 0 THEN 'l·l' ELSE 'll' END"
+
+
+@query(f"SELECT p_partkey, row_number() OVER (ORDER BY x COLLATE ca, p_size, p_partkey)::INT AS place FROM (SELECT p_partkey, p_size, {LOCAL} AS x FROM part)")
+def locale_sort(t):
+    """Catalan order: marks and case count after letters, a number counts as one."""
+    to = F.when(F.col("p_partkey") % 3 == 0, "òéç").when(F.col("p_partkey") % 3 == 1, "oèG").otherwise("Oeñ")
+    word = F.split_part("p_name", F.lit(" "), F.lit(2))
+    for k, c in enumerate("oeg", 1):
+        word = F.replace(word, F.lit(c), F.concat(F.lit("\u0001"), F.lit(str(k))))
+    for k in (1, 2, 3):
+        word = F.replace(word, F.lit(f"\u0001{k}"), F.substring(to, k, 1))
+    x = F.concat(word, F.when(F.col("p_partkey") % 4 == 0, "l·l").otherwise("ll"))
+    rows = t.part.select("p_partkey", "p_size", serve.locale_order(x).alias("_key"))
+    return serve.places(rows, "_key", "p_size", "p_partkey").select("p_partkey", F.col("place").cast("int").alias("place"))
+
+
 @query("SELECT c_nationkey, x AS category FROM (SELECT c_nationkey, unnest([c_mktsegment, 'NATION_' || c_nationkey]) AS x FROM customer)")
 def flattened_categories(t):
     """Groups of categories, each a list, flattened to one list a row and that to rows."""

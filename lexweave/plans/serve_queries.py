@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexweave.operators import serve
+from lexweave.operators import search_index, serve
 from lexweave.plans.common import Query, registrar
+from lexweave.session import scratch
 from lexweave.sources import sinks
-from lexweave.streaming.ingest import windowed_counts
+from lexweave.streaming.ingest import new_files, once, replace_leaves, windowed_counts
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -31,6 +32,14 @@ def search_topk(t):
     return serve.sorted_by(rows, "n_chars", True, "doc_id").select("doc_id", "n_chars").limit(20)
 
 
+@query("SELECT doc_id, n_chars FROM documents WHERE contains(strip_accents(lower(text)), 'this work')")
+def search_indexed(t):
+    """An index of all texts, and what holds a phrase by it."""
+    path = scratch(t.spark)
+    search_index.build(t.documents, "doc_id", F.col("text"), path)
+    return t.documents.select("doc_id", "n_chars").join(search_index.search(t.spark, path, "doc_id", "This Wórk"), "doc_id", "left_semi")
+
+
 @query("SELECT source, count(*) AS n FROM documents WHERE source <> '' GROUP BY 1 ORDER BY n DESC, source LIMIT 15")
 def frequency_top(t):
     return serve.frequencies(t.documents, "source", 15)
@@ -166,3 +175,26 @@ def plain_report(t):
 @query("SELECT l_returnflag, sum(l_quantity::DECIMAL(18,2))::DOUBLE AS quantity, sum((l_extendedprice * 100)::BIGINT)::BIGINT AS cents FROM lineitem GROUP BY 1")
 def cost_sums(t):
     return t.lineitem.groupBy("l_returnflag").agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"), F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("cents"))
+
+
+@query("SELECT conv_id, count(*) AS n, max(text) AS last FROM conversations GROUP BY 1")
+def resumed_load(t):
+    """Leaves loaded from files as they come; one batch is handed on twice, one leaf's file comes again with what it should have been."""
+    files, table = scratch(t.spark), scratch(t.spark)
+    rows = t.conversations.select("conv_id", "turn", "text")
+    load = replace_leaves(table, ["conv_id"])
+    first = rows.withColumn("text", F.when(F.col("conv_id") % 5 == 0, "damaged").otherwise(F.col("text")))
+    first.repartition(4, "conv_id").write.json(files)
+
+    def twice(batch, n):
+        load(batch, n)
+        load(batch, n)
+
+    schema = "conv_id long, turn int, text string"
+    stream = new_files(t.spark, files, schema)
+    once(stream, scratch(t.spark), twice)
+    state = scratch(t.spark)
+    once(stream, state, load)
+    rows.where("conv_id % 5 = 0").repartition(2, "conv_id").write.mode("append").json(files)
+    once(stream, state, load)
+    return t.spark.read.schema(schema).parquet(table).groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.max("text").alias("last"))

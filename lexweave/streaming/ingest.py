@@ -20,6 +20,30 @@ def once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], No
     return query
 
 
+def replace_leaves(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+    """For once(): a batch replaces the rows of each leaf (keys) that it holds, and no others.
+
+    A batch that is handed on again, as after a crash between the write and
+    its checkpoint, gives the same table. Within a batch all rows of a leaf
+    count, so a leaf's rows must come in one batch, as those of a file do.
+    """
+
+    def each(batch: DataFrame, _: int) -> None:
+        batch.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+    return each
+
+
+def undone(batch: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Rows of a batch whose leaf isn't in the table yet; all where there is no table."""
+    spark = batch.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return batch
+    there = spark.read.schema(batch.schema).parquet(path).select(*keys).distinct()  # a folder's name alone would lose zeros before a number
+    return batch.join(there, keys, "left_anti")
+
+
 def windowed_counts(events: DataFrame, ts: str, key: str, width: str, late: str) -> DataFrame:
     """Counts by key and window, of events that are at most `late` behind; batch or stream."""
     rows = events.withWatermark(ts, late) if events.isStreaming else events

@@ -9,7 +9,8 @@ best element the choice climbs while an ancestor adds text of the same article.
 The chosen one is kept with those of its siblings that score well themselves or
 are plain paragraphs and headings. Elements whose role is not text (menus,
 headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles)
-neither score nor come along. Words that a heading, paragraph or section of an
+neither score nor come along; a form that holds the article, or of which most is
+paragraphs of it, is no such form. Words that a heading, paragraph or section of an
 article may well be about count there only if its structure bears them out.
 
 Both passes, over the page and over the tree, take linear time: a quoted value
@@ -53,8 +54,12 @@ DROPPED = frozenset("nav footer aside form button dialog menu head noscript temp
 PLAIN_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup disqus breadcrumb breadcrumbs pagination pager subscribe newsletter comment comments".split())
 #: ... and those that a heading, paragraph or section may be about or that may name a part of its layout.
 LOOSE_WORDS = frozenset("banner alert modal overlay nav navbar navigation menu sidebar rail footer header masthead toolbar reply replies respond related recommended share sharing social subscription signup login search widget complementary contentinfo".split())
-#: "with-sidebar" says something of a layout, not what the element is.
-MODIFIERS = frozenset("has with no without not is".split())
+#: "with-sidebar" and "comments-open" say something of a layout, not what the element is.
+MODIFIERS = frozenset("has with no without not is free open opened closed enabled disabled off".split())
+#: Words that tell nothing beside one of the above; a name with another one, as "related-work", may be what an article is about.
+GENERIC = frozenset("this that now all more top bottom left right main inner outer wrap wrapper box container block area holder slot unit inline list lists item items bar row col column panel section site page pages post posts entry article articles stories news text content contents body title link links button buttons icon icons form thread module component group js css ui".split())
+#: Elements within a line that aren't text: what stands around them is one block.
+MUTED = frozenset("svg math button select object".split())
 LAYOUT = frozenset("sidebar rail nav navbar navigation menu header footer banner masthead toolbar widget".split())
 ABOUT = HEADINGS | {"section", "p"}
 SINGLE = frozenset("allowfullscreen async autofocus autoplay checked controls default defer disabled formnovalidate hidden inert ismap itemscope loop multiple muted nomodule novalidate open playsinline readonly required reversed selected".split())
@@ -152,6 +157,8 @@ def judged(name: str, attributes: dict[str, str], inside: bool) -> tuple[bool, b
     """Whether an element isn't text by its name or attributes; whether that is so only if its structure bears it out; whether only by words of layout."""
     if name in ("html", "body", "main"):
         return False, False, False
+    if name == "form":
+        return True, False, True
     if name in DROPPED or (name == "header" and not inside):
         return True, False, False
     if not attributes:
@@ -168,9 +175,12 @@ def judged(name: str, attributes: dict[str, str], inside: bool) -> tuple[bool, b
         if name == "section" and ids and all(w in PLAIN_WORDS or w in LOOSE_WORDS for w in ids):
             return True, False, False
         return False, any(w in PLAIN_WORDS or w in LOOSE_WORDS for w in named + ids), False
-    found = {w for ws in words_of(attributes) for w in ws if w in PLAIN_WORDS or w in LOOSE_WORDS}
+    names = words_of(attributes)
+    found = {w for ws in names for w in ws if w in PLAIN_WORDS or w in LOOSE_WORDS}
     if inside:
         found.discard("header")
+        if found and not PLAIN_WORDS.intersection(found) and any(found.intersection(ws) and not all(w in found or w in GENERIC for w in ws) for ws in names):
+            return False, True, False
     return bool(found), False, bool(found) and found <= LAYOUT
 
 
@@ -197,13 +207,13 @@ def blocks_of(html: str) -> tuple[list[Element], list[tuple[Element, str, int]]]
 
     def say(text: str) -> None:
         nonlocal in_links
-        if text:
+        if text and not top(*MUTED):
             held.append(unescape(text) if "&" in text else text)
             if 0 < len(stack) - top("a") <= 4 and where.get("a"):
                 in_links += len(" ".join(held[-1].split()))
 
     def close(at: int) -> None:
-        if any(e.name not in INLINE for e in stack[at:]):
+        if not 0 < top(*MUTED) <= at and any(e.name not in INLINE for e in stack[at:]):
             flush()
         for e in stack[at:]:
             where[e.name].pop()
@@ -231,13 +241,14 @@ def blocks_of(html: str) -> tuple[list[Element], list[tuple[Element, str, int]]]
             if name == "body" and (at := top("head")):
                 close(at)
             continue
-        if name in CLOSES_P and (at := top("p")):
+        muted = top(*MUTED)
+        if not muted and name in CLOSES_P and (at := top("p")):
             close(at)
-        if name in IMPLIED:
+        if not muted and name in IMPLIED:
             ends, until = IMPLIED[name]
             if (at := top(*ends)) > top(*until):
                 close(at)
-        if name not in INLINE:
+        if not muted and name not in INLINE and name not in MUTED:
             flush()
         if name in VOID or name in RAW:
             continue
@@ -265,7 +276,18 @@ def weighed(elements: list[Element], blocks: list[tuple[Element, str, int]]) ->
     for e in reversed(elements[1:]):
         e.parent.length += e.length
         e.parent.linked += e.linked
+    prose: dict[int, int] = {}  # of forms, how much of their text is in long paragraphs
+    for element, text, linked in blocks:
+        if element.name == "p" and len(text) >= 80 and 2 * linked < len(text):
+            up = element.parent
+            while up is not None:
+                if up.name == "form":
+                    prose[id(up)] = prose.get(id(up), 0) + len(text)
+                    break
+                up = up.parent
     for e in elements:
+        if e.name == "form" and 2 * prose.get(id(e), 0) > max(e.length, elements[0].length // 2):
+            e.unwanted = False  # a page within a form
         out = (e.unwanted and not (e.layout and e.holds_main)) or (e.doubtful and (e.fields or 2 * e.linked >= e.length))
         e.dropped = out or (e.parent is not None and e.parent.dropped)
     for e in elements:

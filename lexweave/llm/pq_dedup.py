@@ -120,6 +120,17 @@ def fit(unit: np.ndarray, lists: int, probes: int, cosine: float, most: int = 51
     return Quantiser(coarse, fine, np.stack(books), min(probes, len(coarse)))
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their greatest component near 1: no digit changes, and squares neither vanish nor overflow."""
+    v = v.astype(float)
+    return np.ldexp(v, -np.frexp(np.abs(v).max(1))[1][:, None])
+
+
+def probes_for(n: int, probes: int) -> int:
+    """More lists are probed as they become more: beyond 65,536 vectors three for each doubling."""
+    return probes + 3 * max(0, (n - 1 >> 16).bit_length())
+
+
 def rounded(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Components as 8-bit multiples of a step for each vector, the steps, and the distances from what they stand for."""
     step = np.abs(unit).max(1) / 127
@@ -203,7 +214,7 @@ def search(q: Quantiser, home: int, queries: dict[str, np.ndarray], members: dic
 
 def exact(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
     """Links counted and spanning edges of a few vectors of one length, as (id, n, root)."""
-    x = np.stack(rows["v"].to_numpy()).astype(float)
+    x = scaled(np.stack(rows["v"].to_numpy()))
     norm = np.linalg.norm(x, axis=1)
     every, place = np.unique(rows["id"].to_numpy(), return_inverse=True)
     close = (x @ x.T >= cosine * np.outer(norm, norm)) & (place[:, None] != place)
@@ -254,10 +265,10 @@ def _searched(used: list[DataFrame], fine: DataFrame, n: int, cosine: float, pro
     drawn = [np.array(r["v"]) for r in fine.where(F.pmod(F.xxhash64("id", "v", F.lit("centroids")), F.lit(1 << 40)) < share).select("id", "v").distinct().orderBy("id", "v").select("v").collect()]
     if not drawn:
         drawn = [np.array(r["v"]) for r in fine.orderBy("id", "v").limit(1).select("v").collect()]
-    unit = np.stack(drawn)
+    unit = scaled(np.stack(drawn))
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     most = max(1, sample // 16)
-    sent = fine.sparkSession.sparkContext.broadcast(fit(unit, min(max(1, n // per_list), most * most), probes, cosine, most))
+    sent = fine.sparkSession.sparkContext.broadcast(fit(unit, min(max(1, n // per_list), most * most), probes_for(n, probes), cosine, most))
 
     def held(df: DataFrame) -> DataFrame:
         used.append(staged(df))
@@ -267,7 +278,7 @@ def _searched(used: list[DataFrame], fine: DataFrame, n: int, cosine: float, pro
         q = sent.value
         for b in batches:
             if len(b):
-                x = np.stack(b["v"].to_numpy()).astype(float)
+                x = scaled(np.stack(b["v"].to_numpy()))
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 probed = q.nearest(x).astype(np.int32)
                 codes, error = q.code(x - q.centre(probed[:, 0]))
@@ -304,7 +315,7 @@ def _searched(used: list[DataFrame], fine: DataFrame, n: int, cosine: float, pro
 
     def pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         def side(part: pd.DataFrame) -> dict[str, np.ndarray]:
-            x = np.stack(part["v"].to_numpy()).astype(float)
+            x = scaled(np.stack(part["v"].to_numpy()))
             norm = np.linalg.norm(x, axis=1)
             probed = np.stack(part["probes"].to_numpy())
             return {"id": part["id"].to_numpy(), "raw": x, "norm": norm, "unit": x / norm[:, None], "probes": probed, "home": probed[:, 0]}

@@ -116,15 +116,18 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     without an id, take no part; shorter vectors count as filled up with
     zeros. Ties go to the smaller id. Rows of the query's own id are not its
     candidates. A repeated id counts as often as it occurs; as a query, once.
-    An empty table gives no rows. Groups of `together` blocks of rows meet parts
+    An empty table gives no rows. Components so large that a score could leave
+    64 bits are refused with an error. Groups of `together` blocks of rows meet parts
     of queries, each pair a unit of work of bounded size; only k rows a query
     leave a block. A group's bitmaps are copied once for each part, a part's
     queries once for each group, so neither side travels by single rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"), is_query.alias("asks")).where("id is not null and v is not null")
     queries = rows.where("asks").groupBy("id").agg(F.min("v").alias("v"))
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dims"), F.count_if("asks").alias("q")).first()
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dims"), F.count_if("asks").alias("q"), F.max(F.greatest(F.array_max("v"), -(F.array_min("v") + 1))).alias("most")).first()
     blocks, dims = max(1, -(-size["n"] // block_rows)), size["dims"] or 0
+    if dims * ((size["most"] or 0) + 1) ** 2 >= 1 << 62:
+        raise ValueError(f"scores of {dims} components up to {size['most']} leave 64 bits")
     # units of work: as few as their size allows, but in small tables enough of them to share out
     groups = max(-(-blocks // together), min(blocks, 8))
     parts = max(1, -(-size["q"] // block_queries), min(8, size["q"] // 32))

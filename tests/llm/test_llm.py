@@ -141,6 +141,13 @@ def test_main_text_slugs(html, text):
         ("<body class='with-sidebar'><div class='has-sidebar'><div class='wrap sidebar-right'><main><p>a, b, c</p></main></div><div class='sidebar'><p>d, e, f, g, h</p></div></div>", "a, b, c"),
         ("<div id=page><div class=x><h1>T</h1></div><div class=y><p>a, b, c, d, e, f</p><p>g, h</p></div></div>", "a, b, c, d, e, f\n\ng, h"),
         ("<article><p>a<a href='x>b</a></p><p>c", "ab\n\nc"),
+        ("<body><form action=x><input name=state><div class=menu>m</div><article><h1>H</h1><p>a, b, c</p></article></form>", "H\n\na, b, c"),
+        (f"<body><form><input name=state><div><p>{'word, ' * 30}end</p><p>{'more ' * 30}end</p></div></form>", f"{'word, ' * 30}end\n\n{'more ' * 30}end"),
+        ("<div class='post comments-open'><p>a, b, c</p></div>", "a, b, c"),
+        ("<div class='entry comments-closed'><p>a, b, c</p></div>", "a, b, c"),
+        ("<article class='ad-free'><p>a, b</p></article>", "a, b"),
+        ("<article><p>a, b</p><div class='related-work'><p>c, d</p></div><div class='modal-logic'><p>e, f</p></div><div class='related-posts'><p>g</p></div><div class='related-links-2024x more'><p><a>h</a></p></div></article>", "a, b\n\nc, d\n\ne, f"),
+        ("<article><p>Click <svg><text>no</text><p>x</p></svg> to go, <button>b</button>now <select><option>1</select>and <math><mi>y</mi></math>on</p><p>next</p></article>", "Click to go, now and on\n\nnext"),
         ("<article><textarea>no</textarea><p>yes<table><tr><td>1<td>2<tr><td>3</table></article><script>p", "yes\n\n1\n\n2\n\n3"),
     ],
 )
@@ -433,6 +440,9 @@ def test_top_k(spark):
             assert sorted(found) == [(k + 1, j, score[j]) for k, j in enumerate(order)]
     twice = bit_sliced.top_k(spark.createDataFrame([(0, [1.0, 1.0], "x"), (0, [1.0, 0.0], "x"), (1, [1.0], "x"), (1, [1.0], "x"), (2, [], "x")], VECTORS), F.col("vec_id") == 0).orderBy("rank").collect()
     assert [tuple(r) for r in twice] == [(0, 1, 1, 4096), (0, 2, 1, 4096), (0, 3, 2, 0)]  # shorter vectors, repeated ids
+    for large in (1e9, -1e30, 1e300):
+        with pytest.raises(ValueError, match="64 bits"):
+            bit_sliced.top_k(spark.createDataFrame([(0, [large, 1.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>"), F.col("vec_id") == 0)
     few = bit_sliced.top_k(df.where("vec_id < 5"), F.col("vec_id") == 0).collect()
     assert len(few) == 4
     assert bit_sliced.top_k(df.limit(0), F.col("vec_id") == 0).count() == 0
@@ -485,6 +495,29 @@ def test_near_duplicates_of_every_length_and_row(spark):
     assert got == sorted((i, n[i], label[i], label[i] == i) for i, _ in rows)
 
 
+@pytest.mark.parametrize("n", [6, 600])
+def test_near_duplicates_of_any_magnitude(spark, n):
+    """Norms whose squares leave doubles; ids 0 and 1 link, 2 to none of them."""
+    rng = np.random.default_rng(4)
+    rows = [(0, [1e-200, 0.0]), (1, [1e-200, 0.0]), (2, [1.0, 1.0]), (3, [1e200, 1e200]), (4, [-1e308, 1e308]), (5, [5e-324, -5e-324])]
+    rows += [(k, v) for k, v in zip(range(6, n), (rng.normal(size=(max(0, n - 6), 2)) * [[0.0, -1.0]]).tolist())]
+    got = {r["vec_id"]: tuple(r)[1:] for r in pq_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).where("vec_id < 6").collect()}
+    assert got == {0: (1, 0, True), 1: (1, 0, False), 2: (1, 2, True), 3: (1, 2, False), 4: (0, 4, True), 5: (0, 5, True)}
+
+
+def test_probes_grow_with_the_table():
+    """Of pairs at the threshold, at least 0.98 meet in a list, whatever the number of lists."""
+    rng = np.random.default_rng(0)
+    unit = lambda n: (x := rng.standard_normal((n, 64))) / np.linalg.norm(x, axis=1, keepdims=True)
+    sample, a, other = unit(8192), unit(1000), unit(1000)
+    other -= (other * a).sum(1, keepdims=True) * a
+    b = 0.951 * a + np.sqrt(1 - 0.951**2) * other / np.linalg.norm(other, axis=1, keepdims=True)
+    for n in (10**4, 10**6, 10**7):
+        q = pq_dedup.fit(sample, min(n // 200, 512 * 512), pq_dedup.probes_for(n, 8), 0.95, 512)
+        at, to = q.nearest(a), q.nearest(b)
+        assert ((at == to[:, :1]).any(1) | (to == at[:, :1]).any(1)).mean() >= 0.98
+
+
 def test_near_duplicates_on_two_levels(spark):
     """Lists of coarse and fine centroids, pairs right at the threshold; nothing below it links."""
     rng = np.random.default_rng(10)

@@ -31,10 +31,7 @@ def packed(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def mapped(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """df.mapInArrow(), with batches of a few MB instead of 64 in sessions that leave that to Spark: texts may be long, and the JVM holds a batch or two for each worker."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if conf.get(key, None) in ("64MB", "67108864b"):
-        conf.set(key, "4MB")
+    """df.mapInArrow(). Batches are as large as the session says (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB by default); slices() cuts them further within the worker."""
     return df.mapInArrow(run, schema)
 
 

@@ -34,11 +34,6 @@ def with_head_veto(x: Column, wanted: Column, veto: str, head: int) -> Column:
     return wanted & ~F.substring(x, 1, head).rlike(veto)
 
 
-def adjudicate(target: Column, ours: Column, mangled: Column, score: Column, floor: float) -> Column:
-    """CONFIRM, MANGLED-MATCHES, FUZZY or UNCLEAR: which reading a page's text bears out."""
-    return F.when(target.contains(ours) & (ours != ""), "CONFIRM").when(target.contains(mangled) & (mangled != ""), "MANGLED-MATCHES").when(score >= floor, "FUZZY").otherwise("UNCLEAR")
-
-
 def vote(a: Column, b: Column, c: Column, current: Column) -> tuple[Column, Column, Column]:
     """verdict, consensus and whether current agrees, of three readings of which any may be null or empty.
 
@@ -61,9 +56,3 @@ def vote(a: Column, b: Column, c: Column, current: Column) -> tuple[Column, Colu
     )
     consensus = F.when((present == 2) & (two[0] == two[1]), two[0]).when(present == 3, F.when((a == b) | (a == c), a).when(b == c, b))
     return verdict, consensus, F.coalesce(current == consensus, F.lit(False))
-
-
-def xref_bucket(text_hit: Column, index_hit: Column, same_key: Column, ours_mangled: Column, theirs_mangled: Column) -> Column:
-    """KNOWN, CLEANER_TITLE or NOVEL; a text match counts before an index match."""
-    cleaner = ~same_key & ours_mangled & ~theirs_mangled
-    return F.when(text_hit, F.when(cleaner, "CLEANER_TITLE").otherwise("KNOWN")).when(index_hit, F.when(cleaner, "CLEANER_TITLE").otherwise("KNOWN")).otherwise("NOVEL")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexweave import schemas
+from lexweave.operators import link
 from lexweave.plans.common import Query, registrar
 from lexweave.session import scratch
 from lexweave.sources import readers, sinks
@@ -92,15 +95,26 @@ def web_payload_round_trip(t):
     return readers.web_payload(t.spark, f"{path}/*").select(F.col("entry")["id"].alias("id"), F.col("entry")["name"].alias("name"))
 
 
-@query("SELECT i AS id, i * i AS square FROM range(0, 2345) r(i)")
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def paged_service(t):
-    """A service with a known total: its pages are fetched by the executors."""
+    """A service that answers with pages of a table, here files of JSON lines: with a known total fetched by the executors, without one followed by the driver; both give the same rows."""
+    path, size = scratch(t.spark), 500
+    rows = t.customer.select("c_custkey", "c_name", "c_mktsegment")
+    total = rows.count()
+    link.appended(rows.limit(0).withColumn("nth", F.lit(0).cast("long")), rows.withColumn("nth", F.lit(None).cast("long")), "nth", ["c_custkey"]).withColumn("page", F.floor((F.col("nth") - 1) / size)).drop("nth").repartition("page").write.partitionBy("page").json(path)
 
     def fetch(offset: int, limit: int) -> tuple[list[dict], bool]:
-        stop = min(offset + limit, 2345)
-        return [{"id": i, "square": i * i} for i in range(offset, stop)], stop < 2345
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+        found = [f for f in system.get_file_info(fs.FileSelector(f"{root}/page={offset // limit}")) if f.base_name.startswith("part-")]
+        lines = [line for f in found for line in system.open_input_stream(f.path).read().decode().splitlines()]
+        return [json.loads(line) for line in lines], offset + limit < total
 
-    return readers.paged(t.spark, fetch, "id long, square long", page=100, total=2345)
+    schema = "c_custkey long, c_name string, c_mktsegment string"
+    known = readers.paged(t.spark, fetch, schema, page=size, total=total)
+    followed = readers.paged(t.spark, fetch, schema, page=size)
+    return known.intersect(followed).unionByName(known.exceptAll(followed)).unionByName(followed.exceptAll(known))
 
 
 @query("SELECT page_id, length(html)::BIGINT AS n, starts_with(html, '<!DOCTYPE') AS typed FROM pages")

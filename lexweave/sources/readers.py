@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexweave import schemas
+from lexweave.session import scratch
 from lexweave.sources.hocr_source import HocrSource
 
 
@@ -58,11 +59,6 @@ def page_texts(spark: SparkSession, path: str, pattern: str = r"(\d{2})_p(\d{4})
     return rows.where((F.col("vol") != "") & (F.trim("text") != "")).withColumn("page", F.col("page").cast("int"))
 
 
-def parquet(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df if where is None else df.where(where)
-
-
 def web_payload(spark: SparkSession, path: str) -> DataFrame:
     """Entries of an exported web document as maps."""
     return spark.read.schema(schemas.WEB).json(path, multiLine=True).select(F.explode("entries").alias("entry"))
@@ -75,8 +71,8 @@ def paged(spark: SparkSession, fetch: Fetch, schema: str, page: int = 1000, trie
     """Rows of a service that answers (offset, limit) with (rows, more); a page that fails `tries` times fails the read.
 
     With a known total, pages are fetched by the executors, each a task's unit
-    of work. Otherwise only the driver can follow `more`; it hands on a page at
-    a time, so it holds no more than one.
+    of work. Otherwise only the driver can follow `more`; it writes a page at a
+    time under the shared folder, so it holds no more than one.
     """
 
     def once(offset: int) -> tuple[list[dict], bool]:
@@ -97,13 +93,14 @@ def paged(spark: SparkSession, fetch: Fetch, schema: str, page: int = 1000, trie
 
         names = spark.createDataFrame([], schema).columns
         return spark.range(0, total, page, max(1, -(-total // page))).mapInPandas(pages, schema)
-    out, offset, more = spark.createDataFrame([], schema), 0, True
+    path, offset, more = scratch(spark), 0, True
+    shape = spark.createDataFrame([], schema).schema
     while more:
         rows, more = once(offset)
+        if rows or not offset:
+            spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(path)
         offset, more = offset + len(rows), more and bool(rows)
-        if rows:
-            out = out.union(spark.createDataFrame(rows, schema))
-    return out
+    return spark.read.schema(shape).parquet(path)
 
 
 def with_adapter(df: DataFrame, adapter: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

@@ -217,14 +217,15 @@ def test_difflib_cascade_and_rescue_by_plain_loops(spark):
     got = {r["text_id"]: (r["index_id"], r["tier"], r["score"]) for r in registry.QUERIES["link_cascade_difflib"](spark, SF).collect()}
     assert len(got) == len(texts)
     for x in texts:
-        t, best = x["t"], (4, 0.0, 0)
+        t, best, most = x["t"], (4, 0.0, 0), None
         for y in index:
             if y["p_brand"] == x["p_brand"]:
                 i = y["i"]
                 ratio = SequenceMatcher(None, t, i).ratio()
+                most = max(most or 0.0, ratio)
                 tier = 1 if t == i else 2 if t.startswith(i + " ") or i.startswith(t + " ") else 3 if ratio >= 0.85 else 4
                 best = min(best, (tier, -1.0 if tier < 3 else -ratio, y["index_id"])) if tier < 4 else best
-        want = (best[2], ["exact", "prefix", "fuzzy"][best[0] - 1], -best[1]) if best[0] < 4 else (None, "none", None)
+        want = (best[2], ["exact", "prefix", "fuzzy"][best[0] - 1], -best[1]) if best[0] < 4 else (None, "none", most)
         assert got[x["text_id"]] == want
     kept = {r["p_partkey"] for r in registry.QUERIES["greedy_rescue"](spark, SF).collect()}
     taken: dict[str, list[str]] = {}

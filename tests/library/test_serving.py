@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from lexweave.operators import search_index, serve
+from lexweave.operators import link, search_index, serve
 from lexweave.streaming import ingest
 
 
@@ -46,3 +46,12 @@ def test_a_batch_handed_on_again(spark, tmp_path):
     load(two, 1)
     load(two, 1)
     assert read() == [("01", 1, "new"), ("02", 1, "c"), ("03", 7, "d")]
+
+
+def test_numbers_of_many_rows(spark):
+    """More rows than a sample of ranges holds, with columns that make the ranges' sizes other than those of the keys alone."""
+    df = spark.range(0, 60000, 1, 6).select((F.col("id") * 7919 % 60000).alias("k"), F.repeat(F.md5(F.col("id").cast("string")), 40).alias("wide"))
+    got = serve.places(df, "k")
+    assert got.where("place = k + 1 and length(wide) = 1280").count() == 60000 == got.count()
+    new = link.appended(df.limit(0), df.withColumn("n", F.lit(None).cast("long")).select("k", "wide"), "k", ["wide"])
+    assert new.agg(F.min("k"), F.max("k"), F.count_distinct("k"), F.max(F.length("wide"))).first()[:] == (1, 60000, 60000, 1280)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lexweave import schemas
 from lexweave.operators import link
 from lexweave.plans.common import Query, registrar
-from lexweave.session import scratch
+from lexweave.session import scratch, staged
 from lexweave.sources import readers, sinks
 
 QUERIES: dict[str, Query] = {}
@@ -97,7 +97,7 @@ def web_payload_round_trip(t):
 
 @query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def paged_service(t):
-    """A service that answers with pages of a table, here files of JSON lines: with a known total fetched by the executors, without one followed by the driver; both give the same rows."""
+    """A service that answers with pages of a table, here files of JSON lines, fetched with a known total and without one; both give the same rows."""
     path, size = scratch(t.spark), 500
     rows = t.customer.select("c_custkey", "c_name", "c_mktsegment")
     total = rows.count()
@@ -106,13 +106,15 @@ def paged_service(t):
     def fetch(offset: int, limit: int) -> tuple[list[dict], bool]:
         from pyarrow import fs
 
+        if offset >= total:
+            return [], False
         system, root = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
         found = [f for f in system.get_file_info(fs.FileSelector(f"{root}/page={offset // limit}")) if f.base_name.startswith("part-")]
         lines = [line for f in found for line in system.open_input_stream(f.path).read().decode().splitlines()]
         return [json.loads(line) for line in lines], offset + limit < total
 
     schema = "c_custkey long, c_name string, c_mktsegment string"
-    known = readers.paged(t.spark, fetch, schema, page=size, total=total)
+    known = staged(readers.paged(t.spark, fetch, schema, page=size, total=total))  # read three times
     followed = readers.paged(t.spark, fetch, schema, page=size)
     return known.intersect(followed).unionByName(known.exceptAll(followed)).unionByName(followed.exceptAll(known))
 

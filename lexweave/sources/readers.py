@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampNTZType, TimestampType
 
 from lexweave import schemas
 from lexweave.session import scratch
@@ -67,40 +68,60 @@ def web_payload(spark: SparkSession, path: str) -> DataFrame:
 Fetch = Callable[[int, int], tuple[list[dict], bool]]
 
 
-def paged(spark: SparkSession, fetch: Fetch, schema: str, page: int = 1000, tries: int = 4, total: int | None = None) -> DataFrame:
+def _frame(rows: list[dict], shape: StructType) -> pd.DataFrame:
+    """Rows as a frame, in which integers stay exact beside nulls and a column of nulls keeps its type."""
+    columns = {f.name: pd.Series([r.get(f.name) for r in rows], dtype=object) for f in shape.fields}
+    return pd.DataFrame({f.name: pd.to_datetime(columns[f.name]) if isinstance(f.dataType, TimestampType | TimestampNTZType) else columns[f.name] for f in shape.fields})
+
+
+def paged(spark: SparkSession, fetch: Fetch, schema: str, page: int = 1000, tries: int = 4, total: int | None = None, stretch: int = 64) -> DataFrame:
     """Rows of a service that answers (offset, limit) with (rows, more); a page that fails `tries` times fails the read.
 
-    With a known total, pages are fetched by the executors, each a task's unit
-    of work. Otherwise only the driver can follow `more`; it writes a page at a
-    time under the shared folder, so it holds no more than one.
+    Pages are fetched by the executors. With a known total each is a task's
+    unit of work. Without one tasks follow `more` through stretches of so many
+    pages, twice as many tasks each time until one has met the end, and write
+    under the shared folder; so the service is asked beyond its end, where it
+    must not fail, and what it says there is dropped.
     """
 
-    def once(offset: int) -> tuple[list[dict], bool]:
+    def once(offset: int, limit: int) -> tuple[list[dict], bool]:
         for left in range(tries - 1, -1, -1):
             try:
-                return fetch(offset, page)
+                return fetch(offset, limit)
             except OSError:
                 if not left:
                     raise
         raise AssertionError
 
+    shape = spark.createDataFrame([], schema).schema
     if total is not None:
 
         def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for offset in batch["id"]:
-                    yield pd.DataFrame(once(int(offset))[0], columns=names)
+                    yield _frame(once(int(offset), page)[0], shape)
 
-        names = spark.createDataFrame([], schema).columns
         return spark.range(0, total, page, max(1, -(-total // page))).mapInPandas(pages, schema)
-    path, offset, more = scratch(spark), 0, True
-    shape = spark.createDataFrame([], schema).schema
-    while more:
-        rows, more = once(offset)
-        if rows or not offset:
-            spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(path)
-        offset, more = offset + len(rows), more and bool(rows)
-    return spark.read.schema(shape).parquet(path)
+    path, start, width, tasks = scratch(spark), 0, page * stretch, 1
+    noted = StructType([*shape.fields, StructField("_first", LongType()), StructField("_end", BooleanType())])
+
+    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for first in map(int, batch["id"]):
+                offset, more = first, True
+                while more and offset < first + width:
+                    rows, more = once(offset, min(page, first + width - offset))
+                    offset, more = offset + len(rows), more and bool(rows)
+                    yield _frame(rows, shape).assign(_first=first, _end=False)
+                if not more:
+                    yield _frame([{}], shape).assign(_first=first, _end=True)
+
+    end = None
+    while end is None:
+        spark.range(start, start + tasks * width, width, tasks).mapInPandas(follow, noted).write.mode("append").parquet(path)
+        start, tasks = start + tasks * width, min(2 * tasks, 4096)
+        end = spark.read.schema(noted).parquet(path).where("_end").agg(F.min("_first")).first()[0]
+    return spark.read.schema(noted).parquet(path).where(~F.col("_end") & (F.col("_first") <= end)).select(shape.names)
 
 
 def with_adapter(df: DataFrame, adapter: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

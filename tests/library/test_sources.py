@@ -1,6 +1,7 @@
 """Markup in ranges with pushed filters, version logs, table functions, folds of all scripts."""
 
 import gzip
+import os
 import random
 import sys
 import unicodedata
@@ -142,3 +143,18 @@ def test_paragraph_by_blank_lines(spark):
     df = spark.createDataFrame([(1, page), (2, "nothing"), (3, None)], "id int, text string")
     got = segment.best_paragraph(df, "id", "text", r"^===.*===$", "^LEAD", "the").collect()
     assert [tuple(r) for r in got] == [(1, 0, "LEAD one\ngoes on the way")]
+
+
+@pytest.mark.parametrize("n", [0, 1, 40, 41, 1000])
+def test_pages_are_followed_by_executors(spark, n):
+    """A service of short pages that says more than it has beyond its end; integers beside nulls are exact."""
+    driver = os.getpid()
+
+    def fetch(offset, limit):
+        assert os.getpid() != driver
+        rows = [{"a": 2**60 + i, "b": None if i % 2 else 2**60 + 1, "c": f"r{i}"} for i in range(offset, min(offset + min(limit, 7), n))]
+        return (rows, offset + len(rows) < n) if offset <= n else ([{"a": -1, "b": -1, "c": "beyond"}], True)
+
+    want = [(2**60 + i, None if i % 2 else 2**60 + 1, f"r{i}") for i in range(n)]
+    got = readers.paged(spark, fetch, "a long, b long, c string", page=10, stretch=4)
+    assert sorted(map(tuple, got.collect())) == want

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lexweave.functions.similarity import indel
+from lexweave.functions.similarity import indel, indel_ratio
 from lexweave.functions.text import compressed_lemma
 from lexweave.operators import gram_index, link, rescue, substrings
 from lexweave.plans import common, link_queries, registry
@@ -128,3 +128,24 @@ def test_rescue_flow_by_a_plain_loop(spark):
         next_id += 1
     got = sorted(map(tuple, registry.QUERIES["rescue_flow"](spark, SF).collect()))
     assert len(want) > 20 and got == want
+
+
+def _most_rows(node):
+    """The most rows that a node of an executed plan gave."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _most_rows(node.executedPlan())
+    below = [node.plan()] if kind.endswith("QueryStageExec") else [node.children().apply(i) for i in range(node.children().size())]
+    rows = node.metrics().get("numOutputRows")
+    return max([rows.get().value() if rows.isDefined() else 0, *map(_most_rows, below)])
+
+
+def test_equal_names_are_not_paired_with_every_place(spark):
+    gaz = spark.range(400).select(F.lit("r").alias("region"), F.lit("name").alias("key"), F.concat(F.lit("P"), F.col("id") % 3).alias("parent"), F.concat(F.lit("n"), F.col("id") + 100).alias("name"), F.lit(1.0).alias("lon"), F.lit(2.0).alias("lat"), F.when(F.col("id") == 7, "historical").alias("source"))
+    places = spark.range(300).select("id", F.lit("name").alias("key"), F.when(F.col("id") % 5 > 0, F.concat(F.lit("P"), F.col("id") % 5)).alias("parent"), F.lit("r").alias("region"))
+    overrides = spark.createDataFrame([], "key string, lon double, lat double")
+    parents, centroids = spark.createDataFrame([], "parent string, lon double, lat double"), spark.createDataFrame([], "region string, lon double, lat double")
+    got = link.geocode(places, gaz, overrides, parents, centroids, indel_ratio, 0.9, bound=0.9).where("tier = 'exact'")
+    want = {1: "n107", 2: "n102"}  # a parent's own oldest, else its own first, else the oldest of all
+    assert {r["id"]: r["matched"] for r in got.collect()} == {i: want.get(i % 5, "n107") for i in range(300)}
+    assert _most_rows(got._jdf.queryExecution().executedPlan()) <= 1200

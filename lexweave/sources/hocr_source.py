@@ -14,8 +14,9 @@ LEAF = re.compile(r"id=[\"'][A-Za-z_]*0*(\d+)[\"']")
 PARAGRAPH = re.compile(r"<p[^>]*ocr_par[^>]*>")
 LETTER = re.compile(r"<span[^>]*>([^<])</span>")
 SCHEMA = "vol string, leaf int, par_no int, text string"
-BLOCK = 4 << 20
+BLOCK, LEAST = 4 << 20, 64 << 10
 ROWS = 4096
+RANGES = 512
 
 
 @dataclass
@@ -84,19 +85,19 @@ class HocrReader(DataSourceReader):
         return (self.leaves is None or leaf in self.leaves) and (self.low is None or leaf >= self.low) and (self.high is None or leaf <= self.high)
 
     def partitions(self) -> list[Range]:
-        """Ranges of `split` bytes of plain files; compressed ones can't be entered in the middle and are one range each."""
+        """Ranges of `split` bytes of plain files, longer where there were more than RANGES; compressed ones can't be entered in the middle and are one range each."""
         from pyarrow import fs
 
         system, root = fs.FileSystem.from_uri(self.path if "://" in self.path or self.path.startswith("file:") else f"file://{self.path}")
         info = system.get_file_info(root)
         found = system.get_file_info(fs.FileSelector(root, recursive=True)) if info.type == fs.FileType.Directory else [info]
-        out = []
+        out, split = [], max(self.split, -(-sum(f.size for f in found if f.type == fs.FileType.File) // RANGES))
         for f in sorted((f for f in found if f.type == fs.FileType.File and not f.base_name.startswith(("_", "."))), key=lambda f: f.path):
             vol = self.vol_of.search(f.path)
             vol = vol[1] if vol else ""
             if self.vols is not None and vol not in self.vols:
                 continue
-            step = f.size if f.path.endswith(".gz") else self.split
+            step = f.size if f.path.endswith(".gz") else split
             out += [Range(f.path, vol, s, min(s + step, f.size) if s + step < f.size else 1 << 62) for s in range(0, f.size, max(1, step))]
         return out
 
@@ -113,7 +114,8 @@ class HocrReader(DataSourceReader):
         with system.open_input_stream(partition.path, compression="gzip") if zipped else system.open_input_file(partition.path) as f:
             if not zipped:
                 f.seek(partition.start)
-            for raw, last in pages(iter(lambda: f.read(BLOCK), b""), partition.start, partition.end):
+            size = min(BLOCK, max(partition.end - partition.start, LEAST))  # a short range reads little beyond its end
+            for raw, last in pages(iter(lambda: f.read(size), b""), partition.start, partition.end):
                 leaf = LEAF.search(raw[: raw.index(b">") + 1].decode())
                 if not leaf or not self.wanted(int(leaf[1])):
                     continue

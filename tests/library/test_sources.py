@@ -158,3 +158,12 @@ def test_pages_are_followed_by_executors(spark, n):
     want = [(2**60 + i, None if i % 2 else 2**60 + 1, f"r{i}") for i in range(n)]
     got = readers.paged(spark, fetch, "a long, b long, c string", page=10, stretch=4)
     assert sorted(map(tuple, got.collect())) == want
+
+
+def test_short_ranges_read_little(volumes, monkeypatch, tmp_path):
+    (tmp_path / "tomo01.html").write_bytes(b"x" * 1_000_000)
+    reader, sizes = hocr_source.HocrReader({"path": str(tmp_path), "split": 70_000}), []
+    monkeypatch.setattr(hocr_source, "pages", lambda blocks, start, end: iter([sizes.append(len(next(blocks)))][:0]))
+    assert len([list(reader.read(p)) for p in reader.partitions()]) == 15 and max(sizes[:-1]) == 70_000
+    monkeypatch.setattr(hocr_source, "RANGES", 4)
+    assert [p.start for p in reader.partitions()] == [0, 250_000, 500_000, 750_000]

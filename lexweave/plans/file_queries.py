@@ -78,13 +78,12 @@ def leaf_entries_round_trip(t):
 
 @query("SELECT lpad((doc_id % 16 + 1)::VARCHAR, 2, '0') AS vol, (doc_id // 16)::INT AS page, md5(text) AS digest FROM documents WHERE trim(text) <> ''")
 def page_texts_round_trip(t):
-    """A file a text, in folders that carry the key."""
+    """A file a text, whose name carries the key."""
     path = scratch(t.spark)
-    page = F.floor(F.col("doc_id") / 16)
-    rows = t.documents.select(F.col("text").alias("value"), F.concat_ws("_p", F.lpad((F.col("doc_id") % 16 + 1).cast("string"), 2, "0"), page.cast("string")).alias("key"))
-    rows.repartition(8, "key").write.partitionBy("key").option("lineSep", "\u0001").text(path)
-    got = readers.page_texts(t.spark, f"{path}/*", r"key=(\d{2})_p(\d+)/[^/]*$")
-    return got.select("vol", "page", F.md5(F.rtrim("text", F.lit("\u0001"))).alias("digest"))
+    page = F.floor(F.col("doc_id") / 16).cast("string")
+    name = F.concat(F.lit("tomo"), F.lpad((F.col("doc_id") % 16 + 1).cast("string"), 2, "0"), F.lit("_p"), page, F.lit(".txt"))
+    sinks.text_files(t.documents.where("text is not null").select(name.alias("name"), "text"), path, "name", "text")
+    return readers.page_texts(t.spark, f"{path}/*", r"(\d{2})_p(\d+)\.txt$").select("vol", "page", F.md5("text").alias("digest"))
 
 
 @query("SELECT n_nationkey::VARCHAR AS id, n_name AS name FROM nation")

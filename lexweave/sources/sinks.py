@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,6 +134,31 @@ def json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "true").json(path)
 
 
+def text_files(df: DataFrame, path: str, name: str, text: str, folders: int = 256) -> None:
+    """A file for each row, named by it, in folders part-000 and so on by a hash of the name; null texts are empty files.
+
+    Tasks write their files in place, so a task that runs again writes the
+    same ones; unlike partitionBy, nothing is renamed by the driver file by file.
+    """
+    rows = df.select(F.format_string("part-%03d", F.pmod(F.xxhash64(name), F.lit(folders))).alias("_folder"), F.col(name).alias("_name"), F.coalesce(text, F.lit("")).alias("_text"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+        made = set()
+        for batch in batches:
+            for folder, file, body in zip(*(batch.column(c).to_pylist() for c in ("_folder", "_name", "_text")), strict=True):
+                if folder not in made:
+                    system.create_dir(f"{root}/{folder}")
+                    made.add(folder)
+                with system.open_output_stream(f"{root}/{folder}/{file}") as f:
+                    f.write(body.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    rows.mapInArrow(write, "n long").agg(F.sum("n")).collect()  # one row
+
+
 def json_by(df: DataFrame, path: str, *keys: str) -> None:
     """JSON lines in a folder for each key."""
     df.write.mode("overwrite").partitionBy(*keys).json(path)

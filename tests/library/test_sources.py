@@ -167,3 +167,14 @@ def test_short_ranges_read_little(volumes, monkeypatch, tmp_path):
     assert len([list(reader.read(p)) for p in reader.partitions()]) == 15 and max(sizes[:-1]) == 70_000
     monkeypatch.setattr(hocr_source, "RANGES", 4)
     assert [p.start for p in reader.partitions()] == [0, 250_000, 500_000, 750_000]
+
+
+def test_a_file_a_text(spark, tmp_path):
+    """Names and whole texts come back, written by tasks in few folders, twice the same."""
+    rows = [(f"tomo{i % 3 + 1:02d}_p{i}.txt", f"é {i}\nline\r\n \u0001") for i in range(300)] + [("tomo01_p900.txt", None), ("other.txt", "x")]
+    df, path = spark.createDataFrame(rows, "name string, t string"), str(tmp_path / "t")
+    for _ in range(2):
+        sinks.text_files(df, path, "name", "t", folders=4)
+    assert sorted(os.listdir(path)) == [f"part-{k:03d}" for k in range(4)]
+    got = readers.page_texts(spark, f"{path}/*", r"(\d{2})_p(\d+)\.txt$").collect()
+    assert sorted(map(tuple, got)) == sorted((f"{i % 3 + 1:02d}", i, rows[i][1]) for i in range(300))

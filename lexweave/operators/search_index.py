@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,24 +14,47 @@ from lexweave.functions.text import search_fold
 GRAM = 3
 
 
-def trigrams(folded: Column) -> Column:
-    """The distinct runs of three characters; none for a shorter text."""
-    return F.array_distinct(F.regexp_extract_all(folded, F.lit("(?s)(?=(.{%d}))" % GRAM), 1))
+def _postings(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """From (bucket, key, folded) rows (gram, bucket, keys), a gram of a bucket once for each stretch of texts of about `most` distinct grams."""
+
+    def flush() -> pa.RecordBatch:
+        code, row = np.concatenate(codes), np.concatenate(rows)
+        of = bucket[row]
+        order = np.lexsort((code, of))
+        code, row, of = code[order], row[order], of[order]
+        start = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (of[1:] != of[:-1])]) if len(code) else np.empty(0, int)
+        grams = ["".join(chr(c >> s & 0x1FFFFF) for s in (42, 21, 0)) for c in code[start].tolist()]
+        keys = pa.ListArray.from_arrays(pa.array(np.r_[start, len(code)], pa.int32()), batch.column("key").take(pa.array(row)))
+        return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(of[start], pa.int32()), keys], ["gram", "bucket", "keys"])
+
+    for batch in batches:
+        bucket, codes, rows, size = batch.column("bucket").to_numpy(), [], [], 0
+        for i, text in enumerate(batch.column("folded")):
+            a = np.frombuffer(text.as_py().encode("utf-32-le"), "<u4").astype(np.int64)
+            codes.append(np.unique(a[:-2] << 42 | a[1:-1] << 21 | a[2:]))
+            rows.append(np.full(len(codes[-1]), i))
+            size += len(codes[-1])
+            if size >= most:
+                yield flush()
+                codes, rows, size = [], [], 0
+        if size:
+            yield flush()
 
 
 def build(df: DataFrame, key: str, text: Column, path: str, buckets: int = 64) -> None:
     """Write an index under the folder: folded texts by bucket of their key, postings (gram, bucket, keys) by range of grams, and how many texts hold a gram.
 
-    A posting row holds the keys of one bucket, so a frequent gram is as many
-    rows as there are buckets: choose these by the number of texts. Null texts
+    A posting row holds keys of one bucket, so a frequent gram is at least as
+    many rows as there are buckets: choose these by the number of texts. Null texts
     are found by nothing; keys must not repeat.
     """
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     rows = df.select(key, search_fold(text).alias("folded"), bucket.alias("bucket")).where("folded is not null")
     rows.limit(0).coalesce(1).write.parquet(f"{path}/shape")  # texts of no row leave no file to tell their columns
     rows.repartition(buckets, "bucket").write.partitionBy("bucket").parquet(f"{path}/texts")
-    held = _texts(df.sparkSession, path).select(key, "bucket", F.explode(trigrams(F.col("folded"))).alias("gram"))
-    held.groupBy("gram", "bucket").agg(F.collect_list(key).alias("keys")).repartitionByRange("gram", "bucket").sortWithinPartitions("gram").write.parquet(f"{path}/postings")
+    held = _texts(df.sparkSession, path).select("bucket", F.col(key).alias("key"), "folded")
+    held = held.mapInArrow(_postings, f"gram string, bucket int, keys array<{df.schema[key].dataType.simpleString()}>")
+    held.repartitionByRange("gram", "bucket").sortWithinPartitions("gram").write.parquet(f"{path}/postings")
     postings = df.sparkSession.read.parquet(f"{path}/postings")
     postings.groupBy("gram").agg(F.sum(F.size("keys")).alias("n")).repartitionByRange("gram").sortWithinPartitions("gram").write.parquet(f"{path}/grams")
 

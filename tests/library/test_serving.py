@@ -55,3 +55,11 @@ def test_numbers_of_many_rows(spark):
     assert got.where("place = k + 1 and length(wide) = 1280").count() == 60000 == got.count()
     new = link.appended(df.limit(0), df.withColumn("n", F.lit(None).cast("long")).select("k", "wide"), "k", ["wide"])
     assert new.agg(F.min("k"), F.max("k"), F.count_distinct("k"), F.max(F.length("wide"))).first()[:] == (1, 60000, 60000, 1280)
+
+
+def test_postings_are_made_by_the_text(spark):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"bucket": pa.array([0, 0, 1], pa.int32()), "key": [5, 6, 7], "folded": ["abcabc\U0001f600", "xabc", "ab"]})
+    got = sorted((r["bucket"], r["gram"], r["keys"]) for b in search_index._postings(iter([batch])) for r in b.to_pylist())
+    assert got == [(0, "abc", [5, 6]), (0, "bca", [5]), (0, "bc\U0001f600", [5]), (0, "cab", [5]), (0, "xab", [6])]

@@ -130,6 +130,43 @@ def test_rescue_flow_by_a_plain_loop(spark):
     assert len(want) > 20 and got == want
 
 
+def test_opened_paragraphs(spark):
+    """By lookup of beginnings, from windows whole and in pieces, as by a loop over all heads and paragraphs."""
+    rng = random.Random(11)
+    heads = ["AB", "AB CD", "A.B", "CD", "X\\EY", "AB\nCD", "\tAB", "A, B", "(", "D"]
+    bits = [*heads, *heads, " ", "\n", "\n\n", ":", ".", ",", " (x)", "(x\ny) ", "th", "\t", "\r\n", "\u2028", "zzz ", "\n# no\n", "=== H ===\n"]
+    pieces = [(v, n, "".join(rng.choices(bits, k=12)) + "\n\nlast") for v in range(3) for n in range(40)]
+    rows = [(v, h) for v in range(4) for h in heads]
+    header = r"(?m)^=== [^=\n]+ ===\s*$|^\s*#.*$"
+    line = "(?:^|(?<=[\n\u2028\x85\u2029])|(?<=\r)(?!\n))"
+    want = {}
+    for v, _, text in pieces:
+        plain = re.sub(r"(?m)^=== [^=\n]+ ===[ \t\n\r\f\v]*$|^[ \t\n\r\f\v]*#.*$", "", text)
+        for p in re.split(r"\n[ \t\n\r\f\v]*\n", plain):
+            for h in heads:
+                if m := re.search(rf"{line}[ \t\n\r\f\v]*{re.escape(h)}\b(?:\s*\([^)]*\))?\s*[:.,]", p, re.ASCII):
+                    body = p[m.start() :].strip(" \t\n\r\f\v")
+                    best = want.get((v, h))
+                    if best is None or ("th" in body, len(body)) > ("th" in best, len(best)):
+                        want[v, h] = body
+    domain = lambda c: c.contains("th")
+    keys = spark.createDataFrame(rows, "v int, h string")
+    many = spark.createDataFrame(pieces, "v int, nth long, window string")
+    whole = spark.createDataFrame([(v, "\n\n".join(t for u, _, t in pieces if u == v)) for v in range(3)], "v int, window string")
+    for windows in (many, whole):
+        got = {(r["v"], r["h"]): r["opened"] for r in rescue.opened_paragraphs(keys, windows, ["v"], "h", header, domain).collect()}
+        assert len(want) > 12 and got == want
+
+
+def test_heads_are_not_held_against_every_paragraph(spark):
+    n = 300
+    windows = spark.range(n).select(F.lit(1).alias("v"), F.col("id").alias("nth"), F.concat(F.lit("HEAD"), "id", F.lit(": what is said of it")).alias("window"))
+    heads = spark.range(n).select(F.lit(1).alias("v"), F.concat(F.lit("HEAD"), "id").alias("h"))
+    got = rescue.opened_paragraphs(heads, windows, ["v"], "h", "^#.*$", lambda c: c.contains("said"))
+    assert got.count() == n and len(got.collect()) == n
+    assert _most_rows(got._jdf.queryExecution().executedPlan()) <= 3 * n
+
+
 def _most_rows(node):
     """The most rows that a node of an executed plan gave."""
     kind = node.getClass().getSimpleName()

@@ -23,6 +23,7 @@ import os
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ SPACE = "▁"
 CUT = re.compile(r"(?s)(?<=\S) (?=.)")
 ODD = re.compile(r"\s ")
 HEAD = struct.Struct("<4i")
+JOINED = 64  # new words that the tokenizers get as one text
+AT_ONCE = 1 << 20  # characters of new words that are aligned at a time, or one longer word
 
 
 def byte_letters() -> dict[str, int]:
@@ -69,6 +72,8 @@ class Aligner:
         probe = "ﬁ ①  x"
         b_cuts = sp.decode(sp.encode(probe)) == probe and sp.encode("a b") == sp.encode("a") + sp.encode("b") and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
         self.cuts = bool(a_cuts and b_cuts)
+        a_table = [self.a_bytes.get(i, b"") for i in range(max(self.a_bytes) + 1)]
+        self.tables = [(t, np.array(list(map(len, t)), np.int64)) for t in (a_table, self.b_bytes)]
         self.known = Recent(keep_bytes)
 
     def words(self, text: str) -> list[str]:
@@ -78,11 +83,44 @@ class Aligner:
             return CUT.split(text)
         return text.split(" ")
 
-    def learn(self, texts: list[list[str]]) -> None:
+    def learn(self, words: set[str]) -> None:
         self.known.age()
-        if new := self.known.unknown(set().union(*texts)):
-            a = [e.ids for e in self.a.encode_batch([f" {w}" for w in new], add_special_tokens=False)]
-            self.known.keep(new, [self.aligned(*x) for x in zip(new, a, self.b.encode(new, num_threads=1), strict=True)])
+        if new := self.known.unknown(words):
+            one = [w for w in new if not self.cuts or not w or w[-1].isspace()]  # after these no cut is sure
+            if len(one) < len(new):
+                single = set(one)
+                several = [w for w in new if w not in single] if single else new
+                upto = np.cumsum(list(map(len, several)))
+                edges = np.unique(np.r_[0, np.searchsorted(upto, np.arange(AT_ONCE, upto[-1], AT_ONCE)), len(several)]).tolist()
+                for s, e in pairwise(edges):
+                    one += self.learn_joined(several[s:e])
+            if one:
+                a = [e.ids for e in self.a.encode_batch([f" {w}" for w in one], add_special_tokens=False)]
+                self.known.keep(one, [self.aligned(*x) for x in zip(one, a, self.b.encode(one, num_threads=1), strict=True)])
+
+    def learn_joined(self, words: list[str]) -> list[str]:
+        """Learn words that may stand before a cut, many in a text for the tokenizers; the words of texts that either changes are given back."""
+        parts = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        texts = list(map(" ".join, parts))
+        a = [e.ids for e in self.a.encode_batch([f" {t}" for t in texts], add_special_tokens=False)]
+        b = self.b.encode(texts, num_threads=1)
+        (a_bytes, a_sizes), (b_bytes, b_sizes) = self.tables
+        same = []
+        for text, x, y in zip(texts, a, b, strict=True):
+            want = f" {text}".encode()
+            same.append(b"".join(map(a_bytes.__getitem__, x)) == want == b"".join(map(b_bytes.__getitem__, y)))
+        good, left = list(chain.from_iterable(p for p, s in zip(parts, same, strict=True) if s)), list(chain.from_iterable(p for p, s in zip(parts, same, strict=True) if not s))
+        if not good:
+            return left
+        a, b = (np.array(list(chain.from_iterable(x for x, s in zip(ids, same, strict=True) if s)), np.int64) for ids in (a, b))
+        ends = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in good), np.int64, len(good))) - 1
+        a_ends, b_ends = np.cumsum(a_sizes[a]) - 1, np.cumsum(b_sizes[b]) - 1
+        in_a, in_b = np.zeros((2, int(ends[-1]) + 1), bool)
+        in_a[a_ends], in_b[b_ends] = True, True
+        if not (in_a[ends] & in_b[ends]).all() or not a_sizes[a].all() or not b_sizes[b].all():
+            return words
+        self.known.keep(good, joined_values(a, b, a_ends, b_ends, in_a, in_b, ends))
+        return left
 
     def aligned(self, word: str, a: list[int], b: list[int]) -> bytes:
         """Numbers of tokens, groups and links, the linked pairs and the groups' text; nothing where bytes differ from the word's."""
@@ -110,11 +148,45 @@ class Aligner:
         return HEAD.pack(len(a), len(b), len(groups), len(pairs)) + np.array(pairs, "<i8").tobytes() + ";".join(groups).encode()
 
 
+def joined_values(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """What Aligner.aligned() gives, for words one after another: ids, the last bytes of tokens, whether bytes are such, the last bytes of words.
+
+    Between two ends on either side lies one link, as an overlap holds no end.
+    """
+    cuts = np.flatnonzero(in_a | in_b)
+    pairs = (a[np.searchsorted(a_ends, cuts)] << 32 | b[np.searchsorted(b_ends, cuts)]).astype("<i8").tobytes()
+    group_ends = np.flatnonzero(in_a & in_b)
+    upto = [np.searchsorted(x, ends, "right") for x in (a_ends, b_ends, group_ends, cuts)]
+    heads = np.stack([np.diff(u, prepend=0) for u in upto], 1).astype("<i4").tobytes()
+
+    a_group, b_group = np.searchsorted(group_ends, a_ends), np.searchsorted(group_ends, b_ends)
+    a_upto, b_upto = np.searchsorted(a_ends, group_ends, "right"), np.searchsorted(b_ends, group_ends, "right")
+    a_at, b_at = np.arange(len(a)) + np.r_[0, b_upto][a_group], np.arange(len(b)) + a_upto[b_group]
+    number, mark = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+    number[a_at], number[b_at] = a, b
+    mark[a_at[a_upto - 1]], mark[b_at[b_upto - 1]] = ord("|"), ord(";")
+    digits = np.ones(len(number), np.int64)
+    tens = [10**k for k in range(1, len(str(int(number.max()))))]
+    for ten in tens:
+        digits += number >= ten
+    stops = np.cumsum(digits + 1) - 1  # where marks stand
+    text = np.empty(int(stops[-1]) + 1, np.uint8)
+    text[stops] = mark
+    text[stops - 1] = 48 + number % 10
+    for k, ten in enumerate(tens, 2):
+        longer = np.flatnonzero(digits >= k)
+        text[stops[longer] - k] = 48 + number[longer] // ten % 10
+    groups = text.tobytes()
+    last = stops[upto[0] + upto[1] - 1].tolist()
+    links = (8 * upto[3]).tolist()
+    return [heads[16 * i : 16 * i + 16] + pairs[s:e] + groups[f:g] for i, (s, e, f, g) in enumerate(zip([0, *links[:-1]], links, [0, *(x + 1 for x in last[:-1])], last, strict=True))]
+
+
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sums of their values."""
     if not len(keys):
         return keys, values
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, values = keys[order], values[order]
     start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     return keys[start], np.add.reduceat(values, start)
@@ -130,9 +202,9 @@ FIELDS = ("n_a", "n_b", "n_groups", "n_links")
 def block_rows(texts: list[str], aligner: Aligner) -> tuple[list[np.ndarray], list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Sums of FIELDS and a digest for each text; then postings (pair, text, multiplicity), sorted."""
     words = [aligner.words(t) if t and SPACE not in t else [] for t in texts]
-    aligner.learn(words)
-    known = aligner.known.now
-    distinct = list(set().union(*words))
+    distinct = set().union(*words)
+    aligner.learn(distinct)
+    known, distinct = aligner.known.now, list(distinct)
     values = [known[w] for w in distinct]
     bad = {w for w, v in zip(distinct, values, strict=True) if not v}
     if bad:
@@ -143,9 +215,9 @@ def block_rows(texts: list[str], aligner: Aligner) -> tuple[list[np.ndarray], li
     digests = [hashlib.sha256(b";".join(map(groups.__getitem__, ws))).hexdigest() if ws else "" for ws in words]
 
     sizes = np.array([len(ws) for ws in words], np.int64)
-    flat = np.fromiter((at[w] for ws in words for w in ws), np.int64, int(sizes.sum()))
+    flat = np.fromiter(map(at.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
     text = np.repeat(np.arange(len(texts)), sizes)
-    seen, times = summed(text * max(1, len(distinct)) + flat, np.ones(len(flat), np.int64))
+    seen, times = np.unique(text * max(1, len(distinct)) + flat, return_counts=True)
     text, word = seen // max(1, len(distinct)), seen % max(1, len(distinct))
     sums = []
     for k in range(4):

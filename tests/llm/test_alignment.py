@@ -85,6 +85,21 @@ def test_equals_plain_loops(spark, options):
     compare(alignment.align(df, A, B, **options).collect(), texts)
 
 
+def test_words_learned_together_are_those_learned_alone(monkeypatch):
+    """Of what stands between cuts of odd texts, in several parts and texts; new words don't go to the tokenizers one by one."""
+    monkeypatch.setattr(alignment, "JOINED", 5)
+    monkeypatch.setattr(alignment, "AT_ONCE", 300)
+    texts, aligner = [t for t in odd_texts() if t and "▁" not in t], alignment.Aligner(A, B)
+    words = {w for t in texts for w in aligner.words(t)}
+    alone = {w: aligner.aligned(w, aligner.a.encode(f" {w}", add_special_tokens=False).ids, aligner.b.encode(w)) for w in words}
+    seen = []
+    encode = aligner.b
+    aligner.b = type("", (), {"encode": lambda _, t, **kw: seen.append(len(t)) or encode.encode(t, **kw)})()
+    aligner.learn(words)
+    assert len(words) > 100 and aligner.known.now == alone
+    assert sum(seen) < 0.7 * len(words)
+
+
 def test_odd_tables(spark):
     shape = "doc_id long, text string, unit string"
     assert alignment.align(spark.createDataFrame([], shape), A, B).count() == 0

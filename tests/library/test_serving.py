@@ -1,7 +1,9 @@
 """Search through postings, the order of a language, loads that are handed on again."""
 
 import re
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from lexweave.operators import link, search_index, serve
@@ -48,6 +50,33 @@ def test_a_batch_handed_on_again(spark, tmp_path):
     assert read() == [("01", 1, "new"), ("02", 1, "c"), ("03", 7, "d")]
 
 
+def test_leaves_share_folders(spark, tmp_path):
+    """As many folders as are asked for, whatever the leaves; null and empty keys are leaves, columns that a batch lacks stay, and what a crash leaves goes."""
+    path = str(tmp_path / "t")
+    load = ingest.replace_leaves(path, ["k"], folders=8)
+    shape = "k string, x string, y int"
+    read = lambda: {r["k"]: (r["x"], r["y"]) for r in spark.read.schema(shape).parquet(path).collect()}
+    load(spark.createDataFrame([], shape), 0)
+    assert read() == {}
+    want = {f"{n:03d}": ("a", n) for n in range(500)} | {None: ("b", 1), "": ("c", 2)}
+    load(spark.createDataFrame([(k, *v) for k, v in want.items()], shape), 0)
+    assert read() == want and len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("_folder=")]) == 8
+    assert ingest.undone(spark.createDataFrame([("", "", 0), ("new", "", 0)], shape), path, ["k"]).count() == 1
+    few = spark.createDataFrame([(None, "new"), ("007", "new"), ("else", "new")], "k string, x string")
+    load(few, 1)
+    want |= {None: ("new", None), "007": ("new", None), "else": ("new", None)}
+    assert read() == want
+    folder = next(p for p in (tmp_path / "t").glob("_folder=*"))  # as if the old generation had not been deleted
+    now = next(folder.iterdir())
+    shutil.copytree(now, folder / "_generation=0")
+    shutil.copytree(folder, tmp_path / "t" / "_next-0" / folder.name)
+    load(few, 1)
+    assert read() == want and spark.read.schema(shape).parquet(path).count() == len(want)
+    with pytest.raises(ValueError, match="another number"):
+        ingest.replace_leaves(path, ["k"], folders=9)(few, 2)
+    assert not list((tmp_path / "t").glob("_next-*")) and all(len(list(p.iterdir())) == 1 for p in (tmp_path / "t").glob("_folder=*"))
+
+
 def test_numbers_of_many_rows(spark):
     """More rows than a sample of ranges holds, with columns that make the ranges' sizes other than those of the keys alone."""
     df = spark.range(0, 60000, 1, 6).select((F.col("id") * 7919 % 60000).alias("k"), F.repeat(F.md5(F.col("id").cast("string")), 40).alias("wide"))
